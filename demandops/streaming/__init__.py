@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference is a batch application: it has no stream sources, watermarks,
+windows over event time or stateful operators, so nothing here is required.
+Every operator in ``demandops.operators`` is a plain DataFrame transform and
+also applies unchanged to a streaming DataFrame wherever Spark supports the
+underlying operation (projections, filters, broadcast joins to parameter
+tables); per-series windows and global aggregates are batch-only.
+"""
