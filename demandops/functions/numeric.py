@@ -36,6 +36,18 @@ def service_z(service_level: float) -> float:
     return NormalDist().inv_cdf(service_level)
 
 
+def exact_mean(c, scale: int = 10) -> Column:
+    """Mean of a double column that does not depend on summation order.
+
+    Values are summed as DECIMAL(38, scale) (exact, associative), so the
+    result is identical however Spark partitions the rows; the quotient is
+    one IEEE division.  Used where a mean of non-integer doubles is an
+    output (integer inputs are already summed exactly)."""
+    x = _col(c)
+    total = F.sum(x.cast(f"decimal(38,{scale})")).cast("double")
+    return total / F.count(x).cast("double")
+
+
 def present(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every floating column for display/comparison (final output only)."""
     cols = []

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandops.functions.numeric import exact_mean
 from demandops.operators.quality import DATE_KEY
 
 FLAG_COLUMNS = ("on_promo", "discount_pct", "holiday_flag", "festival_flag")
@@ -148,7 +149,7 @@ def weekly_rollup(df: DataFrame) -> DataFrame:
         if how == "sum":
             a = F.sum(c)
         elif how == "mean":
-            a = F.avg(c)
+            a = exact_mean(c)
         elif how == "max":
             a = F.max(c)
         else:

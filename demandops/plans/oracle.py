@@ -18,6 +18,12 @@ def r(expr: str, n: int) -> str:
     return f"(floor(({expr}) * {s} + 0.5) / {s})"
 
 
+def mean(expr: str, scale: int = 10) -> str:
+    """Order-independent mean, as ``functions.numeric.exact_mean``."""
+    return (f"(CAST(SUM(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE) "
+            f"/ CAST(COUNT({expr}) AS DOUBLE))")
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -57,7 +63,12 @@ def compose(body: str, *needs: str) -> str:
         visit(n)
     if not order:
         return body
-    return "WITH " + ",\n".join(f"{n} AS (\n{CTES[n][1]}\n)" for n in order) + "\n" + body
+    head = "WITH " + ",\n".join(f"{n} AS (\n{CTES[n][1]}\n)" for n in order)
+    stripped = body.lstrip()
+    if stripped[:4].upper() == "WITH":
+        # merge the body's own CTE list into ours
+        return head + ",\n" + stripped[4:].lstrip()
+    return head + "\n" + body
 
 
 # --------------------------------------------------------------------------
