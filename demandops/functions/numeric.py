@@ -48,6 +48,12 @@ def exact_mean(c, scale: int = 10) -> Column:
     return total / F.count(x).cast("double")
 
 
+def exact_sum(c, scale: int = 6) -> Column:
+    """Sum of a double column through DECIMAL(38, scale): exact and
+    associative, so independent of partitioning and summation order."""
+    return F.sum(_col(c).cast(f"decimal(38,{scale})")).cast("double")
+
+
 def present(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every floating column for display/comparison (final output only)."""
     cols = []

@@ -28,11 +28,18 @@ def strict_rolling(target: str, size: int, agg: Callable[[Column], Column],
     return F.when(F.count(target).over(frame) == size, agg(F.col(target)).over(frame))
 
 
-def trailing_strict_mean(target: str, size: int, order: str = "date") -> Column:
+def trailing_strict_mean(target: str, size: int, order: str = "date",
+                         exact_scale: int | None = None) -> Column:
     """Mean of the current and ``size - 1`` previous rows of an already
     aggregated (small, one row per ``order`` value) frame; NULL until full.
 
     Deliberately un-partitioned: only ever applied after aggregating to one
-    row per date, whose size is bounded by the calendar, not by the data."""
+    row per date, whose size is bounded by the calendar, not by the data.
+    ``exact_scale`` sums through DECIMAL for an order-independent result."""
     frame = Window.orderBy(order).rowsBetween(-(size - 1), 0)
-    return F.when(F.count(target).over(frame) == size, F.avg(target).over(frame))
+    if exact_scale is None:
+        mean = F.avg(target).over(frame)
+    else:
+        total = F.sum(F.col(target).cast(f"decimal(38,{exact_scale})")).over(frame)
+        mean = total.cast("double") / F.lit(float(size))
+    return F.when(F.count(target).over(frame) == size, mean)
