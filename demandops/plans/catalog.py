@@ -42,7 +42,7 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, QueryFn]:
     from demandops.plans import (  # noqa: F401  (registration side effects)
-        q_sources, q_inventory, q_explore)
+        q_sources, q_inventory, q_explore, q_features)
     return dict(QUERIES)
 
 
