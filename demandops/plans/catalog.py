@@ -40,9 +40,20 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_sales(sales_fact(spark, sf_dir))
 
 
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demandops.operators.features import engineer_features
+    return engineer_features(clean(spark, sf_dir))
+
+
+def croston_fc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic forecast for every series (Croston/SBA, 30 days)."""
+    from demandops.operators.forecasting import croston_forecast
+    return croston_forecast(features(spark, sf_dir))
+
+
 def all_queries() -> dict[str, QueryFn]:
     from demandops.plans import (  # noqa: F401  (registration side effects)
-        q_sources, q_inventory, q_explore, q_features)
+        q_sources, q_inventory, q_explore, q_features, q_forecast)
     return dict(QUERIES)
 
 
