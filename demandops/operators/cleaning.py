@@ -90,12 +90,14 @@ def week_start(df: DataFrame, out: str = "week_start") -> DataFrame:
 
 
 def clean_sales(df: DataFrame, keys: Sequence[str] = DATE_KEY, target: str = "qty_sold",
-                with_week_start: bool = True) -> DataFrame:
+                with_week_start: bool = True, unique_keys: bool = False) -> DataFrame:
     """C1 -> C6 in the reference's order (lazy; C7 is left to the sink).
 
     The reference's clean table also carries ``week_start`` (added while
-    building the weekly table), so it is appended here by default."""
-    out = dedup_keep_first(df, keys)
+    building the weekly table), so it is appended here by default.
+    ``unique_keys=True`` skips keep-first de-duplication for inputs whose
+    keys are unique by construction (it would be the identity)."""
+    out = df if unique_keys else dedup_keep_first(df, keys)
     if "ingest_order" in out.columns:
         out = out.drop("ingest_order")
     out = drop_missing_target(out, target)

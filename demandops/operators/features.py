@@ -132,17 +132,20 @@ def price_features(df: DataFrame, fit: DataFrame | None = None) -> DataFrame:
 def label_encode(df: DataFrame, cols: Sequence[str] = ENCODED) -> DataFrame:
     """codes 0..n-1 in sorted order of the distinct values; NULL -> -1.
 
-    Codes are ranked over the distinct values only (bounded by the
-    dimension's cardinality), then joined back."""
-    out = df
-    for c in cols:
-        if c not in df.columns:
-            continue
-        codes = (df.select(c).dropna().distinct()
-                   .withColumn(f"{c}_enc", (F.dense_rank().over(Window.orderBy(c)) - 1).cast("int")))
-        out = (out.join(codes, c, "left")
-                  .withColumn(f"{c}_enc", F.coalesce(F.col(f"{c}_enc"), F.lit(-1))))
-    return out
+    One aggregate collects the distinct value combinations (bounded by the
+    dimensions' cardinality, not by the rows); every column is ranked over
+    those and the codes come back in a single null-safe join."""
+    present = [c for c in cols if c in df.columns]
+    if not present:
+        return df
+    combos = df.select(*present).distinct()
+    codes = combos.withColumns({
+        f"{c}_enc": F.when(F.col(c).isNull(), F.lit(-1)).otherwise(
+            F.dense_rank().over(Window.partitionBy(F.col(c).isNull()).orderBy(c)) - 1).cast("int")
+        for c in present
+    }).select(*[F.col(c).alias(f"_k_{c}") for c in present], *[f"{c}_enc" for c in present])
+    cond = [df[c].eqNullSafe(codes[f"_k_{c}"]) for c in present]
+    return df.join(codes, cond, "left").drop(*[f"_k_{c}" for c in present])
 
 
 def drop_cold_start(df: DataFrame) -> DataFrame:

@@ -28,7 +28,11 @@ def query(name: str) -> Callable[[QueryFn], QueryFn]:
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_fact(spark, sf_dir)
+    """The daily fact, materialised once per input (stage boundary)."""
+    from demandops.plans.materialize import memo_table
+    from demandops.sources.tables import table_path
+    inputs = [table_path(sf_dir, t) for t in ("lineitem", "part", "supplier", "nation", "region")]
+    return memo_table(spark, "sales_fact", inputs, lambda: sales_fact(spark, sf_dir))
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,8 +40,9 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's clean table, derived from the daily fact."""
-    return clean_sales(sales_fact(spark, sf_dir))
+    """The reference's clean table, derived from the daily fact (whose
+    (store, item, date) keys are unique by construction)."""
+    return clean_sales(fact(spark, sf_dir), unique_keys=True)
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
