@@ -27,12 +27,15 @@ def query(name: str) -> Callable[[QueryFn], QueryFn]:
     return deco
 
 
+def _inputs(sf_dir: str) -> list[str]:
+    from demandops.sources.tables import table_path
+    return [table_path(sf_dir, t) for t in ("lineitem", "part", "supplier", "nation", "region")]
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily fact, materialised once per input (stage boundary)."""
     from demandops.plans.materialize import memo_table
-    from demandops.sources.tables import table_path
-    inputs = [table_path(sf_dir, t) for t in ("lineitem", "part", "supplier", "nation", "region")]
-    return memo_table(spark, "sales_fact", inputs, lambda: sales_fact(spark, sf_dir))
+    return memo_table(spark, "sales_fact", _inputs(sf_dir), lambda: sales_fact(spark, sf_dir))
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,14 +49,21 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table as a stage (materialised once per input), as the
+    reference's features file; consumers (split, baselines, forecasting)
+    read it instead of re-deriving the windows in every subquery."""
     from demandops.operators.features import engineer_features
-    return engineer_features(clean(spark, sf_dir))
+    from demandops.plans.materialize import memo_table
+    return memo_table(spark, "features", _inputs(sf_dir),
+                      lambda: engineer_features(clean(spark, sf_dir)))
 
 
 def croston_fc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deterministic forecast for every series (Croston/SBA, 30 days)."""
+    """Deterministic forecast stage for every series (Croston/SBA, 30 days)."""
     from demandops.operators.forecasting import croston_forecast
-    return croston_forecast(features(spark, sf_dir))
+    from demandops.plans.materialize import memo_table
+    return memo_table(spark, "forecast_croston", _inputs(sf_dir),
+                      lambda: croston_forecast(features(spark, sf_dir)))
 
 
 def all_queries() -> dict[str, QueryFn]:

@@ -26,15 +26,35 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+_ROW_COUNTS: dict[tuple, int] = {}
+
+
+def _row_count(df: DataFrame) -> int:
+    """Row count of a plain scan (+ projection), memoised per unchanged
+    input files so repeated plan building does not re-run the job."""
+    files = tuple(sorted(df.inputFiles()))
+    stamp = []
+    for f in files:
+        local = f[len("file:"):] if f.startswith("file:") else f
+        try:
+            st = os.stat(local)
+            stamp.append((f, st.st_size, st.st_mtime_ns))
+        except OSError:
+            return df.count()
+    key = tuple(stamp)
+    if key not in _ROW_COUNTS:
+        _ROW_COUNTS[key] = df.count()
+    return _ROW_COUNTS[key]
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only behind a size check.
 
     Intended for lookup sides that are plain scans + projections of a
-    dimension table, where ``count()`` is answered from Parquet footers.  If
-    the table has more rows than the bound, the plain DataFrame is returned
-    and the planner keeps a shuffle join."""
+    dimension table.  If the table has more rows than the bound, the plain
+    DataFrame is returned and the planner keeps a shuffle join (AQE may
+    still switch to a broadcast from measured sizes)."""
     spark = df.sparkSession
     if max_rows is None:
         max_rows = int(spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if _row_count(df) <= max_rows else df
