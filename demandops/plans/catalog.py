@@ -66,9 +66,34 @@ def croston_fc(spark: SparkSession, sf_dir: str) -> DataFrame:
                       lambda: croston_forecast(features(spark, sf_dir)))
 
 
+def forest_model(spark: SparkSession, sf_dir: str):
+    """The trained forest as a stage: fitted once per input on the training
+    split of the feature stage, saved (S4) and loaded back."""
+    from demandops.operators import evaluation as EV
+    from demandops.operators import features as FE
+    from demandops.operators import models as MD
+    from demandops.plans.materialize import _MEMO, _fingerprint, write_table  # noqa: F401
+    import os
+    import uuid
+    from demandops.session import stage_root
+    fp = _fingerprint(_inputs(sf_dir))
+    key = ("forest_model", fp)
+    path = _MEMO.get(key) if fp is not None else None
+    if path is None or not os.path.exists(path):
+        f = features(spark, sf_dir)
+        train, _ = EV.train_test(f)
+        model = MD.train_forest(train, FE.feature_columns(f))
+        path = os.path.join(stage_root(spark, "models"), f"forest-{uuid.uuid4().hex[:12]}")
+        test = EV.seasonal_naive(f)
+        MD.save_model(model, path, EV.forecast_metrics(MD.predict_clipped(model, test)))
+        if fp is not None:
+            _MEMO[key] = path
+    return MD.load_model(path), path
+
+
 def all_queries() -> dict[str, QueryFn]:
     from demandops.plans import (  # noqa: F401  (registration side effects)
-        q_sources, q_inventory, q_explore, q_features, q_forecast)
+        q_sources, q_inventory, q_explore, q_features, q_forecast, q_models)
     return dict(QUERIES)
 
 
