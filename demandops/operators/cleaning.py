@@ -111,21 +111,25 @@ def clean_sales(df: DataFrame, keys: Sequence[str] = DATE_KEY, target: str = "qt
 def clean_audit(df: DataFrame, keys: Sequence[str] = DATE_KEY, target: str = "qty_sold",
                 flag: str = "stockout_flag") -> DataFrame:
     """Rows before / after de-duplication / removed as stock-out / after /
-    removed in total, from one aggregate over the de-duplicated rows."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    kept = dedup_keep_first(df, keys)
-    has_target = F.col(target).isNotNull()
-    in_stock = (F.col(flag) == 0) if flag in df.columns else F.lit(True)
+    removed in total - one pass: the keep-first aggregate also counts the
+    rows of each key, and one roll-up sums everything."""
+    payload = [c for c in df.columns if c not in keys]
+    order_col = F.col("ingest_order") if "ingest_order" in df.columns else F.struct(*payload)
+    kept = df.groupBy(*keys).agg(
+        F.min_by(F.struct(*[c for c in (target, flag) if c in df.columns]), order_col).alias("_row"),
+        F.count(F.lit(1)).alias("_n"))
+    has_target = F.col(f"_row.{target}").isNotNull()
+    in_stock = (F.col(f"_row.{flag}") == 0) if flag in df.columns else F.lit(True)
     return kept.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows_before"),
         F.count(F.lit(1)).alias("rows_after_dedup"),
         F.count_if(has_target).alias("_after_missing"),
         F.count_if(has_target & in_stock).alias("rows_after"),
     ).select(
-        total.alias("rows_before"),
-        F.col("rows_after_dedup"),
+        "rows_before", "rows_after_dedup",
         (F.col("_after_missing") - F.col("rows_after")).alias("removed_stockout"),
-        F.col("rows_after"),
-        (total - F.col("rows_after")).alias("removed_total"),
+        "rows_after",
+        (F.col("rows_before") - F.col("rows_after")).alias("removed_total"),
     )
 
 

@@ -53,14 +53,26 @@ def pct_stockout(df: DataFrame, flag: str = "stockout_flag") -> Column:
 
 def quality_summary(df: DataFrame, keys: Sequence[str] = DATE_KEY,
                     target: str = "qty_sold") -> DataFrame:
-    """Q2-Q5 as one row."""
+    """Q2-Q5 as one row, in a single pass over the input: per-key partial
+    counts (combined map-side), then one roll-up of those counts."""
     required_columns(df)
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        missing_qty(target).alias("missing_qty"),
-        negative_qty(target).alias("negative_qty"),
-        pct_stockout(df).alias("pct_stockout"),
-    ).withColumn("duplicate_rows", duplicate_count(df, keys))
+    has_flag = "stockout_flag" in df.columns
+    t = F.col(target)
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(t.isNull()).alias("_missing"),
+        F.count_if(t < 0).alias("_negative"),
+        *([F.sum("stockout_flag").alias("_so_sum"), F.count("stockout_flag").alias("_so_n")]
+          if has_flag else []))
+    pct = (rnd(F.sum("_so_sum") / F.sum("_so_n") * 100.0, 2) if has_flag
+           else F.lit(None).cast("double"))
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"),
+        F.coalesce(F.sum("_missing"), F.lit(0)).cast("bigint").alias("missing_qty"),
+        F.coalesce(F.sum("_negative"), F.lit(0)).cast("bigint").alias("negative_qty"),
+        pct.alias("pct_stockout"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
+    )
 
 
 def quality_report(df: DataFrame, keys: Sequence[str] = DATE_KEY,

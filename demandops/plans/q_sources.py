@@ -283,9 +283,18 @@ SELECT (SELECT COUNT(*) FROM raw) AS rows_before, rows_after_dedup,
 FROM a""", "raw_dedup")
 
 
+def clean_raw(spark, sf):
+    """C9 over the line-grain input with a stage boundary after keep-first
+    de-duplication: its output is bounded by the (store, item, day) key
+    space, and it feeds two consumers (the rows and the per-item medians)."""
+    from demandops.plans.materialize import materialize
+    kept = materialize(C.dedup_keep_first(raw(spark, sf)).drop("ingest_order"), "raw_dedup")
+    return C.clean_sales(kept, unique_keys=True)
+
+
 @query("C9_clean_sales")
 def c9(spark, sf):
-    return C.clean_sales(raw(spark, sf))
+    return clean_raw(spark, sf)
 
 
 oracle("C9_clean_sales", "SELECT * FROM clean_raw", "clean_raw")

@@ -86,7 +86,11 @@ def run_stages(spark: SparkSession, sales: Callable[[], DataFrame],
         if step == "clean":
             raw = sales()
             stage("quality", lambda: Q.quality_report(raw))
-            stage("clean", lambda: C.clean_sales(raw), partition_by="store_id")
+            # keep-first de-duplication is its own stage (bounded by the key
+            # space; read by both the clean rows and the per-item medians)
+            kept = stage("deduplicated", lambda: C.dedup_keep_first(raw).drop(
+                *[c for c in ("ingest_order",) if c in raw.columns]))
+            stage("clean", lambda: C.clean_sales(kept, unique_keys=True), partition_by="store_id")
             stage("weekly", lambda: C.weekly_rollup(need("clean")))
         elif step == "explore":
             c = need("clean")
