@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def box_stats(df: DataFrame, group: str, value: str, whisker: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, group: str, value: str, whisker: float = 1.5,
+              method: str = "exact") -> DataFrame:
     """Per group: quartiles (linear interpolation), whiskers = most extreme
     values inside [Q1 - 1.5 IQR, Q3 + 1.5 IQR], and the row count.
 
@@ -14,10 +15,18 @@ def box_stats(df: DataFrame, group: str, value: str, whisker: float = 1.5) -> Da
     group); the whiskers from a second aggregate over the rows joined to
     their group's fences.  NULL groups and values are skipped."""
     rows = df.select(group, F.col(value).cast("double").alias("_v")).dropna()
-    q = (rows.groupBy(group)
-             .agg(F.percentile("_v", [0.25, 0.5, 0.75]).alias("_q"))
-             .select(group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                     F.col("_q")[2].alias("q3")))
+    if method == "exact":
+        # one aggregate; its buffer holds the distinct values of a group,
+        # fine for counts such as daily units
+        q = (rows.groupBy(group)
+                 .agg(F.percentile("_v", [0.25, 0.5, 0.75]).alias("_q"))
+                 .select(group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+                         F.col("_q")[2].alias("q3")))
+    else:
+        # bounded memory for high-cardinality values (see group_quantile)
+        parts = [group_quantile(rows, group, "_v", p, method, out=name)
+                 for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
+        q = parts[0].join(parts[1], group).join(parts[2], group)
     iqr = F.col("q3") - F.col("q1")
     fences = q.withColumns({"_lo": F.col("q1") - whisker * iqr, "_hi": F.col("q3") + whisker * iqr})
     return (rows.join(fences, group)
@@ -25,3 +34,73 @@ def box_stats(df: DataFrame, group: str, value: str, whisker: float = 1.5) -> Da
                 .agg(F.min(F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))).alias("whisker_low"),
                      F.max(F.when(F.col("_v") <= F.col("_hi"), F.col("_v"))).alias("whisker_high"),
                      F.count(F.lit(1)).alias("n")))
+
+
+def group_median(df: DataFrame, group, value: str, method: str = "bracket",
+                 accuracy: int = 10000, out: str = "median") -> DataFrame:
+    """Median of ``value`` per group; see ``group_quantile``."""
+    return group_quantile(df, group, value, 0.5, method, accuracy, out)
+
+
+def group_quantile(df: DataFrame, group, value: str, p: float, method: str = "bracket",
+                   accuracy: int = 10000, out: str = "quantile") -> DataFrame:
+    """Quantile ``p`` of ``value`` per group (linear interpolation between
+    the ranks floor/ceil((n - 1) p), as Spark's ``percentile``).
+
+    * ``exact``   one ``percentile`` aggregate; its buffer holds every
+                  distinct value of a group (unbounded for a hot group of
+                  high-cardinality doubles).
+    * ``approx``  ``percentile_approx`` with relative rank error 1/accuracy.
+    * ``bracket`` exact result with bounded memory, two passes:
+        1. per group: count and approximate quantiles just below / above
+           the median rank -> a bracket [lo, hi];
+        2. one aggregate over the rows joined to their bracket counts the
+           rows below ``lo`` and each distinct value inside [lo, hi];
+        then a window over those few distinct values per group finds the
+        values at the two median ranks.  Groups whose bracket misses a
+        median rank (the sketch's guarantee makes this rare) are recomputed
+        with the exact aggregate.
+    NULL values are ignored; a group without values gets NULL.
+    """
+    from pyspark.sql import Window
+    keys = [group] if isinstance(group, str) else list(group)
+    v = F.col(value).cast("double")
+    if method == "exact":
+        return df.groupBy(*keys).agg(F.percentile(v, p).alias(out))
+    if method == "approx":
+        return df.groupBy(*keys).agg(F.percentile_approx(v, p, accuracy).cast("double").alias(out))
+    if method != "bracket":
+        raise ValueError(f"unknown median method {method!r}")
+
+    values = df.select(*keys, v.alias("_v"))
+    rows = values.where(F.col("_v").isNotNull())
+    margin = 3.0 / accuracy
+    stats = values.groupBy(*keys).agg(
+        F.count("_v").alias("_n"),
+        F.percentile_approx("_v", [max(0.0, p - margin), min(1.0, p + margin)], accuracy)
+         .alias("_q"))
+    stats = stats.select(*keys, "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    # pass 2: NULL bucket = rows below the bracket; one bucket per distinct value inside
+    bucket = F.when(F.col("_v") < F.col("_lo"), F.lit(None).cast("double")).otherwise(F.col("_v"))
+    counted = (rows.join(stats, keys).where(F.col("_v") <= F.col("_hi"))
+                   .groupBy(*keys, "_n", bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_c")))
+    w = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first()) \
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pos = (F.col("_n") - 1) * F.lit(float(p))
+    k1, k2 = F.floor(pos), F.ceil(pos)
+    ranked = counted.withColumn("_end", F.sum("_c").over(w)) \
+                    .withColumn("_start", F.col("_end") - F.col("_c"))
+    hit = lambda k: (F.col("_b").isNotNull() & (F.col("_start") <= k) & (k < F.col("_end")))
+    picked = ranked.groupBy(*keys, "_n").agg(
+        F.max(F.when(hit(k1), F.col("_b"))).alias("_v1"),
+        F.max(F.when(hit(k2), F.col("_b"))).alias("_v2"))
+    frac = pos - k1
+    med = F.when(k1 == k2, F.col("_v1")).otherwise(
+        (F.lit(1.0) - frac) * F.col("_v1") + frac * F.col("_v2"))
+    picked = picked.withColumn(out, med)
+    ok = picked.where(F.col("_v1").isNotNull() & F.col("_v2").isNotNull()).select(*keys, out)
+    missed = picked.where(F.col("_v1").isNull() | F.col("_v2").isNull()).select(*keys)
+    redo = (rows.join(missed, keys, "left_semi").groupBy(*keys)
+                .agg(F.percentile("_v", p).alias(out)))
+    empty = stats.where(F.col("_n") == 0).select(*keys, F.lit(None).cast("double").alias(out))
+    return ok.unionByName(redo).unionByName(empty)

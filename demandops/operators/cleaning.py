@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandops.functions.numeric import exact_mean
+from demandops.functions.stats import group_median
 from demandops.operators.quality import DATE_KEY
 
 FLAG_COLUMNS = ("on_promo", "discount_pct", "holiday_flag", "festival_flag")
@@ -60,17 +61,18 @@ def fill_flags(df: DataFrame, cols: Sequence[str] = FLAG_COLUMNS) -> DataFrame:
 
 
 def impute_price_median(df: DataFrame, by: str = "item_id", price: str = "price",
-                        approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                        method: str = "bracket") -> DataFrame:
     """NULL price -> median price of the item (all stores pooled).
 
-    Exact median by default (interpolated, as pandas); ``approx=True`` uses
-    ``percentile_approx`` for very high-cardinality prices.  The per-item
-    table has one row per item; Spark/AQE picks the join strategy from its
-    measured size."""
+    The median is exact and interpolated (as pandas).  The default
+    ``bracket`` method keeps memory bounded for a hot item with many
+    distinct prices (see ``functions.stats.group_median``); ``exact`` is a
+    single ``percentile`` aggregate, ``approx`` uses ``percentile_approx``.
+    The per-item table has one row per item; Spark/AQE picks the join
+    strategy from its measured size."""
     if price not in df.columns:
         return df
-    med = F.percentile_approx(price, 0.5, accuracy) if approx else F.median(price)
-    medians = df.groupBy(by).agg(med.cast("double").alias("_median_price"))
+    medians = group_median(df, by, price, method, out="_median_price")
     return (df.join(medians, by, "left")
               .withColumn(price, F.coalesce(F.col(price), F.col("_median_price")))
               .drop("_median_price").select(*df.columns))

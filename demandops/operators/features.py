@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from demandops import SERIES_KEYS
 from demandops.functions.numeric import safe_div
+from demandops.functions.stats import group_median
 from demandops.functions.windows import series_window, strict_rolling
 
 LAGS = (1, 2, 3, 7, 14)
@@ -110,18 +111,20 @@ def time_index(df: DataFrame) -> DataFrame:
     return df.withColumns(time_index_column())
 
 
-def price_features(df: DataFrame, fit: DataFrame | None = None) -> DataFrame:
+def price_features(df: DataFrame, fit: DataFrame | None = None,
+                   median_method: str = "bracket") -> DataFrame:
     """F5 gross margin, F6 discount flag, F7 price / (category median + 1e-9).
 
     The reference's median spans the whole table (look-ahead); pass
-    ``fit`` (e.g. the training rows) to take the medians from it instead."""
+    ``fit`` (e.g. the training rows) to take the medians from it instead.
+    Medians are exact (``functions.stats.group_median``)."""
     out = df
     if "price" in df.columns and "unit_cost" in df.columns:
         out = out.withColumn("gross_margin_pct", safe_div(F.col("price") - F.col("unit_cost"), "price"))
     if "discount_pct" in df.columns:
         out = out.withColumn("is_discounted", (F.col("discount_pct") > 0).cast("int"))
         src = fit if fit is not None else df
-        med = src.groupBy("category").agg(F.median("price").alias("_cat_median"))
+        med = group_median(src, "category", "price", median_method, out="_cat_median")
         out = (out.join(med, "category", "left")
                   .withColumn("price_vs_cat_median",
                               F.col("price") / (F.col("_cat_median") + F.lit(1e-9)))
