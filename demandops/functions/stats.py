@@ -57,10 +57,12 @@ def group_quantile(df: DataFrame, group, value: str, p: float, method: str = "br
         2. one aggregate over the rows joined to their bracket counts the
            rows below ``lo`` and each distinct value inside [lo, hi];
         then a window over those few distinct values per group finds the
-        values at the two median ranks.  Groups whose bracket misses a
-        median rank (the sketch's guarantee makes this rare) are recomputed
-        with the exact aggregate.
-    NULL values are ignored; a group without values gets NULL.
+        values at the two ranks.  Groups under ``accuracy`` rows bracket
+        their whole range; for larger ones the margin (3/accuracy) exceeds
+        the sketch's rank error (1/accuracy) plus one rank, so both ranks
+        always fall inside; the query fails loudly if that were violated.
+    NULL values are ignored.  With ``bracket`` a group without any value is
+    absent from the result (callers left-join, which yields NULL).
     """
     from pyspark.sql import Window
     keys = [group] if isinstance(group, str) else list(group)
@@ -72,14 +74,21 @@ def group_quantile(df: DataFrame, group, value: str, p: float, method: str = "br
     if method != "bracket":
         raise ValueError(f"unknown median method {method!r}")
 
-    values = df.select(*keys, v.alias("_v"))
-    rows = values.where(F.col("_v").isNotNull())
+    rows = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
     margin = 3.0 / accuracy
-    stats = values.groupBy(*keys).agg(
-        F.count("_v").alias("_n"),
+    stats = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.percentile_approx("_v", [max(0.0, p - margin), min(1.0, p + margin)], accuracy)
          .alias("_q"))
-    stats = stats.select(*keys, "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    # Groups smaller than ``accuracy`` bracket their whole range (at most
+    # ``accuracy`` values); for larger groups the margin of 3n/accuracy
+    # ranks exceeds the sketch's error of n/accuracy ranks plus the one rank
+    # between floor and ceil of (n - 1) p.
+    small = F.col("_n") < accuracy
+    stats = stats.select(*keys, "_n",
+                         F.when(small, F.col("_min")).otherwise(F.col("_q")[0]).alias("_lo"),
+                         F.when(small, F.col("_max")).otherwise(F.col("_q")[1]).alias("_hi"))
     # pass 2: NULL bucket = rows below the bracket; one bucket per distinct value inside
     bucket = F.when(F.col("_v") < F.col("_lo"), F.lit(None).cast("double")).otherwise(F.col("_v"))
     counted = (rows.join(stats, keys).where(F.col("_v") <= F.col("_hi"))
@@ -97,10 +106,9 @@ def group_quantile(df: DataFrame, group, value: str, p: float, method: str = "br
     frac = pos - k1
     med = F.when(k1 == k2, F.col("_v1")).otherwise(
         (F.lit(1.0) - frac) * F.col("_v1") + frac * F.col("_v2"))
-    picked = picked.withColumn(out, med)
-    ok = picked.where(F.col("_v1").isNotNull() & F.col("_v2").isNotNull()).select(*keys, out)
-    missed = picked.where(F.col("_v1").isNull() | F.col("_v2").isNull()).select(*keys)
-    redo = (rows.join(missed, keys, "left_semi").groupBy(*keys)
-                .agg(F.percentile("_v", p).alias(out)))
-    empty = stats.where(F.col("_n") == 0).select(*keys, F.lit(None).cast("double").alias(out))
-    return ok.unionByName(redo).unionByName(empty)
+    # A bracket that misses a rank cannot happen within the sketch's rank
+    # error bound; should it ever, fail loudly rather than return a guess.
+    checked = F.when(F.col("_v1").isNull() | F.col("_v2").isNull(),
+                     F.raise_error(F.lit("group_quantile: bracket missed the quantile rank")
+                                   ).cast("double")).otherwise(med)
+    return picked.select(*keys, checked.alias(out))
