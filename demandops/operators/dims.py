@@ -21,13 +21,68 @@ def series_scaffold(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
     """Every series x every day of [start, end] (default: the global
     date range of ``df``).  One output row per (series, day); each series
     row is exploded in place, no cross join."""
-    bounds = df.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    lo = F.lit(start).cast("date") if start is not None else bounds.select("lo").scalar()
-    hi = F.lit(end).cast("date") if end is not None else bounds.select("hi").scalar()
+    bounds = df.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    lo = F.lit(start).cast("date") if start is not None else bounds.getField("lo")
+    hi = F.lit(end).cast("date") if end is not None else bounds.getField("hi")
     series = df.select(*keys).dropna().distinct()
     return series.select(*keys, F.explode(F.sequence(lo, hi)).alias("date"))
 
 
+SERIES_ATTRIBUTES = ("product_name", "category", "unit_cost", "pack_size", "shelf_life_days",
+                     "supplier_lead_time_days", "ordering_cost", "holding_cost_rate")
+
+
+def densify(clean: DataFrame, keys: Sequence[str] = SERIES_KEYS,
+            holiday_month_days: Sequence[str] | None = None,
+            festival_windows: Sequence[tuple[str, str]] | None = None,
+            start=None, end=None) -> DataFrame:
+    """``dense=True``: the D1 scaffold with the observed rows joined in and
+    the gaps filled - zero demand, no promotion / discount / stock-out,
+    price and stock carried forward within the series (backward for
+    leading gaps), series attributes from the series' last row, calendar
+    flags recomputed from the date when their rules are given (else taken
+    from any observed row of that date).  Row lags and rolling windows on
+    the result are calendar lags, and zero shares become meaningful."""
+    from pyspark.sql import Window
+    sc = series_scaffold(clean, keys, start, end)
+    attrs = [c for c in SERIES_ATTRIBUTES if c in clean.columns]
+    last = (clean.groupBy(*keys).agg(F.max_by(F.struct(*attrs), "date").alias("_a"))
+                 .select(*keys, *[F.col(f"_a.{c}").alias(c) for c in attrs]))
+    observed = clean.drop(*attrs, *[c for c in ("week_start",) if c in clean.columns])
+    out = sc.join(observed, [*keys, "date"], "left").join(last, list(keys), "left")
+    w = Window.partitionBy(*keys).orderBy("date")
+    back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+
+    def carry(c):
+        return F.coalesce(F.col(c), F.last(c, ignorenulls=True).over(back),
+                          F.first(c, ignorenulls=True).over(ahead))
+
+    fills = {"qty_sold": F.coalesce(F.col("qty_sold"), F.lit(0).cast("bigint"))}
+    for c, zero in (("on_promo", F.lit(0)), ("discount_pct", F.lit(0.0)), ("stockout_flag", F.lit(0))):
+        if c in clean.columns:
+            fills[c] = F.coalesce(F.col(c), zero)
+    for c in ("price", "stock_on_hand"):
+        if c in clean.columns:
+            fills[c] = carry(c)
+    out = out.withColumns(fills)
+    for flag, rule in (("holiday_flag", holiday_month_days), ("festival_flag", festival_windows)):
+        if flag not in clean.columns:
+            continue
+        if rule is not None:
+            out = (holiday_flag(out.drop(flag), rule) if flag == "holiday_flag"
+                   else festival_flag(out.drop(flag), rule))
+        else:
+            by_date = clean.groupBy("date").agg(F.max(flag).alias("_d"))
+            out = (out.join(by_date, "date", "left")
+                      .withColumn(flag, F.coalesce(F.col(flag), F.col("_d"), F.lit(0))).drop("_d"))
+    cols = [c for c in clean.columns if c != "week_start"]
+    out = out.select(*cols)
+    if "week_start" in clean.columns:
+        out = out.withColumn("week_start", F.date_sub(F.col("date"), F.weekday("date")))
+    return out
+
+
 def product_enrich(df: DataFrame, products: DataFrame, key: str = "item_id") -> DataFrame:
     """Attach product attributes (left join to a broadcast parameter table)."""
     return df.join(F.broadcast(products), key, "left")

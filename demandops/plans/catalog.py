@@ -93,7 +93,7 @@ def forest_model(spark: SparkSession, sf_dir: str):
 
 def all_queries() -> dict[str, QueryFn]:
     from demandops.plans import (  # noqa: F401  (registration side effects)
-        q_sources, q_inventory, q_explore, q_features, q_forecast, q_models)
+        q_sources, q_inventory, q_explore, q_features, q_forecast, q_models, q_dense)
     return dict(QUERIES)
 
 

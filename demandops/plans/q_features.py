@@ -60,30 +60,39 @@ def _sel(d: dict) -> str:
     return ",\n       ".join(f"{v} AS {k}" for k, v in d.items())
 
 
-cte("feat_win", f"""
-SELECT *, {_sel({**CAL_SQL, **LAG_SQL, **ROLL_SQL, **PROMO_SQL, **TIME_SQL})}
-FROM clean""", "clean")
+def _enc_joins(src: str) -> str:
+    return "\n".join(
+        f"LEFT JOIN (SELECT {c}, DENSE_RANK() OVER (ORDER BY {c}) - 1 AS code_ "
+        f"FROM (SELECT DISTINCT {c} FROM {src} WHERE {c} IS NOT NULL)) e_{c} ON x.{c} = e_{c}.{c}"
+        for c in FE.ENCODED)
+
 
-_ENC_JOINS = "\n".join(
-    f"LEFT JOIN (SELECT {c}, DENSE_RANK() OVER (ORDER BY {c}) - 1 AS code_ "
-    f"FROM (SELECT DISTINCT {c} FROM clean WHERE {c} IS NOT NULL)) e_{c} ON x.{c} = e_{c}.{c}"
-    for c in FE.ENCODED)
 FEATURE_ORDER = (CLEAN_COLS + list(CAL_SQL) + list(LAG_SQL) + list(ROLL_SQL) + list(PRICE_SQL)
                  + list(PROMO_SQL) + list(ENC_SQL) + list(TIME_SQL))
 
-cte("feat_all", f"""
+
+def feature_ctes(src: str = "clean", suffix: str = "") -> str:
+    """Register feat_win / feat_all / features CTEs over ``src``; return the
+    name of the final feature CTE."""
+    cte(f"feat_win{suffix}", f"""
+SELECT *, {_sel({**CAL_SQL, **LAG_SQL, **ROLL_SQL, **PROMO_SQL, **TIME_SQL})}
+FROM {src}""", src)
+    cte(f"feat_all{suffix}", f"""
 SELECT {', '.join('x.' + c for c in CLEAN_COLS + list(CAL_SQL) + list(LAG_SQL) + list(ROLL_SQL))},
        {_sel(PRICE_SQL)},
        {', '.join('x.' + c for c in PROMO_SQL)},
        {_sel(ENC_SQL)}, x.time_idx
-FROM feat_win x
-LEFT JOIN (SELECT category, median(price) AS med_ FROM clean GROUP BY category) cm_
+FROM feat_win{suffix} x
+LEFT JOIN (SELECT category, median(price) AS med_ FROM {src} GROUP BY category) cm_
   ON x.category = cm_.category
-{_ENC_JOINS}""", "feat_win", "clean")
+{_enc_joins(src)}""", f"feat_win{suffix}", src)
+    cte(f"features{suffix}", f"""
+SELECT * FROM feat_all{suffix} WHERE {' AND '.join(f'{c} IS NOT NULL' for c in FEATURE_ORDER)}""",
+        f"feat_all{suffix}")
+    return f"features{suffix}"
+
 
-cte("features", f"""
-SELECT * FROM feat_all WHERE {' AND '.join(f'{c} IS NOT NULL' for c in FEATURE_ORDER)}""",
-    "feat_all")
+feature_ctes("clean")
 
 DOUBLE_FEATURES = {"price", "discount_pct", "unit_cost", "ordering_cost", "holding_cost_rate",
                    "sin_doy", "cos_doy", "sin_dow", "cos_dow", "gross_margin_pct",

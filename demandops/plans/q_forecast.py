@@ -43,25 +43,30 @@ def metrics_sql(src: str, by: str = "", naive: bool = True) -> str:
     return f"SELECT {sel} FROM {src}" + (f" GROUP BY {by}" if by else "")
 
 
-cte("cro_nz", f"""
+def croston_ctes(features: str = "features", suffix: str = "") -> str:
+    """Register the Croston CTEs over a feature CTE; return the rates CTE."""
+    cte(f"cro_nz{suffix}", f"""
 SELECT store_id, item_id, qty_sold,
        pos - COALESCE(LAG(pos) OVER ({W}), 0) AS gap,
        ROW_NUMBER() OVER ({W}) AS i,
        COUNT(*) OVER (PARTITION BY store_id, item_id) AS n
-FROM (SELECT store_id, item_id, date, qty_sold, ROW_NUMBER() OVER ({W}) AS pos FROM features)
-WHERE qty_sold > 0""", "features")
-
-_A, _KEEP, _SBA = (f"CAST('{x!r}' AS DOUBLE)" for x in (FC.ALPHA, 1.0 - FC.ALPHA, 1.0 - FC.ALPHA / 2.0))
-cte("cro_rates", f"""
+FROM (SELECT store_id, item_id, date, qty_sold, ROW_NUMBER() OVER ({W}) AS pos FROM {features})
+WHERE qty_sold > 0""", features)
+    cte(f"cro_rates{suffix}", f"""
 SELECT s.store_id, s.item_id,
        GREATEST(COALESCE(c.z / GREATEST(c.p, CAST(1 AS DOUBLE)) * {_SBA}, 0), 0) AS rate
-FROM (SELECT DISTINCT store_id, item_id FROM features
+FROM (SELECT DISTINCT store_id, item_id FROM {features}
       WHERE store_id IS NOT NULL AND item_id IS NOT NULL) s
 LEFT JOIN (SELECT store_id, item_id, SUM(w * qty_sold) AS z, SUM(w * gap) AS p
            FROM (SELECT *, CASE WHEN i = 1 THEN pow({_KEEP}, n - 1)
-                                ELSE {_A} * pow({_KEEP}, n - i) END AS w FROM cro_nz)
+                                ELSE {_A} * pow({_KEEP}, n - i) END AS w FROM cro_nz{suffix})
            GROUP BY store_id, item_id) c
-  ON s.store_id = c.store_id AND s.item_id = c.item_id""", "cro_nz", "features")
+  ON s.store_id = c.store_id AND s.item_id = c.item_id""", f"cro_nz{suffix}", features)
+    return f"cro_rates{suffix}"
+
+
+_A, _KEEP, _SBA = (f"CAST('{x!r}' AS DOUBLE)" for x in (FC.ALPHA, 1.0 - FC.ALPHA, 1.0 - FC.ALPHA / 2.0))
+croston_ctes()
 
 cte("horizon", f"""
 SELECT CAST((SELECT MAX(date) FROM features) + CAST(h AS INTEGER) AS DATE) AS forecast_date
