@@ -50,13 +50,16 @@ def densify(clean: DataFrame, keys: Sequence[str] = SERIES_KEYS,
                  .select(*keys, *[F.col(f"_a.{c}").alias(c) for c in attrs]))
     observed = clean.drop(*attrs, *[c for c in ("week_start",) if c in clean.columns])
     out = sc.join(observed, [*keys, "date"], "left").join(last, list(keys), "left")
-    w = Window.partitionBy(*keys).orderBy("date")
-    back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Both fills are running frames (incremental, O(days) per series); a
+    # frame ending at UNBOUNDED FOLLOWING would be re-evaluated per row.
+    back = Window.partitionBy(*keys).orderBy("date") \
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = Window.partitionBy(*keys).orderBy(F.col("date").desc()) \
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def carry(c):
         return F.coalesce(F.col(c), F.last(c, ignorenulls=True).over(back),
-                          F.first(c, ignorenulls=True).over(ahead))
+                          F.last(c, ignorenulls=True).over(ahead))
 
     fills = {"qty_sold": F.coalesce(F.col("qty_sold"), F.lit(0).cast("bigint"))}
     for c, zero in (("on_promo", F.lit(0)), ("discount_pct", F.lit(0.0)), ("stockout_flag", F.lit(0))):
