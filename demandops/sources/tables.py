@@ -47,14 +47,16 @@ def _row_count(df: DataFrame) -> int:
     return _ROW_COUNTS[key]
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only behind a size check.
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Size check for a lookup side that is a plain scan + projection of a
+    dimension table: its row count against the session's bound."""
+    if max_rows is None:
+        max_rows = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
+    return _row_count(df) <= max_rows
+
 
-    Intended for lookup sides that are plain scans + projections of a
-    dimension table.  If the table has more rows than the bound, the plain
+def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only behind the size check; otherwise the plain
     DataFrame is returned and the planner keeps a shuffle join (AQE may
     still switch to a broadcast from measured sizes)."""
-    spark = df.sparkSession
-    if max_rows is None:
-        max_rows = int(spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
-    return F.broadcast(df) if _row_count(df) <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
