@@ -72,14 +72,14 @@ def forest_model(spark: SparkSession, sf_dir: str):
     from demandops.operators import evaluation as EV
     from demandops.operators import features as FE
     from demandops.operators import models as MD
-    from demandops.plans.materialize import _MEMO, _fingerprint, write_table  # noqa: F401
+    from demandops.plans.materialize import _MEMO, _fingerprint, path_exists
     import os
     import uuid
     from demandops.session import stage_root
-    fp = _fingerprint(_inputs(sf_dir))
+    fp = _fingerprint(spark, _inputs(sf_dir))
     key = ("forest_model", fp)
     path = _MEMO.get(key) if fp is not None else None
-    if path is None or not os.path.exists(path):
+    if path is None or not path_exists(spark, path):
         f = features(spark, sf_dir)
         train, _ = EV.train_test(f)
         model = MD.train_forest(train, FE.feature_columns(f))

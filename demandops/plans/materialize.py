@@ -33,26 +33,37 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(write_table(df, name))
 
 
-def _fingerprint(paths: list[str]) -> tuple | None:
-    """(size, mtime) of local input files; None when not on a local disk."""
+def _fs_status(spark: SparkSession, path: str):
+    """Hadoop FileStatus of ``path`` (any file system the cluster can reach),
+    or None when it does not exist."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(p) if fs.exists(p) else None
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return _fs_status(spark, path) is not None
+
+
+def _fingerprint(spark: SparkSession, paths: list[str]) -> tuple | None:
+    """(path, length, modification time) of the inputs, through the Hadoop
+    FileSystem API so it works for local and distributed storage alike."""
     out = []
-    for p in paths:
-        if "://" in p and not p.startswith("file:"):
-            return None
-        try:
-            st = os.stat(p.replace("file://", ""))
-        except OSError:
+    for path in paths:
+        st = _fs_status(spark, path)
+        if st is None:
             return None
-        out.append((p, st.st_size, st.st_mtime_ns))
+        out.append((path, st.getLen(), st.getModificationTime()))
     return tuple(out)
 
 
 def memo_table(spark: SparkSession, name: str, inputs: list[str], build) -> DataFrame:
     """Materialize ``build()`` once per unchanged set of input files."""
-    fp = _fingerprint(inputs)
+    fp = _fingerprint(spark, inputs)
     key = (name, fp)
     path = _MEMO.get(key) if fp is not None else None
-    if path is not None and os.path.exists(path.replace("file://", "")):
+    if path is not None and path_exists(spark, path):
         return spark.read.parquet(path)
     path = write_table(build(), name)
     if fp is not None:

@@ -26,15 +26,13 @@ from demandops.operators import insights as K
 from demandops.operators import inventory as I
 from demandops.operators import models as MD
 from demandops.operators import quality as Q
+from demandops.plans.materialize import path_exists
 from demandops.session import stage_root
 from demandops.sources.io import load_stage, write_stage
 
 STEPS = ("clean", "explore", "features", "model", "forecast", "inventory", "insights")
 
 
-def _exists(path: str) -> bool:
-    return os.path.exists(path.replace("file://", "")) if "://" not in path or path.startswith("file:") \
-        else False
 
 
 class StageRun:
@@ -48,7 +46,7 @@ class StageRun:
         return os.path.join(self.root, name)
 
     def has(self, name: str) -> bool:
-        return _exists(self.path(name))
+        return path_exists(self.spark, self.path(name))
 
     def put(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         write_stage(df, self.root, name, partition_by=partition_by)
@@ -107,7 +105,7 @@ def run_stages(spark: SparkSession, sales: Callable[[], DataFrame],
             f = need("features")
             cols = FE.feature_columns(f)
             model_path = run.path("model")
-            if _exists(model_path) and "model" not in recompute:
+            if run.has("model") and "model" not in recompute:
                 model = MD.load_model(model_path)
             else:
                 train, _ = EV.train_test(f)
@@ -120,7 +118,7 @@ def run_stages(spark: SparkSession, sales: Callable[[], DataFrame],
         elif step == "forecast":
             f = need("features")
             model = out.get("_model")
-            if model is None and _exists(run.path("model")):
+            if model is None and run.has("model"):
                 model = MD.load_model(run.path("model"))
             forest = MD.forest_forecast(model, FC.future_features(f)) if model is not None else None
             stage("forecast", lambda: FC.hybrid_forecast(f, forest))

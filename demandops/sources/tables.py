@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,19 +33,13 @@ _ROW_COUNTS: dict[tuple, int] = {}
 def _row_count(df: DataFrame) -> int:
     """Row count of a plain scan (+ projection), memoised per unchanged
     input files so repeated plan building does not re-run the job."""
-    files = tuple(sorted(df.inputFiles()))
-    stamp = []
-    for f in files:
-        local = f[len("file:"):] if f.startswith("file:") else f
-        try:
-            st = os.stat(local)
-            stamp.append((f, st.st_size, st.st_mtime_ns))
-        except OSError:
-            return df.count()
-    key = tuple(stamp)
-    if key not in _ROW_COUNTS:
-        _ROW_COUNTS[key] = df.count()
-    return _ROW_COUNTS[key]
+    from demandops.plans.materialize import _fingerprint
+    stamp = _fingerprint(df.sparkSession, sorted(df.inputFiles()))
+    if stamp is None:
+        return df.count()
+    if stamp not in _ROW_COUNTS:
+        _ROW_COUNTS[stamp] = df.count()
+    return _ROW_COUNTS[stamp]
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
