@@ -145,3 +145,16 @@ cte("base_levels", "SELECT b.*, l.service_level, l.zz_ FROM base_fallback b CROS
     "base_fallback", "levels")
 oracle("I19_service_level_sweep", policy_sql("base_levels", "zz_", "service_level, "),
        "base_levels")
+
+
+# I7-I10 are columns of the policy; each is also exposed on its own.
+_POLICY_PARTS = {
+    "I7_safety_stock_rop": ["sigma_L", "safety_stock", "reorder_point"],
+    "I8_eoq": ["annual_demand_est", "unit_cost", "EOQ"],
+    "I9_order_qty": ["on_hand", "reorder_point", "order_qty"],
+    "I10_reorder_alert": ["on_hand", "reorder_point", "reorder_alert"],
+}
+for _name, _cols in _POLICY_PARTS.items():
+    query(_name)(lambda spark, sf, _c=_cols: I.inventory_policy(clean(spark, sf))
+                 .select("store_id", "item_id", *_c))
+    oracle(_name, f"SELECT store_id, item_id, {', '.join(_cols)} FROM policy", "policy")
