@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from demandops.functions.numeric import present
 from demandops.operators import features as FE

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from demandops.functions.numeric import rnd, service_z
 from demandops.operators import inventory as I
 from demandops.plans.catalog import clean, query
-from demandops.plans.oracle import box_sql, oracle
+from demandops.plans.oracle import box_sql, cte, oracle, policy_sql, r
 
 
 @query("I11_inventory_policy")
@@ -13,9 +16,6 @@ def i11(spark, sf):
 
 
 oracle("I11_inventory_policy", "SELECT * FROM policy", "policy")
-from demandops.functions.numeric import rnd
-from demandops.functions.numeric import service_z
-from demandops.plans.oracle import Z95, policy_sql, r, cte
 
 
 @query("I1_latest_attributes")
@@ -43,7 +43,6 @@ oracle("I3_forecast_fallback", f"SELECT store_id, item_id, {r('mu_L', 6)} AS mu_
 @query("I4_demand_std")
 def i4(spark, sf):
     b = I.policy_base(clean(spark, sf))
-    from pyspark.sql import functions as F
     s = F.when(F.col("_std") < I.MIN_STD, I.MIN_STD).otherwise(F.col("_std"))
     return b.select("store_id", "item_id", rnd(s, 6).alias("demand_std"))
 
