@@ -50,12 +50,25 @@ def load_sales(spark: SparkSession, path: str, fmt: str = "parquet",
 
 def write_stage(df: DataFrame, root: str, name: str, fmt: str = "parquet",
                 partition_by: str | list[str] | None = None,
-                mode: str = "overwrite") -> str:
-    """S3: persist a stage table under ``root/name`` (shared storage)."""
+                cluster_by: list[str] | None = None, mode: str = "overwrite") -> str:
+    """S3: persist a stage table under ``root/name`` (shared storage).
+
+    With ``partition_by`` the rows are first range-partitioned on the
+    partition columns followed by ``cluster_by`` (default: the series keys
+    and date when present): every task then holds a contiguous key range and
+    writes few files (about tasks + partition values, instead of tasks x
+    values), and a hot partition value still spreads over several tasks
+    because the range boundaries also cut on the following columns."""
     path = os.path.join(root, name)
+    if partition_by:
+        parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+        if cluster_by is None:
+            cluster_by = [c for c in ("store_id", "item_id", "date") if c in df.columns]
+        order = parts + [c for c in cluster_by if c not in parts]
+        df = df.repartitionByRange(*order)
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+        w = w.partitionBy(*parts)
     if fmt == "csv":
         w.option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
     elif fmt == "parquet":
