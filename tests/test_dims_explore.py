@@ -87,3 +87,27 @@ def test_bracket_quantiles_equal_exact(spark):
     bx = box_stats(df, "g", "v", method="bracket").orderBy("g").collect()
     ex = box_stats(df, "g", "v").orderBy("g").collect()
     assert bx == ex
+
+
+def test_kpi_table_and_dashboard(spark, make_fact):
+    from demandops.operators import inventory as I
+    from demandops.operators.forecasting import croston_forecast
+    rows = (fact_rows("S1", "A", [10, 12, 8, 11] * 10, category="Food", price=2.0, stock=5)
+            + fact_rows("S2", "B", [3, 0, 4, 5] * 10, category="Home", price=10.0, stock=500,
+                        promo=[1, 0, 0, 0] * 10))
+    clean = make_fact(rows)
+    pol = I.inventory_policy(clean)
+    fc = croston_forecast(clean)
+    kpi = {r.metric: (r.value, r.label) for r in K.kpi_table(clean, pol, fc).collect()}
+    assert len(kpi) == 12
+    assert kpi["Total Units Sold"][0] == float(sum(r[5] for r in rows))
+    assert kpi["SKU-Store Combos"][0] == 2.0
+    assert kpi["Top Revenue Category"][1] == "Home"
+    assert kpi["30-Day Forecast Total"][0] == float(int(sum(r.predicted_qty for r in fc.collect())))
+    counts = K.alert_counts(pol).first()
+    assert counts.n_alerts == counts.n_critical + counts.n_warning
+    opts = [(r.kind, r.value) for r in K.filter_options(clean).collect()]
+    assert ("store", "S1") in opts and ("category", "Home") in opts
+    assert K.preview(clean, 5).count() == 5
+    hist = K.series_history_forecast(clean, fc, "A")
+    assert hist.filter("kind = 'history'").count() == 40 and hist.filter("kind = 'forecast'").count() == 30
