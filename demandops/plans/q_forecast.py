@@ -370,3 +370,16 @@ UNION ALL
 SELECT store_id, item_id, forecast_date AS date, predicted_qty AS qty, 'forecast' AS kind
 FROM cro_fc WHERE item_id = '{A4_ITEM}' AND store_id = (SELECT MIN(store_id) FROM clean)""",
        "clean", "cro_fc")
+
+
+@query("M4_seasonal_naive_28_full")
+def m4_full(spark, sf):
+    # honest variant: lag over the whole history, then keep the test slice
+    return EV.seasonal_naive(features(spark, sf), history="full").select(
+        *KEYS, "date", "qty_sold", "naive")
+
+
+oracle("M4_seasonal_naive_28_full", f"""
+SELECT store_id, item_id, date, qty_sold, naive FROM (
+  SELECT *, COALESCE(CAST(LAG(qty_sold, {EV.SEASON_ROWS}) OVER ({W}) AS DOUBLE), CAST(0 AS DOUBLE)) AS naive
+  FROM features) WHERE date > {CUTOFF}""", "features")

@@ -10,10 +10,15 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "demandops") -> SparkSession:
-    """A local session for tests and benchmarks (a cluster brings its own)."""
+                  app: str = "demandops", event_log_dir: str | None = None) -> SparkSession:
+    """A local session for tests and benchmarks (a cluster brings its own).
+    ``event_log_dir`` turns on Spark's event log (stage and task timings)."""
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                          .config("spark.eventLog.dir", event_log_dir))
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
