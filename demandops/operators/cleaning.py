@@ -72,7 +72,12 @@ def impute_price_median(df: DataFrame, by: str = "item_id", price: str = "price"
     strategy from its measured size."""
     if price not in df.columns:
         return df
-    medians = group_median(df, by, price, method, out="_median_price")
+    # Only items with a missing price need their median: restrict the median
+    # input to those items (a semi-join on a small distinct).  When no price
+    # is missing, AQE sees the empty side and prunes the median entirely.
+    needing = df.where(F.col(price).isNull()).select(by).distinct()
+    medians = group_median(df.join(needing, by, "left_semi"), by, price, method,
+                           out="_median_price")
     return (df.join(medians, by, "left")
               .withColumn(price, F.coalesce(F.col(price), F.col("_median_price")))
               .drop("_median_price").select(*df.columns))
