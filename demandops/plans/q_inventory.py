@@ -157,3 +157,13 @@ for _name, _cols in _POLICY_PARTS.items():
     query(_name)(lambda spark, sf, _c=_cols: I.inventory_policy(clean(spark, sf))
                  .select("store_id", "item_id", *_c))
     oracle(_name, f"SELECT store_id, item_id, {', '.join(_cols)} FROM policy", "policy")
+
+
+@query("I6_service_z")
+def i6(spark, sf):
+    # z per service level as used by the policy rows (3 dp, as in the table)
+    return I.service_level_sweep(clean(spark, sf), SWEEP).select("service_level", "z_score").distinct()
+
+
+oracle("I6_service_z", f"SELECT DISTINCT service_level, z_score FROM ({policy_sql('base_levels', 'zz_', 'service_level, ')})",
+       "base_levels")

@@ -328,3 +328,15 @@ FROM clean
 WHERE store_id IS NOT NULL AND item_id IS NOT NULL AND category IS NOT NULL
   AND product_name IS NOT NULL AND week_start IS NOT NULL
 GROUP BY store_id, item_id, category, product_name, week_start""", "clean")
+
+
+@query("Q1_required_columns")
+def q1(spark, sf):
+    # the plan-time check runs inside the report (and raises when a column is
+    # missing); its row of the report is the query's result
+    return Q.quality_report(raw(spark, sf)).filter(F.col("check") == "missing_columns")
+
+
+oracle("Q1_required_columns", """
+SELECT 1 AS ordinal, 'missing_columns' AS "check", CAST(0 AS DOUBLE) AS value, 'pass' AS status
+FROM (SELECT COUNT(*) FROM raw)""", "raw")
