@@ -68,26 +68,21 @@ def croston_fc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forest_model(spark: SparkSession, sf_dir: str):
     """The trained forest as a stage: fitted once per input on the training
-    split of the feature stage, saved (S4) and loaded back."""
+    split of the feature stage, saved with its test metrics (S4) and loaded
+    back.  Returns (model, path)."""
     from demandops.operators import evaluation as EV
     from demandops.operators import features as FE
     from demandops.operators import models as MD
-    from demandops.plans.materialize import _MEMO, _fingerprint, path_exists
-    import os
-    import uuid
-    from demandops.session import stage_root
-    fp = _fingerprint(spark, _inputs(sf_dir))
-    key = ("forest_model", fp)
-    path = _MEMO.get(key) if fp is not None else None
-    if path is None or not path_exists(spark, path):
+    from demandops.plans.materialize import memo_artifact
+
+    def fit_and_save(path: str) -> None:
         f = features(spark, sf_dir)
         train, _ = EV.train_test(f)
         model = MD.train_forest(train, FE.feature_columns(f))
-        path = os.path.join(stage_root(spark, "models"), f"forest-{uuid.uuid4().hex[:12]}")
-        test = EV.seasonal_naive(f)
-        MD.save_model(model, path, EV.forecast_metrics(MD.predict_clipped(model, test)))
-        if fp is not None:
-            _MEMO[key] = path
+        metrics = EV.forecast_metrics(MD.predict_clipped(model, EV.seasonal_naive(f)))
+        MD.save_model(model, path, metrics)
+
+    path = memo_artifact(spark, "forest", _inputs(sf_dir), fit_and_save)
     return MD.load_model(path), path
 
 

@@ -69,3 +69,18 @@ def memo_table(spark: SparkSession, name: str, inputs: list[str], build) -> Data
     if fp is not None:
         _MEMO[key] = path
     return spark.read.parquet(path)
+
+
+def memo_artifact(spark: SparkSession, name: str, inputs: list[str], save) -> str:
+    """Like ``memo_table`` for artefacts written by ``save(path)`` (e.g. a
+    fitted model): returns the path, saving once per unchanged input."""
+    fp = _fingerprint(spark, inputs)
+    key = (name, fp)
+    path = _MEMO.get(key) if fp is not None else None
+    if path is not None and path_exists(spark, path):
+        return path
+    path = os.path.join(stage_root(spark, "models"), f"{name}-{uuid.uuid4().hex[:12]}")
+    save(path)
+    if fp is not None:
+        _MEMO[key] = path
+    return path
