@@ -35,7 +35,8 @@ def _inputs(sf_dir: str) -> list[str]:
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily fact, materialised once per input (stage boundary)."""
     from demandops.plans.materialize import memo_table
-    return memo_table(spark, "sales_fact", _inputs(sf_dir), lambda: sales_fact(spark, sf_dir))
+    return memo_table(spark, "sales_fact", _inputs(sf_dir), lambda: sales_fact(spark, sf_dir),
+                      bucket_by=["store_id", "item_id"], sort_by=["date"])
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +56,8 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandops.operators.features import engineer_features
     from demandops.plans.materialize import memo_table
     return memo_table(spark, "features", _inputs(sf_dir),
-                      lambda: engineer_features(clean(spark, sf_dir)))
+                      lambda: engineer_features(clean(spark, sf_dir)),
+                      bucket_by=["store_id", "item_id"], sort_by=["date"])
 
 
 def croston_fc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +65,8 @@ def croston_fc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandops.operators.forecasting import croston_forecast
     from demandops.plans.materialize import memo_table
     return memo_table(spark, "forecast_croston", _inputs(sf_dir),
-                      lambda: croston_forecast(features(spark, sf_dir)))
+                      lambda: croston_forecast(features(spark, sf_dir)),
+                      bucket_by=["store_id", "item_id"], sort_by=["forecast_date"])
 
 
 def forest_model(spark: SparkSession, sf_dir: str):

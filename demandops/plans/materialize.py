@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from demandops.session import stage_root
 
-_MEMO: dict[tuple, str] = {}
+_MEMO: dict[tuple, tuple[str, int]] = {}
 
 
 def write_table(df: DataFrame, name: str) -> str:
@@ -33,6 +33,37 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(write_table(df, name))
 
 
+# ---------------------------------------------------------------- buckets --
+# A stage written bucketed on the series key is read back with that hash
+# partitioning known to the planner, so per-series windows and aggregates
+# downstream need no exchange.  Bucketed tables live at an explicit location
+# in the shared folder; the session catalog only keeps their definition and
+# is re-pointed at the files when a new session reads a memoised stage.
+
+def _table_name(path: str) -> str:
+    return "demandops_" + os.path.basename(path.rstrip("/")).replace("-", "_")
+
+
+def write_bucketed(df: DataFrame, name: str, keys: list[str], sort_by: list[str],
+                   buckets: int | None = None) -> str:
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = os.path.join(stage_root(spark, "tables"), f"{name}-{uuid.uuid4().hex[:12]}")
+    # one hash shuffle on the keys first, so every bucket is one file
+    (df.repartition(n, *keys).write.mode("overwrite").format("parquet")
+       .bucketBy(n, *keys).sortBy(*sort_by).option("path", path).saveAsTable(_table_name(path)))
+    return path
+
+
+def read_bucketed(spark: SparkSession, path: str, keys: list[str], sort_by: list[str],
+                  buckets: int) -> DataFrame:
+    table = _table_name(path)
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {table} USING parquet CLUSTERED BY ({', '.join(keys)}) "
+                  f"SORTED BY ({', '.join(sort_by)}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
 def _fs_status(spark: SparkSession, path: str):
     """Hadoop FileStatus of ``path`` (any file system the cluster can reach),
     or None when it does not exist."""
@@ -58,16 +89,24 @@ def _fingerprint(spark: SparkSession, paths: list[str]) -> tuple | None:
     return tuple(out)
 
 
-def memo_table(spark: SparkSession, name: str, inputs: list[str], build) -> DataFrame:
-    """Materialize ``build()`` once per unchanged set of input files."""
+def memo_table(spark: SparkSession, name: str, inputs: list[str], build,
+               bucket_by: list[str] | None = None, sort_by: list[str] | None = None) -> DataFrame:
+    """Materialize ``build()`` once per unchanged set of input files;
+    optionally bucketed on ``bucket_by`` (sorted by ``sort_by``)."""
     fp = _fingerprint(spark, inputs)
-    key = (name, fp)
-    path = _MEMO.get(key) if fp is not None else None
-    if path is not None and path_exists(spark, path):
-        return spark.read.parquet(path)
-    path = write_table(build(), name)
+    key = (name, fp, tuple(bucket_by or ()))
+    hit = _MEMO.get(key) if fp is not None else None
+    if hit is not None and path_exists(spark, hit[0]):
+        path, n = hit
+    elif bucket_by:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        path = write_bucketed(build(), name, list(bucket_by), list(sort_by or ()), n)
+    else:
+        path, n = write_table(build(), name), 0
     if fp is not None:
-        _MEMO[key] = path
+        _MEMO[key] = (path, n)
+    if bucket_by:
+        return read_bucketed(spark, path, list(bucket_by), list(sort_by or ()), n)
     return spark.read.parquet(path)
 
 
@@ -75,12 +114,12 @@ def memo_artifact(spark: SparkSession, name: str, inputs: list[str], save) -> st
     """Like ``memo_table`` for artefacts written by ``save(path)`` (e.g. a
     fitted model): returns the path, saving once per unchanged input."""
     fp = _fingerprint(spark, inputs)
-    key = (name, fp)
-    path = _MEMO.get(key) if fp is not None else None
-    if path is not None and path_exists(spark, path):
-        return path
+    key = (name, fp, "artifact")
+    hit = _MEMO.get(key) if fp is not None else None
+    if hit is not None and path_exists(spark, hit[0]):
+        return hit[0]
     path = os.path.join(stage_root(spark, "models"), f"{name}-{uuid.uuid4().hex[:12]}")
     save(path)
     if fp is not None:
-        _MEMO[key] = path
+        _MEMO[key] = (path, 0)
     return path

@@ -60,7 +60,8 @@ def dense_features(spark, sf):
     from demandops.plans.catalog import _inputs
     from demandops.plans.materialize import memo_table
     return memo_table(spark, "features_dense", _inputs(sf),
-                      lambda: FE.engineer_features(dense(spark, sf)))
+                      lambda: FE.engineer_features(dense(spark, sf)),
+                      bucket_by=["store_id", "item_id"], sort_by=["date"])
 
 
 DENSE_FEATURES = feature_ctes("dense", "_dense")

@@ -59,3 +59,14 @@ def test_fact_is_materialised_once(spark):
     a = fact(spark, SF_SMALL).inputFiles()
     b = fact(spark, SF_SMALL).inputFiles()
     assert a == b and F is not None
+
+
+def test_nation_brand_grain(spark):
+    from demandops.operators.cleaning import clean_sales
+    from demandops.operators.inventory import inventory_policy
+    f = sales_fact(spark, SF_SMALL, grain="nation_brand")
+    n_series = f.select("store_id", "item_id").distinct().count()
+    assert 25 < n_series <= 625
+    assert f.groupBy("store_id", "item_id", "date").count().filter("count > 1").count() == 0
+    pol = inventory_policy(clean_sales(f, unique_keys=True))
+    assert pol.count() <= n_series and pol.filter("EOQ IS NULL").count() == 0
