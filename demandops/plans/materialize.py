@@ -100,13 +100,19 @@ def memo_table(spark: SparkSession, name: str, inputs: list[str], build,
         path, n = hit
     elif bucket_by:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        path = write_bucketed(build(), name, list(bucket_by), list(sort_by or ()), n)
+        try:
+            path = write_bucketed(build(), name, list(bucket_by), list(sort_by or ()), n)
+        except Exception:  # noqa: BLE001  (no usable catalog: plain stage, same rows)
+            path, n = write_table(build(), name), 0
     else:
         path, n = write_table(build(), name), 0
     if fp is not None:
         _MEMO[key] = (path, n)
-    if bucket_by:
-        return read_bucketed(spark, path, list(bucket_by), list(sort_by or ()), n)
+    if bucket_by and n:
+        try:
+            return read_bucketed(spark, path, list(bucket_by), list(sort_by or ()), n)
+        except Exception:  # noqa: BLE001  (same files, read without the bucket spec)
+            pass
     return spark.read.parquet(path)
 
 
