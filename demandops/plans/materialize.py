@@ -44,10 +44,22 @@ def _table_name(path: str) -> str:
     return "demandops_" + os.path.basename(path.rstrip("/")).replace("-", "_")
 
 
+BUCKETS_CONF = "demandops.stage.buckets"
+
+
+def stage_buckets(spark: SparkSession) -> int:
+    """Bucket count for stage tables: the session setting if given, else the
+    cluster's default parallelism (one bucket per core), so every reading
+    task gets one bucket.  All bucketed stages share it, which keeps them
+    co-partitioned with each other."""
+    conf = spark.conf.get(BUCKETS_CONF, None)
+    return int(conf) if conf else max(1, spark.sparkContext.defaultParallelism)
+
+
 def write_bucketed(df: DataFrame, name: str, keys: list[str], sort_by: list[str],
                    buckets: int | None = None) -> str:
     spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or stage_buckets(spark)
     path = os.path.join(stage_root(spark, "tables"), f"{name}-{uuid.uuid4().hex[:12]}")
     # one hash shuffle on the keys first, so every bucket is one file
     (df.repartition(n, *keys).write.mode("overwrite").format("parquet")
@@ -99,7 +111,7 @@ def memo_table(spark: SparkSession, name: str, inputs: list[str], build,
     if hit is not None and path_exists(spark, hit[0]):
         path, n = hit
     elif bucket_by:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = stage_buckets(spark)
         try:
             path = write_bucketed(build(), name, list(bucket_by), list(sort_by or ()), n)
         except Exception:  # noqa: BLE001  (no usable catalog: plain stage, same rows)
