@@ -16,6 +16,7 @@ from demandops import SERIES_KEYS
 from demandops.functions.numeric import exact_mean, rnd
 from demandops.functions.windows import series_window
 
+# 60-day holdout, seasonal naive 28 rows back.
 TEST_DAYS = 60
 SEASON_ROWS = 28
 

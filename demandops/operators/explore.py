@@ -14,7 +14,8 @@ from demandops.functions.numeric import exact_sum, rnd
 from demandops.functions.stats import box_stats
 from demandops.functions.windows import trailing_strict_mean
 
-# Weekday names, Monday = 0 (Spark ``weekday``).
+# Weekday names (Monday = 0, Spark ``weekday``) and the numeric
+# columns of the correlation matrix.
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 CORR_COLUMNS = ["qty_sold", "price", "discount_pct", "on_promo", "holiday_flag",
                 "festival_flag", "stock_on_hand"]

@@ -20,11 +20,13 @@ from demandops.functions.numeric import safe_div
 from demandops.functions.stats import group_median
 from demandops.functions.windows import series_window, strict_rolling
 
+# Fixed values (the reference's default feature set): lags, rolling windows,
+# promo windows, encoded columns, excluded columns.
 LAGS = (1, 2, 3, 7, 14)
 WINDOWS = (7, 14, 28)
 PROMO_WINDOWS = (7, 14)
 ENCODED = ("store_id", "item_id", "category")
-# Identifiers and leakage columns never used as model inputs (fixed list).
+# identifiers and leakage columns, never model inputs
 EXCLUDED = ("date", "qty_sold", "store_id", "item_id", "product_name", "category",
             "stockout_flag", "stock_on_hand", "week_start")
 CALENDAR_COLUMNS = ["dow", "is_weekend", "day_of_month", "week_of_year", "month", "quarter",

@@ -25,6 +25,8 @@ from demandops.functions.numeric import exact_sum, rnd
 from demandops.functions.windows import series_window
 from demandops.operators.features import calendar_columns
 
+# 30-day horizon, smoothing 0.1, intermittent above 30 % zeros,
+# method labels.
 HORIZON = 30
 ALPHA = 0.1
 INTERMITTENT_SHARE = 0.30

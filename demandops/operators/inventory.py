@@ -25,6 +25,8 @@ from demandops import SERIES_KEYS
 from demandops.functions.numeric import rnd, service_z
 from demandops.functions.stats import box_stats
 
+# 95 % service level, 30-day horizon, demand std floor 0.1,
+# output column lists.
 DEFAULT_SERVICE = 0.95
 DEFAULT_HORIZON = 30
 MIN_STD = 0.1
