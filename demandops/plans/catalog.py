@@ -43,6 +43,17 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_raw(spark, sf_dir)
 
 
+def raw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep-first de-duplication of the line-grain input as a stage: bounded
+    by the (store, item, day) key space and read by two consumers (the rows
+    and the per-item medians)."""
+    from demandops.operators.cleaning import dedup_keep_first
+    from demandops.plans.materialize import memo_table
+    return memo_table(spark, "raw_dedup", _inputs(sf_dir),
+                      lambda: dedup_keep_first(sales_raw(spark, sf_dir)).drop("ingest_order"),
+                      bucket_by=["store_id", "item_id"], sort_by=["date"])
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reference's clean table, derived from the daily fact (whose
     (store, item, date) keys are unique by construction)."""

@@ -284,12 +284,10 @@ FROM a""", "raw_dedup")
 
 
 def clean_raw(spark, sf):
-    """C9 over the line-grain input with a stage boundary after keep-first
-    de-duplication: its output is bounded by the (store, item, day) key
-    space, and it feeds two consumers (the rows and the per-item medians)."""
-    from demandops.plans.materialize import materialize
-    kept = materialize(C.dedup_keep_first(raw(spark, sf)).drop("ingest_order"), "raw_dedup")
-    return C.clean_sales(kept, unique_keys=True)
+    """C9 over the line-grain input, reading the keep-first stage
+    (``catalog.raw_dedup``) written once per input."""
+    from demandops.plans.catalog import raw_dedup
+    return C.clean_sales(raw_dedup(spark, sf), unique_keys=True)
 
 
 @query("C9_clean_sales")
