@@ -70,3 +70,26 @@ def test_nation_brand_grain(spark):
     assert f.groupBy("store_id", "item_id", "date").count().filter("count > 1").count() == 0
     pol = inventory_policy(clean_sales(f, unique_keys=True))
     assert pol.count() <= n_series and pol.filter("EOQ IS NULL").count() == 0
+
+
+def test_memo_rebuilds_when_input_changes(spark, tmp_path):
+    import os
+    import time as _t
+    from demandops.plans.materialize import memo_table
+    src = str(tmp_path / "in.parquet")
+    spark.range(5).write.parquet(src)
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.read.parquet(src).withColumn("store_id", F.lit("S")).withColumn(
+            "item_id", F.lit("I"))
+
+    a = memo_table(spark, "t", [src], build, bucket_by=["store_id", "item_id"], sort_by=["id"])
+    b = memo_table(spark, "t", [src], build, bucket_by=["store_id", "item_id"], sort_by=["id"])
+    assert len(calls) == 1 and a.count() == b.count() == 5
+    _t.sleep(1.1)
+    spark.range(7).write.mode("overwrite").parquet(src)
+    os.utime(src)
+    c = memo_table(spark, "t", [src], build, bucket_by=["store_id", "item_id"], sort_by=["id"])
+    assert len(calls) == 2 and c.count() == 7
