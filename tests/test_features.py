@@ -75,3 +75,12 @@ def test_one_exchange_for_all_series_windows(spark, make_fact):
                           **FE.time_index_column()})
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 1
+
+
+def test_zero_price_gives_null_margin_not_error(spark, make_fact):
+    rows = fact_rows("S", "Z", [5] * 40, price=0.0, cost=0.0)
+    df = _clean(make_fact, rows)
+    out = FE.price_features(df).select("gross_margin_pct", "price_vs_cat_median").collect()
+    assert all(r.gross_margin_pct is None for r in out)
+    assert all(r.price_vs_cat_median == 0.0 for r in out)
+    assert FE.engineer_features(df).count() == 0      # NULL margin -> dropped with cold start
