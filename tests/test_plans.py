@@ -93,3 +93,19 @@ def test_memo_rebuilds_when_input_changes(spark, tmp_path):
     os.utime(src)
     c = memo_table(spark, "t", [src], build, bucket_by=["store_id", "item_id"], sort_by=["id"])
     assert len(calls) == 2 and c.count() == 7
+
+
+def test_hot_key_aggregates_combine_before_the_shuffle(spark):
+    from demandops.operators import cleaning as C
+    from demandops.operators import quality as Q
+    from demandops.sources.adapter import sales_raw
+    raw = sales_raw(spark, SF_SMALL)
+    hot = F.col("ingest_order.l_orderkey") % 3 == 0
+    skewed = raw.withColumns({c: F.when(hot, F.lit("HOT")).otherwise(F.col(c))
+                              for c in ("store_id", "item_id")})
+    for df in (C.dedup_keep_first(skewed), Q.quality_report(skewed), C.clean_audit(skewed)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        partial = plan.find("partial_")
+        assert partial != -1                      # map-side partial aggregate exists
+        assert "Window" not in plan               # no per-key window over the raw rows
+    assert C.dedup_keep_first(skewed).filter("store_id = 'HOT'").count() < 3000
