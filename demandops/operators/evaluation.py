@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandops import SERIES_KEYS
-from demandops.functions.numeric import exact_mean, rnd
-from demandops.functions.windows import series_window
+from demandops.functions.numeric import exact_mean, exact_sum, rnd
+from demandops.functions.windows import series_window, strict_rolling
 
 # 60-day holdout, seasonal naive 28 rows back.
 TEST_DAYS = 60
@@ -57,7 +57,6 @@ def naive_lag1(target: str = "qty_sold", keys: Sequence[str] = SERIES_KEYS) -> C
 
 def moving_average_7(target: str = "qty_sold", keys: Sequence[str] = SERIES_KEYS) -> Column:
     """Mean of the previous 7 rows (strict) - the rollmean_7 feature."""
-    from demandops.functions.windows import strict_rolling
     return strict_rolling(target, 7, F.avg, keys)
 
 
@@ -94,7 +93,6 @@ def mae_by_category(df: DataFrame, y: str = "qty_sold", yhat: str = "predicted")
 
 def actual_vs_predicted_daily(df: DataFrame, y: str = "qty_sold", yhat: str = "predicted") -> DataFrame:
     """M8: per date total actual and total predicted."""
-    from demandops.functions.numeric import exact_sum
     return df.groupBy("date").agg(F.sum(y).alias("actual"), exact_sum(yhat).alias("predicted"))
 
 

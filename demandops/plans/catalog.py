@@ -11,8 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandops.operators.cleaning import clean_sales
+from demandops.operators import evaluation as EV
+from demandops.operators import features as FE
+from demandops.operators import models as MD
+from demandops.operators.cleaning import clean_sales, dedup_keep_first
+from demandops.operators.forecasting import croston_forecast
+from demandops.plans.materialize import memo_artifact, memo_table
 from demandops.sources.adapter import sales_fact, sales_raw
+from demandops.sources.tables import table_path
+
+SERIES = ["store_id", "item_id"]
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -27,16 +35,14 @@ def query(name: str) -> Callable[[QueryFn], QueryFn]:
     return deco
 
 
-def _inputs(sf_dir: str) -> list[str]:
-    from demandops.sources.tables import table_path
+def input_paths(sf_dir: str) -> list[str]:
     return [table_path(sf_dir, t) for t in ("lineitem", "part", "supplier", "nation", "region")]
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily fact, materialised once per input (stage boundary)."""
-    from demandops.plans.materialize import memo_table
-    return memo_table(spark, "sales_fact", _inputs(sf_dir), lambda: sales_fact(spark, sf_dir),
-                      bucket_by=["store_id", "item_id"], sort_by=["date"])
+    return memo_table(spark, "sales_fact", input_paths(sf_dir), lambda: sales_fact(spark, sf_dir),
+                      bucket_by=SERIES, sort_by=["date"])
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,11 +53,9 @@ def raw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keep-first de-duplication of the line-grain input as a stage: bounded
     by the (store, item, day) key space and read by two consumers (the rows
     and the per-item medians)."""
-    from demandops.operators.cleaning import dedup_keep_first
-    from demandops.plans.materialize import memo_table
-    return memo_table(spark, "raw_dedup", _inputs(sf_dir),
+    return memo_table(spark, "raw_dedup", input_paths(sf_dir),
                       lambda: dedup_keep_first(sales_raw(spark, sf_dir)).drop("ingest_order"),
-                      bucket_by=["store_id", "item_id"], sort_by=["date"])
+                      bucket_by=SERIES, sort_by=["date"])
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,31 +68,22 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table as a stage (materialised once per input), as the
     reference's features file; consumers (split, baselines, forecasting)
     read it instead of re-deriving the windows in every subquery."""
-    from demandops.operators.features import engineer_features
-    from demandops.plans.materialize import memo_table
-    return memo_table(spark, "features", _inputs(sf_dir),
-                      lambda: engineer_features(clean(spark, sf_dir)),
-                      bucket_by=["store_id", "item_id"], sort_by=["date"])
+    return memo_table(spark, "features", input_paths(sf_dir),
+                      lambda: FE.engineer_features(clean(spark, sf_dir)),
+                      bucket_by=SERIES, sort_by=["date"])
 
 
 def croston_fc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic forecast stage for every series (Croston/SBA, 30 days)."""
-    from demandops.operators.forecasting import croston_forecast
-    from demandops.plans.materialize import memo_table
-    return memo_table(spark, "forecast_croston", _inputs(sf_dir),
+    return memo_table(spark, "forecast_croston", input_paths(sf_dir),
                       lambda: croston_forecast(features(spark, sf_dir)),
-                      bucket_by=["store_id", "item_id"], sort_by=["forecast_date"])
+                      bucket_by=SERIES, sort_by=["forecast_date"])
 
 
 def forest_model(spark: SparkSession, sf_dir: str):
     """The trained forest as a stage: fitted once per input on the training
     split of the feature stage, saved with its test metrics (S4) and loaded
     back.  Returns (model, path)."""
-    from demandops.operators import evaluation as EV
-    from demandops.operators import features as FE
-    from demandops.operators import models as MD
-    from demandops.plans.materialize import memo_artifact
-
     def fit_and_save(path: str) -> None:
         f = features(spark, sf_dir)
         train, _ = EV.train_test(f)
@@ -96,7 +91,7 @@ def forest_model(spark: SparkSession, sf_dir: str):
         metrics = EV.forecast_metrics(MD.predict_clipped(model, EV.seasonal_naive(f)))
         MD.save_model(model, path, metrics)
 
-    path = memo_artifact(spark, "forest", _inputs(sf_dir), fit_and_save)
+    path = memo_artifact(spark, "forest", input_paths(sf_dir), fit_and_save)
     return MD.load_model(path), path
 
 

@@ -18,6 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from demandops.session import stage_root
+from demandops.sources.fs import fingerprint, path_exists
 
 _MEMO: dict[tuple, tuple[str, int]] = {}
 
@@ -76,36 +77,11 @@ def read_bucketed(spark: SparkSession, path: str, keys: list[str], sort_by: list
     return spark.table(table)
 
 
-def _fs_status(spark: SparkSession, path: str):
-    """Hadoop FileStatus of ``path`` (any file system the cluster can reach),
-    or None when it does not exist."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getFileStatus(p) if fs.exists(p) else None
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    return _fs_status(spark, path) is not None
-
-
-def _fingerprint(spark: SparkSession, paths: list[str]) -> tuple | None:
-    """(path, length, modification time) of the inputs, through the Hadoop
-    FileSystem API so it works for local and distributed storage alike."""
-    out = []
-    for path in paths:
-        st = _fs_status(spark, path)
-        if st is None:
-            return None
-        out.append((path, st.getLen(), st.getModificationTime()))
-    return tuple(out)
-
-
 def memo_table(spark: SparkSession, name: str, inputs: list[str], build,
                bucket_by: list[str] | None = None, sort_by: list[str] | None = None) -> DataFrame:
     """Materialize ``build()`` once per unchanged set of input files;
     optionally bucketed on ``bucket_by`` (sorted by ``sort_by``)."""
-    fp = _fingerprint(spark, inputs)
+    fp = fingerprint(spark, inputs)
     key = (name, fp, tuple(bucket_by or ()))
     hit = _MEMO.get(key) if fp is not None else None
     if hit is not None and path_exists(spark, hit[0]):
@@ -131,7 +107,7 @@ def memo_table(spark: SparkSession, name: str, inputs: list[str], build,
 def memo_artifact(spark: SparkSession, name: str, inputs: list[str], save) -> str:
     """Like ``memo_table`` for artefacts written by ``save(path)`` (e.g. a
     fitted model): returns the path, saving once per unchanged input."""
-    fp = _fingerprint(spark, inputs)
+    fp = fingerprint(spark, inputs)
     key = (name, fp, "artifact")
     hit = _MEMO.get(key) if fp is not None else None
     if hit is not None and path_exists(spark, hit[0]):

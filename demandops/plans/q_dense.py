@@ -8,7 +8,8 @@ from demandops.functions.numeric import present
 from demandops.operators import dims as D
 from demandops.operators import features as FE
 from demandops.operators import forecasting as FC
-from demandops.plans.catalog import clean, query
+from demandops.plans.catalog import SERIES, clean, input_paths, query
+from demandops.plans.materialize import memo_table
 from demandops.plans.oracle import A, cte, oracle, r
 from demandops.plans.q_features import FEATURE_ORDER, feature_ctes, rounded
 from demandops.plans.q_forecast import croston_ctes
@@ -57,11 +58,9 @@ LEFT JOIN (SELECT store_id, item_id, arg_max(product_name, date) AS product_name
 
 def dense_features(spark, sf):
     """Feature table over the dense panel, as a stage (materialised once)."""
-    from demandops.plans.catalog import _inputs
-    from demandops.plans.materialize import memo_table
-    return memo_table(spark, "features_dense", _inputs(sf),
+    return memo_table(spark, "features_dense", input_paths(sf),
                       lambda: FE.engineer_features(dense(spark, sf)),
-                      bucket_by=["store_id", "item_id"], sort_by=["date"])
+                      bucket_by=SERIES, sort_by=["date"])
 
 
 DENSE_FEATURES = feature_ctes("dense", "_dense")

@@ -11,7 +11,8 @@ from demandops.operators import forecasting as FC
 from demandops.operators import insights as K
 from demandops.operators import inventory as I
 from demandops.plans.catalog import clean, croston_fc, features, query
-from demandops.plans.oracle import cte, mean, oracle, policy_sql, r, Z95
+from demandops.plans.oracle import Z95, cte, mean, oracle, policy_sql, r
+from demandops.plans.q_features import CAL_SQL, FEATURE_ORDER, rounded
 
 KEYS = ["store_id", "item_id"]
 W = "PARTITION BY store_id, item_id ORDER BY date"
@@ -240,7 +241,6 @@ def m23(spark, sf):
 
 
 def _m23_sql() -> str:
-    from demandops.plans.q_features import CAL_SQL, FEATURE_ORDER, rounded
     cal = set(CAL_SQL)
     inner = ", ".join(
         ("h.forecast_date AS date" if c == "date"

@@ -8,7 +8,7 @@ from demandops.functions.numeric import present
 from demandops.operators import cleaning as C
 from demandops.operators import dims as D
 from demandops.operators import quality as Q
-from demandops.plans.catalog import clean, fact, query, raw
+from demandops.plans.catalog import clean, fact, query, raw, raw_dedup
 from demandops.plans.oracle import A, mean, oracle, r
 from demandops.sources.io import profile_sales
 from demandops.sources.tables import read_table
@@ -286,7 +286,6 @@ FROM a""", "raw_dedup")
 def clean_raw(spark, sf):
     """C9 over the line-grain input, reading the keep-first stage
     (``catalog.raw_dedup``) written once per input."""
-    from demandops.plans.catalog import raw_dedup
     return C.clean_sales(raw_dedup(spark, sf), unique_keys=True)
 
 

@@ -26,7 +26,7 @@ from demandops.operators import insights as K
 from demandops.operators import inventory as I
 from demandops.operators import models as MD
 from demandops.operators import quality as Q
-from demandops.plans.materialize import path_exists
+from demandops.sources.fs import path_exists
 from demandops.session import stage_root
 from demandops.sources.io import load_stage, write_stage
 

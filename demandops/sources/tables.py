@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import os
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandops.sources.fs import fingerprint
+
 # A lookup side is broadcast only when its row count is below this bound;
 # beyond it the join stays a shuffle join (and AQE may still convert it at
 # runtime from measured sizes).  Overridable per session.
@@ -33,8 +34,7 @@ _ROW_COUNTS: dict[tuple, int] = {}
 def _row_count(df: DataFrame) -> int:
     """Row count of a plain scan (+ projection), memoised per unchanged
     input files so repeated plan building does not re-run the job."""
-    from demandops.plans.materialize import _fingerprint
-    stamp = _fingerprint(df.sparkSession, sorted(df.inputFiles()))
+    stamp = fingerprint(df.sparkSession, sorted(df.inputFiles()))
     if stamp is None:
         return df.count()
     if stamp not in _ROW_COUNTS:
