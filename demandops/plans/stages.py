@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandops.operators import cleaning as C
+from demandops.operators import dims as D
 from demandops.operators import evaluation as EV
 from demandops.operators import explore as E
 from demandops.operators import features as FE
@@ -59,9 +60,16 @@ class StageRun:
 def run_stages(spark: SparkSession, sales: Callable[[], DataFrame],
                steps: Sequence[str] = STEPS, root: str | None = None,
                recompute: Sequence[str] = (), service: float = 0.95,
-               forest_params: dict | None = None) -> dict[str, DataFrame]:
+               forest_params: dict | None = None, dense: bool = False,
+               holiday_month_days: Sequence[str] | None = None,
+               festival_windows: Sequence[tuple[str, str]] | None = None) -> dict[str, DataFrame]:
     """Run the chosen steps in order; return every stage table produced or
-    reused, keyed by name (each read back from the run folder)."""
+    reused, keyed by name (each read back from the run folder).
+
+    ``dense=True`` zero-fills each series' gaps (``dims.densify``, calendar
+    flags recomputed from the given rules) before features, so zero shares
+    and the Croston branch of the forecast are meaningful on sparse data;
+    the inventory step keeps using the observed clean history."""
     run = StageRun(spark, root)
     out: dict[str, DataFrame] = {}
 
@@ -100,7 +108,11 @@ def run_stages(spark: SparkSession, sales: Callable[[], DataFrame],
                              ("qty_distribution", E.qty_distribution), ("eda_summary", E.eda_summary)):
                 stage(f"eda_{name}", lambda fn=fn: fn(c))
         elif step == "features":
-            stage("features", lambda: FE.engineer_features(need("clean")))
+            base = need("clean")
+            if dense:
+                base = stage("dense", lambda: D.densify(base, holiday_month_days=holiday_month_days,
+                                                          festival_windows=festival_windows))
+            stage("features", lambda: FE.engineer_features(base))
         elif step == "model":
             f = need("features")
             cols = FE.feature_columns(f)

@@ -109,3 +109,16 @@ def test_hot_key_aggregates_combine_before_the_shuffle(spark):
         assert partial != -1                      # map-side partial aggregate exists
         assert "Window" not in plan               # no per-key window over the raw rows
     assert C.dedup_keep_first(skewed).filter("store_id = 'HOT'").count() < 3000
+
+
+def test_stage_runner_dense_uses_croston(spark, tmp_path):
+    from demandops.plans.catalog import raw
+    from demandops.sources import adapter as A
+    out = run_stages(spark, lambda: raw(spark, SF_SMALL).drop("ingest_order"),
+                     root=str(tmp_path / "dense"), forest_params={"numTrees": 5, "maxDepth": 4},
+                     steps=("clean", "features", "model", "forecast", "inventory"), dense=True,
+                     holiday_month_days=A.HOLIDAY_MONTH_DAYS, festival_windows=A.festival_windows())
+    methods = {r.method for r in out["forecast"].select("method").distinct().collect()}
+    assert "Croston/SBA" in methods
+    assert out["dense"].count() > out["clean"].count()
+    assert out["policy"].count() == 30
