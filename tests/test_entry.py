@@ -35,3 +35,23 @@ def test_sample_queries_match_duckdb(spark):
         got = qs[name](spark, SF_SMALL).toPandas()
         exp = con.execute(orc[name]).df()
         assert compare(got, exp) in ("OK", "APPROX"), name
+
+
+def test_results_do_not_depend_on_aqe(spark):
+    con = duckdb.connect()
+    for t in TABLES:
+        p = os.path.join(SF_SMALL, f"{t}.parquet")
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    qs, orc = E.queries(), E.oracle_sql()
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
+                                            "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for name in ["C6_impute_price_median", "F9_label_encode", "I11_inventory_policy_forecast"]:
+            got = qs[name](spark, SF_SMALL).toPandas()
+            assert compare(got, con.execute(orc[name]).df()) in ("OK", "APPROX"), name
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
