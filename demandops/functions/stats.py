@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandops.functions.joins import lookup_join
+
 
 def box_stats(df: DataFrame, group: str, value: str, whisker: float = 1.5,
               method: str = "exact") -> DataFrame:
@@ -29,7 +31,7 @@ def box_stats(df: DataFrame, group: str, value: str, whisker: float = 1.5,
         q = parts[0].join(parts[1], group).join(parts[2], group)
     iqr = F.col("q3") - F.col("q1")
     fences = q.withColumns({"_lo": F.col("q1") - whisker * iqr, "_hi": F.col("q3") + whisker * iqr})
-    return (rows.join(fences, group)
+    return (lookup_join(rows, fences, [group], "inner")
                 .groupBy(group, "q1", "median", "q3")
                 .agg(F.min(F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))).alias("whisker_low"),
                      F.max(F.when(F.col("_v") <= F.col("_hi"), F.col("_v"))).alias("whisker_high"),
@@ -91,7 +93,7 @@ def group_quantile(df: DataFrame, group, value: str, p: float, method: str = "br
                          F.when(small, F.col("_max")).otherwise(F.col("_q")[1]).alias("_hi"))
     # pass 2: NULL bucket = rows below the bracket; one bucket per distinct value inside
     bucket = F.when(F.col("_v") < F.col("_lo"), F.lit(None).cast("double")).otherwise(F.col("_v"))
-    counted = (rows.join(stats, keys).where(F.col("_v") <= F.col("_hi"))
+    counted = (lookup_join(rows, stats, keys, "inner").where(F.col("_v") <= F.col("_hi"))
                    .groupBy(*keys, "_n", bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_c")))
     w = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first()) \
               .rowsBetween(Window.unboundedPreceding, Window.currentRow)

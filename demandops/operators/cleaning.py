@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandops.functions.numeric import exact_mean
+from demandops.functions.joins import lookup_join
 from demandops.functions.stats import group_median
 from demandops.operators.quality import DATE_KEY
 
@@ -69,7 +70,7 @@ def impute_price_median(df: DataFrame, by: str = "item_id", price: str = "price"
     distinct prices (see ``functions.stats.group_median``); ``exact`` is a
     single ``percentile`` aggregate, ``approx`` uses ``percentile_approx``.
     The per-item table has one row per item; Spark/AQE picks the join
-    strategy from its measured size."""
+    strategy behind a size check (``functions.joins.lookup_join``)."""
     if price not in df.columns:
         return df
     # Only items with a missing price need their median: restrict the median
@@ -78,7 +79,7 @@ def impute_price_median(df: DataFrame, by: str = "item_id", price: str = "price"
     needing = df.where(F.col(price).isNull()).select(by).distinct()
     medians = group_median(df.join(needing, by, "left_semi"), by, price, method,
                            out="_median_price")
-    return (df.join(medians, by, "left")
+    return (lookup_join(df, medians, [by], "left")
               .withColumn(price, F.coalesce(F.col(price), F.col("_median_price")))
               .drop("_median_price").select(*df.columns))
 

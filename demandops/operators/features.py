@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandops import SERIES_KEYS
+from demandops.functions.joins import lookup_join
 from demandops.functions.numeric import safe_div
 from demandops.functions.stats import group_median
 from demandops.functions.windows import series_window, strict_rolling
@@ -127,7 +128,7 @@ def price_features(df: DataFrame, fit: DataFrame | None = None,
         out = out.withColumn("is_discounted", (F.col("discount_pct") > 0).cast("int"))
         src = fit if fit is not None else df
         med = group_median(src, "category", "price", median_method, out="_cat_median")
-        out = (out.join(med, "category", "left")
+        out = (lookup_join(out, med, ["category"], "left")
                   .withColumn("price_vs_cat_median",
                               F.col("price") / (F.col("_cat_median") + F.lit(1e-9)))
                   .drop("_cat_median"))
@@ -149,8 +150,13 @@ def label_encode(df: DataFrame, cols: Sequence[str] = ENCODED) -> DataFrame:
             F.dense_rank().over(Window.partitionBy(F.col(c).isNull()).orderBy(c)) - 1).cast("int")
         for c in present
     }).select(*[F.col(c).alias(f"_k_{c}") for c in present], *[f"{c}_enc" for c in present])
-    cond = [df[c].eqNullSafe(codes[f"_k_{c}"]) for c in present]
-    return df.join(codes, cond, "left").drop(*[f"_k_{c}" for c in present])
+    def cond(big, small):
+        out = None
+        for c in present:
+            term = big[c].eqNullSafe(small[f"_k_{c}"])
+            out = term if out is None else out & term
+        return out
+    return lookup_join(df, codes, how="left", condition=cond).drop(*[f"_k_{c}" for c in present])
 
 
 def drop_cold_start(df: DataFrame) -> DataFrame:

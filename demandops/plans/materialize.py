@@ -19,21 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from demandops.session import stage_root
 from demandops.sources.fs import fingerprint, path_exists
+from demandops.sources.io import materialize, write_table  # noqa: F401  (re-exported)
 
 _MEMO: dict[tuple, tuple[str, int]] = {}
 
 
-def write_table(df: DataFrame, name: str) -> str:
-    """Write ``df`` under a fresh folder of the shared stage root; return it."""
-    path = os.path.join(stage_root(df.sparkSession, "tables"), f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    return df.sparkSession.read.parquet(write_table(df, name))
-
-
 # ---------------------------------------------------------------- buckets --
 # A stage written bucketed on the series key is read back with that hash
 # partitioning known to the planner, so per-series windows and aggregates

@@ -78,6 +78,20 @@ def write_stage(df: DataFrame, root: str, name: str, fmt: str = "parquet",
     return path
 
 
+def write_table(df: DataFrame, name: str) -> str:
+    """Write ``df`` under a fresh folder of the shared stage root; return it."""
+    from demandops.session import stage_root
+    import uuid
+    path = os.path.join(stage_root(df.sparkSession, "tables"), f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared stage folder and read it back."""
+    return df.sparkSession.read.parquet(write_table(df, name))
+
+
 def load_stage(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Re-read a materialised stage table."""
     return spark.read.parquet(os.path.join(root, name))

@@ -55,3 +55,33 @@ def test_results_do_not_depend_on_aqe(spark):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_salted_lookup_path_matches(spark):
+    """Force the beyond-the-bound path of functions.joins.lookup_join (no
+    broadcast at all): the salted shuffle joins give the same results."""
+    con = duckdb.connect()
+    for t in TABLES:
+        p = os.path.join(SF_SMALL, f"{t}.parquet")
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    qs, orc = E.queries(), E.oracle_sql()
+    saved = {k: spark.conf.get(k, None) for k in ("demandops.broadcast.maxRows",
+                                                  "spark.sql.autoBroadcastJoinThreshold",
+                                                  "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("demandops.broadcast.maxRows", "0")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        for name in ["C6_impute_price_median", "F7_price_vs_cat_median", "F9_label_encode",
+                     "E10_qty_distribution"]:
+            df = qs[name](spark, SF_SMALL)
+            got = df.toPandas()
+            assert compare(got, con.execute(orc[name]).df()) in ("OK", "APPROX"), name
+            assert "_salt" in df._jdf.queryExecution().executedPlan().toString(), name
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
