@@ -31,9 +31,17 @@ def _static_estimate(df: DataFrame) -> int:
     return int(size if isinstance(size, int) else size.toString())
 
 
+def _broadcast_threshold(df: DataFrame) -> int:
+    """Spark's own parsed value of spark.sql.autoBroadcastJoinThreshold (bytes)."""
+    try:
+        return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:  # noqa: BLE001  (no JVM session state: be conservative)
+        return -1
+
+
 def planner_broadcasts(df: DataFrame) -> bool:
-    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = int(str(threshold).lower().replace("b", "")) if threshold else -1
+    """True when the planner's own static size check will broadcast ``df``."""
+    limit = _broadcast_threshold(df)
     return limit > 0 and _static_estimate(df) <= limit
 
 
