@@ -84,3 +84,17 @@ def test_zero_price_gives_null_margin_not_error(spark, make_fact):
     assert all(r.gross_margin_pct is None for r in out)
     assert all(r.price_vs_cat_median == 0.0 for r in out)
     assert FE.engineer_features(df).count() == 0      # NULL margin -> dropped with cold start
+
+
+def test_dense_codes_distributed_path(spark):
+    from pyspark.sql import functions as F
+    from demandops.functions.ranking import dense_codes
+    df = spark.range(0, 3000).select((F.col("id") * 7919 % 1009).cast("string").alias("v"))
+    exp = {v: i for i, v in enumerate(sorted({str(i * 7919 % 1009) for i in range(3000)}))}
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the range path
+        got = {r.v: r.c for r in dense_codes(df, "v", "c", ranges=5).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    assert got == exp
