@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandops import SERIES_KEYS
-from demandops.functions.joins import lookup_join
+from demandops.functions.joins import lookup_join, planner_broadcasts
 from demandops.functions.numeric import safe_div
 from demandops.functions.ranking import dense_codes
 from demandops.functions.stats import group_median
@@ -139,15 +139,38 @@ def price_features(df: DataFrame, fit: DataFrame | None = None,
 def label_encode(df: DataFrame, cols: Sequence[str] = ENCODED) -> DataFrame:
     """codes 0..n-1 in sorted order of the distinct values; NULL -> -1.
 
-    Each column's distinct values are coded by ``functions.ranking.dense_codes``
-    (no single-task step for large value sets) and joined back through
-    ``lookup_join`` (broadcast behind a size check)."""
-    out = df
-    for c in [c for c in cols if c in df.columns]:
-        codes = dense_codes(df, c, f"{c}_enc")
-        out = (lookup_join(out, codes, [c], "left")
-                  .withColumn(f"{c}_enc", F.coalesce(F.col(f"{c}_enc"), F.lit(-1)).cast("int")))
-    return out
+    One aggregate collects the distinct value combinations (bounded by the
+    dimensions, not by the rows).  If the planner's static estimate of them
+    (an upper bound) is under the broadcast threshold they are ranked with
+    windows in one pass; otherwise each column is coded by
+    ``functions.ranking.dense_codes`` (no single-task step).  The codes come
+    back to the rows in one null-safe ``lookup_join``."""
+    present = [c for c in cols if c in df.columns]
+    if not present:
+        return df
+    combos = df.select(*present).distinct()
+    if planner_broadcasts(combos):
+        # provably small (static upper bound under the broadcast threshold):
+        # rank every column in one pass of windows over the combinations
+        codes = combos.withColumns({
+            f"{c}_enc": F.when(F.col(c).isNull(), F.lit(-1)).otherwise(
+                F.dense_rank().over(Window.partitionBy(F.col(c).isNull()).orderBy(c)) - 1
+            ).cast("int") for c in present})
+    else:
+        codes = combos
+        for c in present:
+            codes = lookup_join(codes, dense_codes(combos, c, f"{c}_enc"), [c], "left")
+    codes = codes.select(*[F.col(c).alias(f"_k_{c}") for c in present],
+                         *[F.coalesce(F.col(f"{c}_enc"), F.lit(-1)).cast("int").alias(f"{c}_enc")
+                           for c in present])
+
+    def cond(big, small):
+        out = None
+        for c in present:
+            term = big[c].eqNullSafe(small[f"_k_{c}"])
+            out = term if out is None else out & term
+        return out
+    return lookup_join(df, codes, how="left", condition=cond).drop(*[f"_k_{c}" for c in present])
 
 
 def drop_cold_start(df: DataFrame) -> DataFrame:
