@@ -167,3 +167,15 @@ def i6(spark, sf):
 
 oracle("I6_service_z", f"SELECT DISTINCT service_level, z_score FROM ({policy_sql('base_levels', 'zz_', 'service_level, ')})",
        "base_levels")
+
+
+@query("I14_top_alerts_dashboard")
+def i14_dashboard(spark, sf):
+    # the executive dashboard's variant of I14: eight alerts, four columns
+    return I.top_alerts(I.inventory_policy(clean(spark, sf)), 8).select(
+        "item_id", "product_name", "on_hand", "order_qty")
+
+
+oracle("I14_top_alerts_dashboard", """
+SELECT item_id, product_name, on_hand, order_qty FROM (
+  SELECT * FROM alerts ORDER BY on_hand, store_id, item_id LIMIT 8)""", "alerts")
