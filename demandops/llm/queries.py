@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandops.llm import chat_format, decontamination, quality_rules, url_filter
+from demandops.llm import chat_format, decontamination, packing, quality_rules, url_filter
 from demandops.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_chat_format")
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_conversations(table(spark, sf_dir, "conversations"))
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return packing.pack_documents(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("word_bpe_49k.json"))
