@@ -75,12 +75,14 @@ def _occurrences(worded: DataFrame, keys: Sequence[str], short: Sequence[int]) -
     for n in [K, *[x for x in short if x != K]]:
         hashed = worded.select(*keys, "_w", "_want", _grams(w, n).alias("_g"))
         side = SIDE if n == K else 0
-        place = F.filter(F.sequence(F.lit(0), F.size("_g") - 1),
-                         lambda i: F.array_contains("_want", F.col("_g")[i]))
+        # no row filter here: pushed below the projection it would hash the text anew per word
+        place = F.when(F.size("_g") > 0, F.filter(F.sequence(F.lit(0), F.size("_g") - 1),
+                                                  lambda i: F.array_contains("_want", F.col("_g")[i]))) \
+            .otherwise(F.array().cast("array<int>"))
         occ = F.transform(place, lambda i: F.struct(
             F.col("_g")[i].alias("_h"), F.lit(n).alias("_n"), i.alias("_pos"),
             F.transform(F.sequence(i - side, i + n + side - 1), lambda j: F.get(w, j)).alias("_ctx")))
-        part = hashed.filter(F.size("_g") > 0).select(*keys, F.inline(occ))
+        part = hashed.select(*keys, F.inline(occ))
         out = part if out is None else out.unionByName(part)
     return out
 
