@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandops.llm import chat_format, decontamination, packing, quality_rules, url_filter
+from demandops.llm import chat_format, decontamination, jaccard_join, packing, quality_rules, url_filter
 from demandops.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return packing.pack_documents(table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
