@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandops.llm import chat_format, decontamination, jaccard_join, packing, quality_rules, url_filter
+from demandops.llm import chat_format, decontamination, jaccard_join, packing, quality_rules, suffix_dedup, url_filter
 from demandops.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_jaccard_join")
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
