@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandops.llm import chat_format, decontamination, jaccard_join, packing, quality_rules, suffix_dedup, url_filter
+from demandops.llm import chat_format, decontamination, jaccard_join, packing, quality_lm, quality_rules, suffix_dedup, url_filter
 from demandops.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,9 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_suffix_dedup")
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
+@query("op2_quality_lm")
+def op2_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (quality_lm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+            .select("doc_id", "lang", "n_symbols", "perplexity", "threshold", "accepted"))
