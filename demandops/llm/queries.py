@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandops.llm import chat_format, decontamination, jaccard_join, packing, quality_lm, quality_rules, suffix_dedup, url_filter
+from demandops.llm import chat_format, decontamination, jaccard_join, packing, quality_lm, quality_rules, suffix_dedup, toxicity, url_filter
 from demandops.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,11 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (quality_lm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
             .select("doc_id", "lang", "n_symbols", "perplexity", "threshold", "accepted"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "held_out", F.crc32(F.col("doc_id").cast("string")) % 3 == 1)
+    judged = toxicity.classify(docs, table(spark, sf_dir, "labels"), train_on=~F.coalesce("held_out", F.lit(False)))
+    return judged.select("doc_id", "held_out", "score", "predicted")
