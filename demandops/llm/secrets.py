@@ -1,0 +1,255 @@
+"""Secret scans with a random forest for false-positive removal.
+
+Whole texts are searched for candidates (long tokens with a digit or inner
+capitals, assignments, private key blocks). Each gets features: length, digit
+and capital shares, entropy, character transitions (class changes, and how
+likely its letter pairs are in ordinary words), dictionary coverage, path
+marks, assignment marks and what its neighbouring words say. A forest, fitted
+on a bounded sample of labelled findings, keeps the true ones.
+
+Labelled findings are a column of the candidates: either given by the caller
+or, as in the query, by strict formats (``format_label``), which say what is
+surely a secret and what is surely none of the known forms; the forest
+generalises from form to content.
+
+Defined results: null and empty texts have no findings; repeated rows have
+each their own; without labelled findings of both kinds the labels decide;
+texts without words give an empty dictionary, and all coverage is 0.
+"""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, cut
+
+MAX_TRUE, MAX_FALSE = 4000, 12000  #: labelled findings to fit on (least hashes)
+SAMPLE_TEXTS = 1500                #: texts that give the dictionary (least hashes)
+MAX_WORDS = 4000                   #: words of the dictionary
+MAX_NEIGHBOURS = 2000              #: neighbouring words with a weight
+TREES, DEPTH = 30, 8
+
+# fixed values: names that introduce a secret
+KEY_NAMES = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "access_key",
+             "auth", "credential", "private_key")
+
+_CANDIDATE = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----|[A-Za-z0-9+/_.\-]+[=:]?[A-Za-z0-9+/_.=\-]{12,}")
+_ASSIGNED = re.compile(r"^([A-Za-z_][A-Za-z_\-]{1,30})[=:](.{8,})$")
+_BEFORE = re.compile(r"(\w+)\W*$")
+_AFTER = re.compile(r"^\W*(\w+)")
+_PASSED = re.compile(r"(\w+)\s*([=:])\s*[\"']?$")
+
+FEATURES = ["length", "digits", "capitals", "hexes", "entropy", "changes", "pairs", "coverage",
+            "slashes", "dots", "assigned", "quoted"]
+
+
+def format_label(kind: Column, value: Column, key: Column) -> Column:
+    """1 for the known forms of secrets, else 0."""
+    named = F.lower(key).rlike("|".join(KEY_NAMES))
+    return F.when(kind == "block", 1).when(value.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$"), 1) \
+        .when(named & value.rlike("[0-9]") & value.rlike("^[A-Za-z0-9+/_=-]{16,}$"), 1) \
+        .otherwise(0)
+
+
+class Words:
+    """What ordinary words look like: a dictionary and letter pair weights."""
+
+    def __init__(self, counts: list[tuple[str, int]]):
+        self.known = {w for w, _ in counts if len(w) >= 3}
+        self.longest = max((len(w) for w in self.known), default=0)
+        pairs = np.ones((27, 27))
+        for w, c in counts:
+            s = [self._slot(ch) for ch in w]
+            for a, b in zip(s, s[1:]):
+                pairs[a, b] += c
+        self.pairs = np.log(pairs / pairs.sum(1, keepdims=True)).tolist()
+
+    @staticmethod
+    def _slot(ch: str) -> int:
+        return ord(ch) - 96 if "a" <= ch <= "z" else 0
+
+    def pair_weight(self, low: str) -> float:
+        s = [self._slot(ch) for ch in low]
+        return sum(self.pairs[a][b] for a, b in zip(s, s[1:])) / max(1, len(s) - 1)
+
+    def coverage(self, low: str) -> float:
+        """Share of characters under dictionary words, longest first."""
+        at, hit = 0, 0
+        while at < len(low):
+            for n in range(min(self.longest, len(low) - at), 2, -1):
+                if low[at:at + n] in self.known:
+                    hit += n
+                    at += n
+                    break
+            else:
+                at += 1
+        return hit / max(1, len(low))
+
+
+def _kind_of(ch: str) -> int:
+    return 0 if ch.islower() else 1 if ch.isupper() else 2 if ch.isdigit() else 3
+
+
+def describe(value: str, before: str, assigned: bool, words: Words) -> list[float]:
+    n, low = len(value), value.lower()
+    kinds = [_kind_of(c) for c in value]
+    counts = Counter(value)
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    return [float(n), kinds.count(2) / n, kinds.count(1) / n, sum(c in "0123456789abcdef" for c in low) / n,
+            entropy, sum(a != b for a, b in zip(kinds, kinds[1:])) / n, words.pair_weight(low), words.coverage(low),
+            float(value.count("/") + before.endswith("/")), float(value.count(".")), float(assigned),
+            float(before[-1:] in ("'", '"'))]
+
+
+def find(text: str, words: Words) -> Iterator[tuple]:
+    """(start, end, kind, value, key, before, after, features) of candidates;
+    offsets in characters of the text."""
+    for m in _CANDIDATE.finditer(text):
+        s, e = m.span()
+        value, key = m.group(), ""
+        if value.startswith("-----BEGIN"):
+            stop = text.find("-----END", e)
+            stop = text.find("-----", stop + 8) + 5 if stop >= 0 else e
+            yield s, max(e, stop), "block", value, "", "", "", describe(value, "", False, words)
+            continue
+        value = value.rstrip(".-")
+        e = s + len(value)
+        part = _ASSIGNED.match(value)
+        if part:
+            key, s = part.group(1), s + part.start(2)
+            value = part.group(2)
+        if not any(c.isdigit() for c in value) and (value[1:].islower() or value.isupper() or not value.isalnum()):
+            continue
+        if len(value) < 8:
+            continue
+        before, after = text[max(0, s - 40):s], text[e:e + 40]
+        passed = _PASSED.search(before)
+        key = key or (passed.group(1) if passed else "")
+        prev, nxt = _BEFORE.search(before), _AFTER.search(after)
+        yield (s, e, "token", value, key, prev.group(1).lower() if prev else "", nxt.group(1).lower() if nxt else "",
+               describe(value, before, bool(key), words))
+
+
+def learn_words(docs: DataFrame, text: str = "text") -> Words:
+    """The dictionary, from a bounded sample of texts (least digests)."""
+    t = F.col(f"`{text}`")
+    keyed = docs.select(F.xxhash64(t).alias("_t"), t.alias("text")).filter("text is not null")
+    least = keyed.select("_t").distinct().orderBy("_t").limit(SAMPLE_TEXTS)
+    counts = (keyed.join(F.broadcast(least), "_t").dropDuplicates(["_t"])
+              .select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{2,}"), 0)).alias("w"))
+              .groupBy("w").count().orderBy(F.desc("count"), "w").limit(MAX_WORDS))
+    return Words([(r[0], r[1]) for r in counts.collect()])
+
+
+def candidates(docs: DataFrame, words: Words, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per candidate: id, t1, t2 (text digest), start, end, kind,
+    value, key, before, after and the features."""
+    held = docs.sparkSession.sparkContext.broadcast(words)  # at most MAX_WORDS words
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(t).alias("t1"),
+                      F.xxhash64(F.lit("second"), t).alias("t2"), t.alias("text"))
+    fields = src.schema.fields[:3] + T._parse_datatype_string(
+        "start long, end long, kind string, value string, key string, before string, after string").fields + \
+        [T.StructField(f, T.DoubleType()) for f in FEATURES]
+    names = [f.name for f in fields]
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = held.value
+        for pdf in batches:
+            rows, at = [], []
+            for i, body in enumerate(pdf["text"]):
+                for hit in find(body, known):
+                    rows.append((*hit[:7], *hit[7]))
+                    at.append(i)
+            left = pdf[["id", "t1", "t2"]].iloc[at].reset_index(drop=True)
+            yield pd.concat([left, pd.DataFrame(rows, columns=names[3:])], axis=1)[names]
+
+    return src.mapInPandas(scan, T.StructType(fields))
+
+
+def _neighbour_weights(sample: pd.DataFrame) -> dict[str, float]:
+    """Log odds of a true finding next to each word of the sample."""
+    true, all_ = Counter(), Counter()
+    for b, a, y in zip(sample["before"], sample["after"], sample["label"]):
+        for w in {b, a} - {""}:
+            all_[w] += 1
+            true[w] += y
+    base = sample["label"].mean()
+    top = sorted(all_.items(), key=lambda x: (-x[1], x[0]))[:MAX_NEIGHBOURS]
+    return {w: math.log((true[w] + 2 * base) / (n - true[w] + 2 * (1 - base))) for w, n in top}
+
+
+def judge(found: DataFrame, label: Column) -> DataFrame:
+    """``found`` with score (forest's probability) and secret."""
+    spark = found.sparkSession
+    found = cut(found.withColumn("label", label), "candidates")
+    order = F.xxhash64("value", "id", "start")
+    least = [found.filter(F.col("label") == y).orderBy(order, "value", "start").limit(n)
+             for y, n in ((1, MAX_TRUE), (0, MAX_FALSE))]
+    sample = least[0].unionByName(least[1]).toPandas()  # bounded by MAX_TRUE + MAX_FALSE rows
+    if sample["label"].nunique() < 2:
+        return found.withColumn("score", F.col("label").cast("double")).withColumn("secret", F.col("label") == 1)
+    weights = _neighbour_weights(sample)
+    near = spark.createDataFrame(list(weights.items()), "word string, weight double")  # MAX_NEIGHBOURS rows
+
+    def weighted(df: DataFrame) -> DataFrame:
+        for side in ("before", "after"):
+            named = near.select(F.col("word").alias(side), F.col("weight").alias(f"{side}_weight"))
+            df = df.join(F.broadcast(named), side, "left").fillna({f"{side}_weight": 0.0})
+        return df
+    inputs = [*FEATURES, "before_weight", "after_weight"]
+    assemble = VectorAssembler(inputCols=inputs, outputCol="_x")
+    columns = sample.sort_values(["label", "value", "start"])[[*FEATURES, "before", "after", "label"]]
+    train = assemble.transform(weighted(spark.createDataFrame(columns).coalesce(1)))
+    forest = RandomForestClassifier(featuresCol="_x", labelCol="label", numTrees=TREES, maxDepth=DEPTH,
+                                    seed=5, probabilityCol="_p", predictionCol="_y", rawPredictionCol="_r").fit(train)
+    scored = forest.transform(assemble.transform(weighted(found)))
+    return (scored.withColumn("score", vector_to_array("_p")[1]).withColumn("secret", F.col("score") >= 0.5)
+            .drop("_x", "_p", "_y", "_r", "before_weight", "after_weight"))
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """All candidates of all texts, judged; labels by strict formats."""
+    found = candidates(docs, learn_words(docs, text), id_col, text)
+    return judge(found, format_label(F.col("kind"), F.col("value"), F.col("key")))
+
+
+def redact(docs: DataFrame, findings: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with the confirmed findings replaced in ``text``. Texts without
+    findings don't move: a fixed-size filter sends only possible ones to the join."""
+    spans = cut(findings.filter("secret").groupBy("t1", "t2")
+                .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans")), "secret-spans")
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    blocks = bloom_blocks(spans.count())
+    keyed = docs.withColumn("t1", F.xxhash64(t)).withColumn("t2", F.xxhash64(F.lit("second"), t))
+    flagged = bloom_probe(keyed, bloom_build(spans, ["t1", "t2"], blocks), ["t1", "t2"], blocks, "_flag")
+
+    @F.pandas_udf("string")
+    def replace(texts: pd.Series, cuts: pd.Series) -> pd.Series:
+        out = []
+        for body, parts in zip(texts, cuts):
+            done, at = [], 0
+            for p in parts:
+                if p["start"] >= at:
+                    done += [body[at:p["start"]], mark]
+                at = max(at, p["end"])
+            out.append("".join(done) + body[at:])
+        return pd.Series(out)
+
+    joined = flagged.filter("_flag").join(spans, ["t1", "t2"], "left")
+    hit = joined.filter("_spans is not null").withColumn(text, replace(F.col(f"`{text}`"), "_spans"))
+    rest = joined.filter("_spans is null").unionByName(
+        flagged.filter("not _flag").withColumn("_spans", F.lit(None).cast(spans.schema["_spans"].dataType)))
+    return hit.unionByName(rest).select(*[F.col(f"`{c}`") for c in docs.columns])
