@@ -20,6 +20,11 @@ each for itself; null ids are carried; an empty table packs to nothing.
 from __future__ import annotations
 
 import bisect
+import itertools
+import os
+import sys
+import types
+import unicodedata
 import zlib
 from collections import deque
 from collections.abc import Iterator, Sequence
@@ -27,39 +32,79 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandops.llm.common import cut, global_rank, release
 
-CACHE_WORDS = 300_000   #: distinct words a worker remembers before it starts anew
-SLICE_CHARS = 1_000_000  #: text tokenised at a time
+CACHE_WORDS = 800_000    #: distinct words a worker remembers before it starts anew
+SLICE_CHARS = 2_000_000  #: text tokenised at a time
+
+
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary:
+    printable ones for themselves, the others from U+0100 on, in order."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return [chr(b) if b in own else chr(0x100 + rest.index(b)) for b in range(256)]
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer whose pre-tokenizer drops white space: words
-    are encoded once and remembered, up to ``CACHE_WORDS`` of them."""
+    """Ids of texts by a lower-casing byte-level BPE tokenizer that drops white
+    space: distinct words are encoded once and remembered, up to
+    ``CACHE_WORDS``. Words of letters go straight to the merges, any other
+    word through the whole tokenizer."""
 
-    def __init__(self, path: str):
-        import os
+    def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
+        self.tok, self.end = Tokenizer.from_file(path), end_id
+        self.letters = dict(enumerate(byte_letters()))
+        self.merge = self.tok.model.tokenize
         self.clear()
 
+    @staticmethod
+    def of(path: str, end_id: int) -> WordEncoder:
+        """The worker's encoder: workers live on between tasks."""
+        kept = sys.modules.setdefault("_word_encoders", types.ModuleType("_word_encoders")).__dict__
+        if (path, end_id) not in kept:
+            kept[path, end_id] = WordEncoder(path, end_id)
+        return kept[path, end_id]
+
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.offs = np.zeros(1 << 14, np.int64)
-        self.lens = np.zeros(1 << 14, np.int64)
-        self.used = 0
+        self.index: dict[str, int] = {"": 0}             # no text: the end id itself
+        self.pool = np.full(1 << 18, self.end, np.uint32)
+        self.offs, self.lens = np.zeros(1 << 14, np.int64), np.ones(1 << 14, np.int64)
+        self.used = 1
+
+    def _by_merges(self, word: str) -> list[int] | None:
+        """Ids of a word of letters and at most one closing mark, else None."""
+        tail = word[-1:]
+        core = word[:-1] if tail == "," or tail == "." else word
+        if not core.isalpha():
+            return None
+        if core.isascii():
+            low = core.lower()
+        else:
+            low = "".join([c.lower() for c in core])
+            if not (unicodedata.is_normalized("NFC", core) and low.isalpha()):
+                return None
+            low = low.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.merge(low)]
+        if core is not word:
+            ids += [t.id for t in self.merge(tail)]
+        return ids
 
     def _learn(self, words: list[str]) -> None:
-        enc = self.tok.encode_batch(words, add_special_tokens=False)
-        ids = [e.ids for e in enc]
+        ids = [self._by_merges(w) for w in words]
+        rest = [i for i, x in enumerate(ids) if x is None]
+        for i, e in zip(rest, self.tok.encode_batch([words[i] for i in rest], add_special_tokens=False)):
+            ids[i] = e.ids
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lens.sum()))
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lens.sum()))
         n, end = len(self.index), self.used + len(flat)
         while len(self.pool) < end:
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
@@ -72,29 +117,30 @@ class WordEncoder:
         self.index.update(zip(words, range(n, n + len(words))))
         self.used = end
 
-    @staticmethod
-    def split(text: str) -> list[str]:
-        # str.split also splits at the separators 1C-1F, which are tokens here
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            import re
-            return [w for w in re.split(r"[ \t\n\r\f\v]+", text) if w]
-        return text.split()
-
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        words = [self.split(t) for t in texts]
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each closed by the end id; where each text ends)."""
         if len(self.index) > CACHE_WORDS:
             self.clear()
-        new = list({w for ws in words for w in ws if w not in self.index})
-        if new:
-            self._learn(new)
-        out = []
-        for ws in words:
-            at = np.fromiter(map(self.index.__getitem__, ws), np.int64, len(ws))
-            lens = self.lens[at]
-            ends = np.cumsum(lens)
-            where = np.repeat(self.offs[at] - (ends - lens), lens) + np.arange(ends[-1] if len(ws) else 0)
-            out.append(self.pool[where])
-        return out
+        # A-Z in lower case first: fewer distinct words, the same ids (a special
+        # token's name is matched before the tokenizer lowers, so such texts stay)
+        texts = [t if "<|" in t else t.lower() if t.isascii() else t.encode().lower().decode() for t in texts]
+        parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = parts.values.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        self._learn([w for w in names if w not in self.index])
+        number = np.fromiter(map(self.index.__getitem__, names), np.int64, len(names))
+        bounds = parts.offsets.to_numpy()
+        words = number[coded.indices.to_numpy()] if names else np.zeros(0, np.int64)
+        empty = words == 0                                # beside outer white space
+        words = np.insert(words, bounds[1:] - bounds[0], 0)
+        lens = self.lens[words]
+        closing = bounds[1:] - bounds[0] + np.arange(len(texts))
+        gone = np.insert(empty, bounds[1:] - bounds[0], False)
+        lens[gone] = 0
+        ends = np.cumsum(lens)
+        where = np.repeat(self.offs[words] - (ends - lens), lens)
+        where += np.arange(len(where))
+        return self.pool[where], ends[closing]
 
 
 PIECE = "piece int, start long, length long, ids_crc32 long"
@@ -110,18 +156,19 @@ def tokenize(docs: DataFrame, tokenizer: str, capacity: int, keep: Sequence[str]
         fields.append(T.StructField("ids", T.ArrayType(T.LongType())))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = WordEncoder(tokenizer)
+        enc = WordEncoder.of(tokenizer, end_id)
         for pdf in batches:
             size = pdf["_text"].str.len().cumsum().to_numpy()
             for _, part in pdf.groupby(size // SLICE_CHARS, sort=False):
-                rows, at = [], []
-                for k, ids in enumerate(enc.encode(part["_text"].tolist())):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    for p, s in enumerate(range(0, len(ids), capacity)):
-                        cut_ids = ids[s:s + capacity]
+                ids, ends = enc.encode(part["_text"].tolist())
+                rows, at, begin = [], [], 0
+                for k, end in enumerate(ends.tolist()):
+                    for p, s in enumerate(range(begin, end, capacity)):
+                        piece = ids[s:min(end, s + capacity)].astype("<u4", copy=False)
                         at.append(k)
-                        rows.append((p, s, len(cut_ids), zlib.crc32(cut_ids.tobytes()))
-                                    + ((cut_ids.astype(np.int64),) if with_ids else ()))
+                        rows.append((p, s - begin, len(piece), zlib.crc32(piece.tobytes()))
+                                    + ((piece.astype(np.int64),) if with_ids else ()))
+                    begin = end
                 names = [f.name for f in fields[len(keep):]]
                 made = pd.DataFrame(rows, columns=names)
                 left = part[list(keep)].iloc[at].reset_index(drop=True)
