@@ -130,7 +130,7 @@ def find(text: str, words: Words) -> Iterator[tuple]:
         if part:
             key, s = part.group(1), s + part.start(2)
             value = part.group(2)
-        if not any(c.isdigit() for c in value) and (value[1:].islower() or value.isupper() or not value.isalnum()):
+        if not any(c.isdigit() for c in value) and (value[1:].islower() or not value.isalnum()):
             continue
         if len(value) < 8:
             continue
