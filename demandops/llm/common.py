@@ -4,7 +4,7 @@ joins, fixed-size Bloom filters and distributed ranks."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +57,38 @@ def sized_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
     return big.join(F.broadcast(small) if n <= BROADCAST_ROWS else small, list(on), how)
 
 
+def text_digest(text: Column) -> list[Column]:
+    """128 bits of a text in two columns, t1 and t2; null is the empty text."""
+    t = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(t).alias("t1"), F.xxhash64(F.lit("second"), t).alias("t2")]
+
+
+def shield(df: DataFrame, needed: Sequence[str]) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``df`` with all but the ``needed`` columns renamed out of the way of an
+    operator's own names, and the function that gives them back: of a result,
+    it selects the columns of ``df`` (but those that ``added`` replaces) and
+    ``added``."""
+    now = [c if c in needed else f"_extra{i}" for i, c in enumerate(df.columns)]
+
+    def restore(out: DataFrame, *added: str) -> DataFrame:
+        lower = {a.lower() for a in added}
+        return out.select(*[F.col(n).alias(c) if n != c else F.col(f"`{c}`")
+                            for n, c in zip(now, df.columns) if c.lower() not in lower], *added)
+    return df.toDF(*now), restore
+
+
+def drop_texts(docs: DataFrame, keys: DataFrame, text: str) -> DataFrame:
+    """Rows of ``docs`` whose text digest is not in ``keys`` (t1, t2). A
+    fixed-size filter keeps all other texts out of the exact anti join."""
+    plain, restore = shield(docs, [text])
+    blocks = bloom_blocks(keys.count())
+    bloom = bloom_build(keys, ["t1", "t2"], blocks)
+    d1, d2 = text_digest(F.col(f"`{text}`"))
+    flagged = bloom_probe(plain.select("*", d1, d2), bloom, ["t1", "t2"], blocks, "_maybe")
+    left = flagged.filter("_maybe").join(keys, ["t1", "t2"], "left_anti")
+    return restore(flagged.filter("not _maybe").unionByName(left))
+
+
 # -- fixed-size blocked Bloom filter ------------------------------------------
 
 def _block(keys: Sequence[Column], blocks: int) -> Column:

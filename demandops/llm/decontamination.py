@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, cut, sized_join
+from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, cut, drop_texts, sized_join
 from demandops.llm.url_filter import LOWER, UPPER
 
 SPAN, K = 10, 5          #: guaranteed span and k-gram, in words
@@ -193,3 +193,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = (
             .withColumn("spans", F.coalesce("spans", F.expr("cast(array() as array<struct<start:int,end:int>>)")))
             .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
             .withColumn("contaminated", F.col("n_hit") > 0))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
+                      item_text: str = "text") -> DataFrame:
+    """``docs`` without the rows that hold a benchmark window."""
+    spans, _ = find_spans(docs, benchmark, text, item, item_text)
+    keys = spans.select(F.col("_t1").alias("t1"), F.col("_t2").alias("t2")).distinct()
+    return drop_texts(docs, cut(keys, "contaminated"), text)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, cut
+from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, cut, shield, text_digest
 
 MAX_TRUE, MAX_FALSE = 4000, 12000  #: labelled findings to fit on (least hashes)
 SAMPLE_TEXTS = 1500                #: texts that give the dictionary (least hashes)
@@ -231,9 +231,9 @@ def redact(docs: DataFrame, findings: DataFrame, text: str = "text", mark: str =
     findings don't move: a fixed-size filter sends only possible ones to the join."""
     spans = cut(findings.filter("secret").groupBy("t1", "t2")
                 .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans")), "secret-spans")
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     blocks = bloom_blocks(spans.count())
-    keyed = docs.withColumn("t1", F.xxhash64(t)).withColumn("t2", F.xxhash64(F.lit("second"), t))
+    plain, restore = shield(docs, [text])
+    keyed = plain.select("*", *text_digest(F.col(f"`{text}`")))
     flagged = bloom_probe(keyed, bloom_build(spans, ["t1", "t2"], blocks), ["t1", "t2"], blocks, "_flag")
 
     @F.pandas_udf("string")
@@ -252,4 +252,4 @@ def redact(docs: DataFrame, findings: DataFrame, text: str = "text", mark: str =
     hit = joined.filter("_spans is not null").withColumn(text, replace(F.col(f"`{text}`"), "_spans"))
     rest = joined.filter("_spans is null").unionByName(
         flagged.filter("not _flag").withColumn("_spans", F.lit(None).cast(spans.schema["_spans"].dataType)))
-    return hit.unionByName(rest).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return restore(hit.unionByName(rest))

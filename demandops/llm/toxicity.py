@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandops.llm.common import sized_join
+from demandops.llm.common import shield, sized_join
 
 LENGTH, STRIDE = 32, 16          #: words of a window, and between windows
 DIM, HIDDEN, ATT = 12, 8, 8      #: input vector, GRU state, attention size
@@ -316,10 +316,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, la
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text",
              label: str = "toxic", train_on: Column | None = None, threshold: float = 0.7) -> DataFrame:
-    """``docs`` with score and predicted. ``train_on``: condition on the rows
-    whose labels may be learnt."""
+    """``docs`` with score and predicted (columns of these names are replaced).
+    ``train_on``: condition on the rows whose labels may be learnt."""
     known = docs if train_on is None else docs.filter(train_on)
+    docs, restore = shield(docs, [text])
     sample = training_rows(known, labels, id_col, text, label)
     net = train(sample["text"].tolist(), sample["_y"].tolist())
-    return (docs.withColumn("score", score_column(docs.sparkSession, net, F.col(f"`{text}`")))
-            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+    judged = (docs.withColumn("score", score_column(docs.sparkSession, net, F.col(f"`{text}`")))
+              .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+    return restore(judged, "score", "predicted")
