@@ -54,16 +54,18 @@ def _covered(pos: Column) -> Column:
 
 def _exact_repeats(w: Column) -> Column:
     """Start positions of repeated windows by sorting the windows themselves;
-    only for texts of 2^20 words or with a hash collision."""
+    only for texts of 2^20 words or with a hash collision. The sorted array is
+    bound to a lambda variable, so it is made once and not per element."""
     grams = F.array_sort(F.transform(
         F.sequence(F.lit(0), F.size(w) - 3),
         lambda i: F.struct(F.concat_ws(" ", w[i], w[i + 1], w[i + 2]).alias("g"),
                            i.cast("long").alias("i"))))
-    m = F.size(grams)
-    dup = F.filter(F.sequence(F.lit(0), m - 1),
-                   lambda k: F.coalesce(F.get(grams, k)["g"] == F.get(grams, k - 1)["g"], F.lit(False))
-                   | F.coalesce(F.get(grams, k)["g"] == F.get(grams, k + 1)["g"], F.lit(False)))
-    return F.sort_array(F.transform(dup, lambda k: grams[k]["i"]))
+
+    def positions(g: Column) -> Column:
+        equal = lambda a, b: F.coalesce(F.get(g, a)["g"] == F.get(g, b)["g"], F.lit(False))
+        dup = F.filter(F.sequence(F.lit(0), F.size(g) - 1), lambda k: equal(k, k - 1) | equal(k, k + 1))
+        return F.sort_array(F.transform(dup, lambda k: F.get(g, k)["i"]))
+    return F.element_at(F.transform(F.array(grams), positions), 1)
 
 
 def text_statistics(docs: DataFrame, keep: Sequence[str], text: str = "text") -> DataFrame:

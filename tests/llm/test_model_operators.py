@@ -1,0 +1,215 @@
+"""Quality model, toxicity, secret scans and packing."""
+
+import math
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from demandops.llm import packing, quality_lm, secrets, toxicity
+from tests.llm.helpers import documents, odd_texts, prose
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def brute_kneser_ney(texts):
+    """-ln p of a 4-gram, from the textbook formulas over dictionaries."""
+    n, b = quality_lm.ORDER, quality_lm.BITS
+    top = {}
+    for t in texts:
+        for g in quality_lm.gram_ids(t).tolist():
+            top[g] = top.get(g, 0) + 1
+    levels = {n: top}
+    for k in range(n - 1, 0, -1):
+        low = {}
+        for g in levels[k + 1]:
+            low[g & ((1 << (b * k)) - 1)] = low.get(g & ((1 << (b * k)) - 1), 0) + 1
+        levels[k] = low
+    disc = {}
+    for k, c in levels.items():
+        f = [sum(v == j for v in c.values()) for j in (1, 2, 3, 4)]
+        y = f[0] / (f[0] + 2 * f[1]) if f[0] + 2 * f[1] else 0.5
+        d = [(j - (j + 1) * y * f[j] / f[j - 1]) if f[j - 1] else 0.5 * j for j in (1, 2, 3)]
+        disc[k] = [max(0.05, min(x, j)) for x, j in zip(d, (1, 2, 3))]
+
+    def prob(g, k):
+        if k == 0:
+            return 1 / (1 << b)
+        below = prob(g & ((1 << (b * (k - 1))) - 1), k - 1)
+        ctx = [(w, c) for w, c in levels[k].items() if w >> b == g >> b]
+        if not ctx:
+            return below
+        total = sum(c for _, c in ctx)
+        take = {w: min(disc[k][min(c, 3) - 1], c) for w, c in ctx}
+        c = levels[k].get(g, 0)
+        return (c - take.get(g, 0)) / total + sum(take.values()) / total * below
+    return lambda g: -math.log(prob(g, n))
+
+
+def test_kneser_ney_matches_the_formulas(spark):
+    rng = random.Random(1)
+    texts = [prose(rng, 30, 40) for _ in range(6)]
+    model = quality_lm.train(spark.createDataFrame([("en", t) for t in texts], "lang string, text string"))
+    table = quality_lm.assemble(model.toPandas())
+    score = brute_kneser_ney(texts)
+    probe = {int(g) for t in [*texts[:2], "unseen Words 12, #x"] for g in quality_lm.gram_ids(t)[:60]}
+    for g in probe:
+        assert table[g] == pytest.approx(score(g), rel=1e-5)
+    sums = np.exp(-table.astype(np.float64)).reshape(-1, 32).sum(1)
+    assert np.allclose(sums, 1, atol=1e-4)   # a distribution in every context
+
+
+def test_quality_classifier_rejects_noise_and_keeps_text(spark):
+    rng = random.Random(2)
+    good = [(i, prose(rng, 80, 60)) for i in range(60)]
+    bad = [(100 + i, " ".join("%$#&*!|<>"[rng.randrange(9)] * 3 for _ in range(80))) for i in range(10)]
+    docs = documents(spark, good + bad + [(200, None), (201, ""), (202, "  ")]).unionByName(
+        documents(spark, [(300, "sans modèle"), (301, None)], lang=None))
+    labels = spark.createDataFrame([(i, 1) for i, _ in good[:40]] + [(100, 0), (None, 1), (999, 1)], "doc_id long, quality int")
+    got = quality_lm.classify(docs, labels)
+    assert got.columns[:4] == ["doc_id", "text", "lang", "source"] and got.columns.count("accepted") == 1
+    ok = {r["doc_id"]: r["accepted"] for r in got.collect()}
+    assert all(ok[i] for i, _ in good) and not any(ok[i] for i, _ in bad)
+    assert not ok[200] and not ok[201] and not ok[202] and ok[300] and not ok[301]
+    assert quality_lm.classify(docs.limit(0), labels.limit(0)).count() == 0
+    assert quality_lm.classify(docs, labels.limit(0)).filter("perplexity is not null").count() == 0
+
+
+def test_more_languages_than_a_pass_holds(spark, monkeypatch):
+    monkeypatch.setattr(quality_lm, "SHARDS", 2)
+    rng = random.Random(3)
+    rows = [(f"l{k}", prose(rng, 40, 20)) for k in range(5) for _ in range(3)]
+    df = spark.createDataFrame(rows + [("other", "some text")], "lang string, text string")
+    scored = quality_lm.perplexities(df, quality_lm.train(df.filter("lang <> 'other'"))).collect()
+    assert len(scored) == 16 and [r["lang"] for r in scored if r["_nll"] is None] == ["other"]
+
+
+def test_network_gradients_are_right():
+    rng = np.random.default_rng(0)
+    net = toxicity.Network(3)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    words = [["bad", "day", "for", "all"], ["fine"], ["an", "idle", "bad", "walk", "home"]]
+    y = np.array([1.0, 0.0, 1.0])
+    grads = {}
+    net._adam = lambda g: grads.update(g)
+
+    def loss():
+        names = sorted({w for ws in words for w in ws})
+        idx = np.full((3, toxicity.LENGTH), -1, np.int64)
+        for i, ws in enumerate(words):
+            idx[i, :len(ws)] = [names.index(w) for w in ws]
+        logit = net.run(net.project(net.vectors(toxicity.word_features(names))), idx)
+        return np.mean(np.log1p(np.exp(logit)) - y * logit)
+    net.step(words, y)
+    for key in ("win", "u", "b", "att", "ab", "v", "out", "c"):
+        flat = net.p[key].reshape(-1)
+        for at in rng.choice(len(flat), min(4, len(flat)), replace=False):
+            keep, eps = flat[at], 1e-3
+            flat[at] = keep + eps
+            up = loss()
+            flat[at] = keep - eps
+            down = loss()
+            flat[at] = keep
+            assert grads[key].reshape(-1)[at] == pytest.approx((up - down) / (2 * eps), rel=2e-2, abs=2e-5)
+
+
+def test_windows_overlap_and_cover():
+    for n in (1, 15, 16, 17, 31, 32, 33, 48, 49, 100):
+        spans = toxicity.windows_of(n)
+        assert {i for a, b in spans for i in range(a, b)} == set(range(n))
+        assert all(b - a <= toxicity.LENGTH for a, b in spans)
+        words = [f"w{i}" for i in range(n)]
+        logit, owner = toxicity.Scorer(toxicity.Network()).logits([words, []])
+        assert len(logit) == len(spans) and set(owner.tolist()) == {0}
+
+
+def test_toxicity_learns_words_and_stems(spark):
+    rng = random.Random(4)
+
+    def text(toxic):
+        w = prose(rng, rng.randrange(10, 120), 300).split()
+        if toxic:
+            for _ in range(3):
+                w.insert(rng.randrange(len(w)), rng.choice(["vile", f"grub{rng.choice('abcdef')}{rng.choice('xyz')}"]))
+        return " ".join(w)
+    rows = [(i, text(i % 3 == 0)) for i in range(360)]
+    docs = documents(spark, rows + [(900, None), (901, ""), (902, "..."), (903, "vile " + "calm " * 20000)])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)] + [(900, 1), (None, 1), (2, None)],
+                                   "doc_id long, toxic int")
+    got = toxicity.classify(docs, labels, train_on=F.col("doc_id") < 250)
+    pred = {r["doc_id"]: r["predicted"] for r in got.collect()}
+    held = [i for i in range(250, 360)]
+    assert sum(pred[i] == int(i % 3 == 0) for i in held) >= 0.95 * len(held)
+    assert pred[900] == pred[901] == pred[902] == 0 and pred[903] == 1  # whole texts, not prefixes or means
+    none = toxicity.classify(docs, labels.limit(0))
+    assert {r["score"] for r in none.collect()} == {0.0}
+    assert toxicity.classify(docs.limit(0), labels).count() == 0
+
+
+def test_secrets_are_found_and_false_positives_removed(spark):
+    rng = random.Random(5)
+
+    def hexes(n):
+        return "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    texts, true = [], {}
+    for i in range(120):
+        w = prose(rng, 40, 80).split()
+        if i % 4 == 0:
+            true[1000 + i] = hexes(40)
+            w.insert(rng.randrange(len(w)), f'token = "{true[1000 + i]}"')
+        elif i % 4 == 1:
+            w.insert(3, "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)))
+        elif i % 4 == 2:
+            w += ["/usr/share/lib2/modules.d/config", "2024-11-30T10:11:12", "LONGHEADINGINCAPITALS"]
+        texts.append((1000 + i, " ".join(w)))
+    docs = documents(spark, texts + odd_texts() + [(500, "-----BEGIN RSA PRIVATE KEY-----\nabc\n-----END RSA PRIVATE KEY-----")])
+    found = secrets.scan(docs)
+    hits = {}
+    for r in found.filter("secret").collect():
+        hits.setdefault(r["id"], []).append(r["value"])
+    assert all(hits[i] == [v] for i, v in true.items())
+    assert all(1000 + i in hits for i in range(120) if i % 4 == 1) and 500 in hits
+    assert not [i for i in hits if i is not None and i >= 1000 and i % 4 > 1]
+    clean = secrets.redact(docs, found)
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    out = {r["doc_id"]: r["text"] for r in clean.filter("doc_id is not null").collect()}
+    assert all(v not in out[i] and "[SECRET]" in out[i] for i, v in true.items())
+    assert out[500] == "[SECRET]" and out[1] is None and out[2] == ""
+    assert all(out[i] == t for i, t in texts if i % 4 > 1)
+    assert secrets.scan(docs.limit(0)).count() == 0
+    assert secrets.scan(documents(spark, odd_texts())).filter("secret").count() == 0
+
+
+def test_packing_round_trip(spark):
+    rng = random.Random(6)
+    texts = odd_texts() + [(100 + i, prose(rng, rng.choice([1, 5, 20, 60, 200]), 500)) for i in range(80)] + \
+        [(900, "It's <|endoftext|> ÉCOLE, ok\x1cno.\u2003x"), (901, "a,, b.c ΣΑΣ ́a")]
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(TOKENIZER)
+    docs = documents(spark, texts)
+    got = packing.pack_documents(docs, TOKENIZER, capacity=64).collect()
+    want = sorted((repr(d), p, s, len(x), zlib.crc32(np.array(x, "<u4").tobytes()))
+                  for d, t in texts for ids in [tok.encode(t or "", add_special_tokens=False).ids + [0]]
+                  for p, s in enumerate(range(0, len(ids), 64)) for x in [ids[s:s + 64]])
+    assert sorted((repr(r["doc_id"]), r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
+    bins = {}
+    for r in got:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in bins.values():
+        at = 0
+        for o, n in sorted(parts):
+            assert o == at
+            at += n
+        assert at <= 64
+    assert len(bins) <= 1.03 * sum(r["length"] for r in got) / 64 + 1
+    assert packing.pack_documents(docs.limit(0), TOKENIZER).count() == 0
+
+
+def test_sweep_takes_the_smallest_gap_that_fits():
+    matches, updates, opened = packing.sweep({6: 3, 5: 1}, {5: 1, 7: 1, 9: 1}, 10)
+    used = {(n, g): b - a for n, a, b, g, _, _ in matches}
+    assert used == {(6, 7): 1, (6, 9): 1, (6, 10): 1, (5, 5): 1} and opened == 1
+    assert sorted((size, hi - lo) for _, lo, hi, size in updates) == [(0, 1), (1, 1), (3, 1), (4, 1)]
