@@ -31,7 +31,6 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -41,7 +40,7 @@ from pyspark.sql import types as T
 from demandops.llm.common import cut, global_rank, release
 
 CACHE_WORDS = 800_000    #: distinct words a worker remembers before it starts anew
-SLICE_CHARS = 2_000_000  #: text tokenised at a time
+SLICE_BYTES = 4_000_000  #: text tokenised at a time
 
 
 def byte_letters() -> list[str]:
@@ -77,7 +76,7 @@ class WordEncoder:
     def clear(self) -> None:
         self.index: dict[str, int] = {"": 0}             # no text: the end id itself
         self.pool = np.full(1 << 18, self.end, np.uint32)
-        self.offs, self.lens = np.zeros(1 << 14, np.int64), np.ones(1 << 14, np.int64)
+        self.offs, self.lens = np.zeros(1 << 14, np.int32), np.ones(1 << 14, np.int32)
         self.used = 1
 
     def _by_merges(self, word: str) -> list[int] | None:
@@ -117,30 +116,30 @@ class WordEncoder:
         self.index.update(zip(words, range(n, n + len(words))))
         self.used = end
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by the end id; where each text ends)."""
         if len(self.index) > CACHE_WORDS:
             self.clear()
         # A-Z in lower case first: fewer distinct words, the same ids (a special
         # token's name is matched before the tokenizer lowers, so such texts stay)
-        texts = [t if "<|" in t else t.lower() if t.isascii() else t.encode().lower().decode() for t in texts]
-        parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        parts = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         coded = parts.values.dictionary_encode()
         names = coded.dictionary.to_pylist()
         self._learn([w for w in names if w not in self.index])
-        number = np.fromiter(map(self.index.__getitem__, names), np.int64, len(names))
+        number = np.fromiter(map(self.index.__getitem__, names), np.int32, len(names))
         bounds = parts.offsets.to_numpy()
-        words = number[coded.indices.to_numpy()] if names else np.zeros(0, np.int64)
+        words = number[coded.indices.to_numpy()] if names else np.zeros(0, np.int32)
         empty = words == 0                                # beside outer white space
         words = np.insert(words, bounds[1:] - bounds[0], 0)
         lens = self.lens[words]
         closing = bounds[1:] - bounds[0] + np.arange(len(texts))
         gone = np.insert(empty, bounds[1:] - bounds[0], False)
         lens[gone] = 0
-        ends = np.cumsum(lens)
+        ends = np.cumsum(lens, dtype=np.int32)
         where = np.repeat(self.offs[words] - (ends - lens), lens)
-        where += np.arange(len(where))
-        return self.pool[where], ends[closing]
+        where += np.arange(len(where), dtype=np.int32)
+        return self.pool[where], ends[closing].astype(np.int64)
 
 
 PIECE = "piece int, start long, length long, ids_crc32 long"
@@ -155,26 +154,33 @@ def tokenize(docs: DataFrame, tokenizer: str, capacity: int, keep: Sequence[str]
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.LongType())))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [f.name for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = WordEncoder.of(tokenizer, end_id)
-        for pdf in batches:
-            size = pdf["_text"].str.len().cumsum().to_numpy()
-            for _, part in pdf.groupby(size // SLICE_CHARS, sort=False):
-                ids, ends = enc.encode(part["_text"].tolist())
-                rows, at, begin = [], [], 0
-                for k, end in enumerate(ends.tolist()):
-                    for p, s in enumerate(range(begin, end, capacity)):
-                        piece = ids[s:min(end, s + capacity)].astype("<u4", copy=False)
-                        at.append(k)
-                        rows.append((p, s - begin, len(piece), zlib.crc32(piece.tobytes()))
-                                    + ((piece.astype(np.int64),) if with_ids else ()))
-                    begin = end
-                names = [f.name for f in fields[len(keep):]]
-                made = pd.DataFrame(rows, columns=names)
-                left = part[list(keep)].iloc[at].reset_index(drop=True)
-                yield pd.concat([left, made], axis=1)
-
-    return src.mapInPandas(run, T.StructType(fields))
+        for batch in batches:
+            text = batch.column(len(keep))
+            group = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False)) // SLICE_BYTES
+            first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else []
+            for a, z in zip(first, [*first[1:], len(group)]):
+                part = batch.slice(a, z - a)
+                ids, ends = enc.encode(part.column(len(keep)))
+                begins = np.r_[0, ends[:-1]]
+                n = -(-(ends - begins) // capacity)                   # pieces of each text
+                at = np.repeat(np.arange(len(n)), n)
+                piece = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+                start = piece * capacity
+                lo = begins[at] + start
+                hi = np.minimum(lo + capacity, ends[at])
+                raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                crc = [zlib.crc32(raw[4 * x:4 * y]) for x, y in zip(lo.tolist(), hi.tolist())]
+                cols = [part.column(i).take(pa.array(at)) for i in range(len(keep))]
+                cols += [pa.array(piece.astype(np.int32)), pa.array(start), pa.array(hi - lo), pa.array(crc, pa.int64())]
+                if with_ids:
+                    cols.append(pa.array([ids[x:y].astype(np.int64) for x, y in zip(lo, hi)], pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return src.mapInArrow(run, T.StructType(fields))
 
 
 def sweep(items: dict[int, int], gaps: dict[int, int], capacity: int) -> tuple[list, list, int]:
