@@ -20,6 +20,18 @@ BROADCAST_ROWS = 400_000
 MAX_BLOOM_BLOCKS = 1 << 15
 
 
+#: Rows of an Arrow batch: whole texts, so fewer than Spark's 10,000.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for tasks that read whole texts, unless the
+    session has already set a smaller number."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, cut, shield, text_digest
+from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, bounded_batches, cut, shield, text_digest
 
 MAX_TRUE, MAX_FALSE = 4000, 12000  #: labelled findings to fit on (least hashes)
 SAMPLE_TEXTS = 1500                #: texts that give the dictionary (least hashes)
@@ -156,6 +156,7 @@ def learn_words(docs: DataFrame, text: str = "text") -> Words:
 def candidates(docs: DataFrame, words: Words, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per candidate: id, t1, t2 (text digest), start, end, kind,
     value, key, before, after and the features."""
+    bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(words)  # at most MAX_WORDS words
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(t).alias("t1"),

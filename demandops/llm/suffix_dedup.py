@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, cut, release
+from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, bounded_batches, cut, release
 
 LENGTH = 200             #: bytes of a repeated string
 Q = 100                  #: bytes of an initial bucket
@@ -238,6 +238,7 @@ def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 def repeated_starts(texts: DataFrame) -> DataFrame:
     """(t1, t2, a, b): windows a..b of a text start a 200-byte string that
     starts anywhere else too. ``texts``: (t1, t2, text), copies allowed."""
+    bounded_batches(texts.sparkSession)
     rows = texts.mapInArrow(_anchor_rows, ANCHOR)
     members = cut(rows.repartition("bucket").sortWithinPartitions("bucket", "t1", "t2", "pos")
                   .mapInArrow(_open_buckets, ANCHOR), "members")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandops.llm.common import shield, sized_join
+from demandops.llm.common import bounded_batches, shield, sized_join
 
 LENGTH, STRIDE = 32, 16          #: words of a window, and between windows
 DIM, HIDDEN, ATT = 12, 8, 8      #: input vector, GRU state, attention size
@@ -291,6 +291,7 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Network | None
 def score_column(spark, net: Network | None, text: Column) -> Column:
     if net is None:
         return F.lit(0.0)
+    bounded_batches(spark)
     held = spark.sparkContext.broadcast(net)  # fixed size, see the module's head
 
     @F.pandas_udf("double")
