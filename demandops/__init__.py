@@ -9,7 +9,6 @@ chain.  Sub-packages:
                   inventory policy, exploration and business reports
 * ``functions`` – small column helpers shared by the operators
 * ``plans``     – stage composition and the registered query catalogue
-* ``streaming`` – (intentionally empty, see its docstring)
 """
 
 SERIES_KEYS = ("store_id", "item_id")

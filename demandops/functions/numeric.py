@@ -63,3 +63,10 @@ def present(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
+
+
+def hex_hash(*cols) -> Column:
+    """0..65535 from the first four hexadecimal digits of the md5 of the
+    columns' texts, joined by ``|`` (an engine-independent hash)."""
+    digest = F.md5(F.concat_ws("|", *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]))
+    return F.conv(F.substring(digest, 1, 4), 16, 10).cast("bigint")

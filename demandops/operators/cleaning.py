@@ -26,14 +26,16 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str] = DATE_KEY,
 
     Expressed as an aggregate (``min_by`` over the ingest order) rather than
     a ``row_number`` window: the aggregate combines map-side, so a key that
-    holds a large share of the rows never lands whole in one task.  Without
-    an ingest-order column every non-key column forms the order, which makes
-    the survivor deterministic."""
+    holds a large share of the rows never lands whole in one task.  A table
+    without the order column has no first row: that raises (``load_sales``
+    adds the column on request), as ordering by the values would keep the
+    smallest, worst rows.  Rows of keys alone are all equal."""
     payload = [c for c in df.columns if c not in keys]
     if not payload:
         return df.dropDuplicates(list(keys))
-    order_col = F.col(order) if order in df.columns else F.struct(*payload)
-    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), order_col).alias("_row"))
+    if order not in df.columns:
+        raise ValueError(f"keep-first needs the ingest order column {order!r}")
+    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), F.col(order)).alias("_row"))
     return kept.select(*[F.col(c) for c in df.columns if c in keys],
                        *[F.col(f"_row.{c}").alias(c) for c in payload]).select(*df.columns)
 

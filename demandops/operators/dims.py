@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandops import SERIES_KEYS
-from demandops.functions.numeric import rnd
+from demandops.functions.numeric import hex_hash, rnd
 
 
 def series_scaffold(df: DataFrame, keys: Sequence[str] = SERIES_KEYS,
@@ -131,7 +131,7 @@ def festival_flag(df: DataFrame, windows: Sequence[tuple[str, str]],
 
 def promo_hash_sample(df: DataFrame, pct: int = 15, out: str = "on_promo") -> DataFrame:
     """Deterministic ~pct % assignment from a hash of (date, item, store)."""
-    h = F.pmod(F.xxhash64(F.col("date").cast("string"), "item_id", "store_id"), F.lit(100))
+    h = F.pmod(hex_hash("date", "item_id", "store_id"), F.lit(100))
     return df.withColumn(out, F.when(h < pct, 1).otherwise(0).cast("int"))
 
 

@@ -93,11 +93,17 @@ def correlation_matrix(df: DataFrame, cols=CORR_COLUMNS) -> DataFrame:
 def revenue_heatmap(df: DataFrame, long: bool = False) -> DataFrame:
     """Revenue per category x month in thousands, missing cells 0.
 
-    Wide (one column per month, via ``pivot``) or long form."""
+    Wide (one column per month, via ``pivot``) or long form, which has every
+    category in every month of the data (months are bounded by the calendar)."""
     rev = with_revenue(df).withColumn("month", F.date_format("date", "yyyy-MM"))
     if long:
-        return (rev.groupBy("category", "month")
-                   .agg((exact_sum("revenue") / 1000.0).alias("revenue_k")))
+        cells = (rev.groupBy("category", "month")
+                    .agg((exact_sum("revenue") / 1000.0).alias("revenue_k")))
+        months = cells.agg(F.collect_set("month")).scalar()
+        every = cells.select("category").distinct().select("category", F.explode(months).alias("month"))
+        same = every["category"].eqNullSafe(cells["category"]) & (every["month"] == cells["month"])
+        return every.join(cells, same, "left").select(
+            every["category"], every["month"], F.coalesce("revenue_k", F.lit(0.0)).alias("revenue_k"))
     wide = rev.groupBy("category").pivot("month").agg(exact_sum("revenue") / 1000.0)
     return wide.fillna(0.0)
 

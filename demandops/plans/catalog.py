@@ -59,9 +59,12 @@ def raw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's clean table, derived from the daily fact (whose
-    (store, item, date) keys are unique by construction)."""
-    return clean_sales(fact(spark, sf_dir), unique_keys=True)
+    """The reference's clean table as a stage, derived from the daily fact
+    (whose (store, item, date) keys are unique by construction): the price
+    imputation runs once per input, and readers scan only their columns."""
+    return memo_table(spark, "clean", input_paths(sf_dir),
+                      lambda: clean_sales(fact(spark, sf_dir), unique_keys=True),
+                      bucket_by=SERIES, sort_by=["date"])
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +92,7 @@ def forest_model(spark: SparkSession, sf_dir: str):
         train, _ = EV.train_test(f)
         model = MD.train_forest(train, FE.feature_columns(f))
         metrics = EV.forecast_metrics(MD.predict_clipped(model, EV.seasonal_naive(f)))
-        MD.save_model(model, path, metrics)
+        MD.save_model(model, path, metrics, FE.feature_columns(f))
 
     path = memo_artifact(spark, "forest", input_paths(sf_dir), fit_and_save)
     return MD.load_model(path), path

@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import os
 import uuid
+import warnings
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from demandops.session import stage_root
@@ -80,7 +82,8 @@ def memo_table(spark: SparkSession, name: str, inputs: list[str], build,
         n = stage_buckets(spark)
         try:
             path = write_bucketed(build(), name, list(bucket_by), list(sort_by or ()), n)
-        except Exception:  # noqa: BLE001  (no usable catalog: plain stage, same rows)
+        except AnalysisException as e:  # no usable catalog: a plain stage, same rows
+            warnings.warn(f"stage {name} is written without buckets: {e}", stacklevel=2)
             path, n = write_table(build(), name), 0
     else:
         path, n = write_table(build(), name), 0
@@ -89,8 +92,8 @@ def memo_table(spark: SparkSession, name: str, inputs: list[str], build,
     if bucket_by and n:
         try:
             return read_bucketed(spark, path, list(bucket_by), list(sort_by or ()), n)
-        except Exception:  # noqa: BLE001  (same files, read without the bucket spec)
-            pass
+        except AnalysisException as e:  # the same files, without the bucket spec
+            warnings.warn(f"stage {name} is read without buckets: {e}", stacklevel=2)
     return spark.read.parquet(path)
 
 

@@ -24,6 +24,13 @@ def mean(expr: str, scale: int = 10) -> str:
             f"/ CAST(COUNT({expr}) AS DOUBLE))")
 
 
+def hex_hash_sql(*exprs: str) -> str:
+    """``functions.numeric.hex_hash``: four hexadecimal digits of an md5."""
+    digest = f"md5(concat_ws('|', {', '.join(exprs)}))"
+    return "(" + " + ".join(f"{16 ** (3 - i)} * (strpos('0123456789abcdef', substr({digest}, {i + 1}, 1)) - 1)"
+                            for i in range(4)) + ")"
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 

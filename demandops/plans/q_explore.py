@@ -104,13 +104,16 @@ oracle("E8_correlation_matrix", "\nUNION ALL\n".join(
 
 @query("E9_revenue_heatmap")
 def e9(spark, sf):
-    return present(E.revenue_heatmap(clean(spark, sf)))
+    return present(E.revenue_heatmap(clean(spark, sf), long=True))
 
 
 oracle("E9_revenue_heatmap", f"""
-SELECT category, {r('COALESCE(COLUMNS(* EXCLUDE (category)), 0)', 6)}
-FROM (PIVOT (SELECT category, strftime(date, '%Y-%m') AS month, qty_sold, price FROM clean)
-      ON month USING {REV} / 1000.0 GROUP BY category)""", "clean")
+SELECT c.category, m.month, {r('COALESCE(v.revenue_k, 0)', 6)} AS revenue_k
+FROM (SELECT DISTINCT category FROM clean) c
+CROSS JOIN (SELECT DISTINCT strftime(date, '%Y-%m') AS month FROM clean) m
+LEFT JOIN (SELECT category, strftime(date, '%Y-%m') AS month, {REV} / 1000.0 AS revenue_k
+           FROM clean GROUP BY ALL) v
+  ON v.category IS NOT DISTINCT FROM c.category AND v.month = m.month""", "clean")
 
 
 @query("E10_qty_distribution")

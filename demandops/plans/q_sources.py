@@ -9,7 +9,7 @@ from demandops.operators import cleaning as C
 from demandops.operators import dims as D
 from demandops.operators import quality as Q
 from demandops.plans.catalog import clean, fact, query, raw, raw_dedup
-from demandops.plans.oracle import A, mean, oracle, r
+from demandops.plans.oracle import A, mean, oracle, r, hex_hash_sql
 from demandops.sources.io import profile_sales
 from demandops.sources.tables import read_table
 
@@ -112,10 +112,15 @@ FROM fact x""", "fact", "festival")
 
 @query("D6_promo_hash_sample")
 def d6(spark, sf):
-    # Rows-only: DuckDB has no xxhash64.  Invariant (tests): rate ~ 15 %.
     return D.promo_hash_sample(fact(spark, sf)).select("date", "store_id", "item_id", "on_promo")
 
 
+oracle("D6_promo_hash_sample", f"""
+SELECT date, store_id, item_id,
+       CAST(CASE WHEN {hex_hash_sql("strftime(date, '%Y-%m-%d')", 'item_id', 'store_id')} % 100 < 15
+                 THEN 1 ELSE 0 END AS INTEGER) AS on_promo FROM fact""", "fact")
+
+
 @query("D7_discounted_price")
 def d7(spark, sf):
     li = read_table(spark, sf, "lineitem")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +33,22 @@ from demandops.sources.io import load_stage, write_stage
 
 STEPS = ("clean", "explore", "features", "model", "forecast", "inventory", "insights")
 
+#: Stages that a rebuilt stage makes stale, beside all that follow from those.
+FEEDS = {"deduplicated": ("clean",), "clean": ("weekly", "eda", "dense", "features", "policy", "report"),
+         "dense": ("features",), "features": ("model", "forecast"), "model": ("forecast",),
+         "forecast": ("policy", "kpis"), "policy": ("alerts", "kpis", "report")}
 
 
+def stale_after(names: Iterable[str]) -> set[str]:
+    """``names`` and every stage family that is derived from them."""
+    found, todo = set(), list(names)
+    while todo:
+        name = todo.pop()
+        if name not in found:
+            found.add(name)
+            todo += FEEDS.get(name, ())
+    return found
+
 
 class StageRun:
     """One run folder; ``table(name)`` reads a stage, ``put`` writes one."""
@@ -47,7 +61,12 @@ class StageRun:
         return os.path.join(self.root, name)
 
     def has(self, name: str) -> bool:
-        return path_exists(self.spark, self.path(name))
+        """A stage is there when its write was committed, not when its folder is."""
+        return path_exists(self.spark, os.path.join(self.path(name), "_SUCCESS"))
+
+    def has_model(self) -> bool:
+        """The fitted pipeline and its metrics, both committed."""
+        return self.has("model_metrics") and self.has(os.path.join("model", "metadata"))
 
     def put(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         write_stage(df, self.root, name, partition_by=partition_by)
@@ -72,12 +91,18 @@ def run_stages(spark: SparkSession, sales: Callable[[], DataFrame],
     the inventory step keeps using the observed clean history."""
     run = StageRun(spark, root)
     out: dict[str, DataFrame] = {}
+    rebuilt = set(recompute)
+
+    def stale(name: str) -> bool:
+        """Named for a rebuild, or derived from a stage that this run rebuilt."""
+        return bool({name, name.split("_")[0]} & stale_after(rebuilt))
 
     def stage(name: str, build: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
-        if run.has(name) and name not in recompute:
+        if run.has(name) and not stale(name):
             out[name] = run.table(name)
         else:
             out[name] = run.put(name, build(), partition_by)
+            rebuilt.add(name)
         return out[name]
 
     def need(name: str) -> DataFrame:
@@ -117,20 +142,25 @@ def run_stages(spark: SparkSession, sales: Callable[[], DataFrame],
             f = need("features")
             cols = FE.feature_columns(f)
             model_path = run.path("model")
-            if run.has("model") and "model" not in recompute:
+            if run.has_model() and not stale("model"):
                 model = MD.load_model(model_path)
             else:
                 train, _ = EV.train_test(f)
                 model = MD.train_forest(train, cols, **(forest_params or {}))
-                test = EV.seasonal_naive(f)
-                metrics = EV.forecast_metrics(MD.predict_clipped(model, test))
-                MD.save_model(model, model_path, metrics)
+                metrics = EV.forecast_metrics(MD.predict_clipped(model, EV.seasonal_naive(f)))
+                MD.save_model(model, model_path, metrics, cols)
+                rebuilt.add("model")
             out["model_metrics"] = spark.read.parquet(model_path + "_metrics")
             out["_model"] = model  # type: ignore[assignment]
+            tested = MD.predict_clipped(model, EV.seasonal_naive(f))
+            stage("model_category_mae", lambda: EV.mae_by_category(tested))
+            stage("model_importances", lambda: MD.feature_importance_topn(model, cols))
+            stage("model_daily", lambda: EV.actual_vs_predicted_daily(tested))
+            stage("model_benchmark", lambda: EV.model_benchmark(EV.baseline_predictions(f)))
         elif step == "forecast":
             f = need("features")
             model = out.get("_model")
-            if model is None and run.has("model"):
+            if model is None and run.has_model():
                 model = MD.load_model(run.path("model"))
             forest = MD.forest_forecast(model, FC.future_features(f)) if model is not None else None
             stage("forecast", lambda: FC.hybrid_forecast(f, forest))
@@ -140,6 +170,11 @@ def run_stages(spark: SparkSession, sales: Callable[[], DataFrame],
             stage("alerts", lambda: I.reorder_alerts(p))
         elif step == "insights":
             stage("kpis", lambda: K.kpi_table(need("clean"), need("policy"), need("forecast")))
+            stage("report_policy", lambda: K.report_policy_table(need("policy")))
+            stage("report_alerts", lambda: K.report_alert_table(need("policy")))
+            stage("report_revenue_trend", lambda: K.daily_revenue_trend(need("clean")))
+            stage("report_revenue_share", lambda: K.category_revenue_share(need("clean")))
+            stage("report_recent", lambda: K.recent_actuals(need("clean")))
         else:
             raise ValueError(f"unknown step {step!r}")
     out.pop("_model", None)

@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
@@ -39,7 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
     The cluster's ``spark.checkpoint.dir`` always wins; a private folder is
-    only created when nothing is configured (local tests)."""
+    only created for a local master (tests).  On a cluster without the setting
+    this raises: a machine's own folder is not seen by the other executors."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getCheckpointDir()
@@ -47,11 +49,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="demandops-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     try:  # core configs may be read-only at runtime; the context dir is what counts
         spark.conf.set("spark.checkpoint.dir", path)
-    except Exception:  # noqa: BLE001
+    except AnalysisException:
         pass
     return path
 

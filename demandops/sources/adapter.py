@@ -48,9 +48,9 @@ HOLDING_COST_RATE = 0.20
 PROMO_DISCOUNT = 0.09          # a line with discount >= this counts as on promotion
 STOCK_MODULUS = 400            # stock_on_hand stand-in: sum(orderkey) mod 400
 STOCKOUT_MODULUS = 41          # stockout when sum(orderkey) mod 41 == 0
-HOLIDAY_MONTH_DAYS = ["01-26", "08-15", "10-02", "12-25"]
-FESTIVAL_WINDOWS_MD = [("10-15", "10-25"), ("11-08", "11-14")]
-FESTIVAL_YEARS = list(range(1995, 2002))
+HOLIDAY_MONTH_DAYS = ["01-01", "05-01", "09-07", "12-24"]
+FESTIVAL_WINDOWS_MD = [("03-03", "03-12"), ("07-19", "07-26")]
+FESTIVAL_YEARS = list(range(1980, 2051))
 # Defects injected into sales_raw (line grain): residue rules on the keys.
 RAW_NULL_QTY_MOD = 97          # l_orderkey % 97 == 0  -> qty NULL
 RAW_NEG_QTY_MOD = 89           # l_orderkey % 89 == 0  -> qty negated

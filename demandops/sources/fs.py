@@ -20,12 +20,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def fingerprint(spark: SparkSession, paths: list[str]) -> tuple | None:
-    """(path, length, modification time) of the inputs, through the Hadoop
-    FileSystem API so it works for local and distributed storage alike."""
-    out = []
+    """(path, bytes, files, folders, modification time) of the inputs, through
+    the Hadoop FileSystem API so it works for local and distributed storage
+    alike.  The totals cover everything below a folder, so rows added to a
+    partition change the stamp; two calls a path, however many files."""
+    jvm, conf, out = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), []
     for path in paths:
-        st = fs_status(spark, path)
-        if st is None:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
             return None
-        out.append((path, st.getLen(), st.getModificationTime()))
+        total = fs.getContentSummary(p)
+        out.append((path, total.getLength(), total.getFileCount(), total.getDirectoryCount(),
+                    fs.getFileStatus(p).getModificationTime()))
     return tuple(out)

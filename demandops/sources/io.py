@@ -38,14 +38,24 @@ SALES_SCHEMA = StructType([
 
 
 def load_sales(spark: SparkSession, path: str, fmt: str = "parquet",
-               schema: StructType = SALES_SCHEMA) -> DataFrame:
-    """Scan a sales table.  CSV gets the explicit schema (date parsed)."""
+               schema: StructType = SALES_SCHEMA, ingest_order: bool = False) -> DataFrame:
+    """Scan a sales table.  CSV gets the explicit schema (date parsed).
+
+    ``ingest_order=True`` adds the column keep-first needs: (file, row).  A
+    Parquet file knows its row numbers; for text, the ids Spark gives out grow
+    with the place in a file."""
     if fmt == "csv":
-        return (spark.read.schema(schema).option("header", True)
-                .option("dateFormat", "yyyy-MM-dd").csv(path))
-    if fmt == "parquet":
-        return spark.read.parquet(path)
-    raise ValueError(f"unsupported format {fmt!r}")
+        df = (spark.read.schema(schema).option("header", True)
+              .option("dateFormat", "yyyy-MM-dd").csv(path))
+        row = F.monotonically_increasing_id()
+    elif fmt == "parquet":
+        df, row = spark.read.parquet(path), F.col("_metadata.row_index")
+    else:
+        raise ValueError(f"unsupported format {fmt!r}")
+    if not ingest_order:
+        return df
+    order = F.struct(F.col("_metadata.file_path").alias("file"), row.alias("row"))
+    return df.select("*", order.alias("ingest_order"))
 
 
 def write_stage(df: DataFrame, root: str, name: str, fmt: str = "parquet",

@@ -34,7 +34,7 @@ _ROW_COUNTS: dict[tuple, int] = {}
 def _row_count(df: DataFrame) -> int:
     """Row count of a plain scan (+ projection), memoised per unchanged
     input files so repeated plan building does not re-run the job."""
-    stamp = fingerprint(df.sparkSession, sorted(df.inputFiles()))
+    stamp = fingerprint(df.sparkSession, sorted({os.path.dirname(f) for f in df.inputFiles()}))
     if stamp is None:
         return df.count()
     if stamp not in _ROW_COUNTS:

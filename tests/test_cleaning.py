@@ -1,3 +1,5 @@
+import pytest
+
 """Quality checks and cleaning on hand-built dirty frames."""
 
 import datetime as dt
@@ -93,3 +95,20 @@ def test_weekly_first_non_null(spark, make_fact):
     rows[1] = rows[1][:11] + (7.0,) + rows[1][12:]
     w = C.weekly_rollup(make_fact(rows)).first()
     assert w.unit_cost == 7.0 and w.qty_sold == 6
+
+
+def test_dedup_needs_an_order_and_keeps_a_good_first_row(spark):
+    rows = [_row(1, day(0), "S", "A", 7), _row(2, day(0), "S", "A", None), _row(3, day(0), "S", "A", -4)]
+    df = _raw(spark, rows)
+    assert [r.qty_sold for r in C.dedup_keep_first(df).collect()] == [7]
+    with pytest.raises(ValueError, match="ingest order"):
+        C.dedup_keep_first(df.drop("ingest_order"))
+
+
+def test_load_sales_gives_the_ingest_order(spark, tmp_path):
+    from demandops.sources.io import load_sales, write_stage
+    df = _raw(spark, [_row(i, day(0), "S", "A", 10 - i) for i in range(5)]).drop("ingest_order").coalesce(1)
+    for fmt in ("parquet", "csv"):
+        path = write_stage(df, str(tmp_path), fmt, fmt=fmt)
+        kept = C.dedup_keep_first(load_sales(spark, path, fmt=fmt, ingest_order=True)).collect()
+        assert [r.qty_sold for r in kept] == [10]

@@ -41,7 +41,7 @@ def test_features_plan_does_not_rescan_lineitem(spark):
 def test_stage_runner_reuses_stages(spark, tmp_path):
     from demandops.plans.catalog import raw
     root = str(tmp_path / "run")
-    sales = lambda: raw(spark, SF_SMALL).drop("ingest_order")
+    sales = lambda: raw(spark, SF_SMALL)
     out = run_stages(spark, sales, root=root, forest_params={"numTrees": 5, "maxDepth": 4})
     for name in ("quality", "deduplicated", "clean", "weekly", "features", "forecast", "policy",
                  "alerts", "kpis", "model_metrics", "eda_daily_trend"):
@@ -73,7 +73,6 @@ def test_nation_brand_grain(spark):
 
 
 def test_memo_rebuilds_when_input_changes(spark, tmp_path):
-    import os
     import time as _t
     from demandops.plans.materialize import memo_table
     src = str(tmp_path / "in.parquet")
@@ -90,7 +89,6 @@ def test_memo_rebuilds_when_input_changes(spark, tmp_path):
     assert len(calls) == 1 and a.count() == b.count() == 5
     _t.sleep(1.1)
     spark.range(7).write.mode("overwrite").parquet(src)
-    os.utime(src)
     c = memo_table(spark, "t", [src], build, bucket_by=["store_id", "item_id"], sort_by=["id"])
     assert len(calls) == 2 and c.count() == 7
 
@@ -114,7 +112,7 @@ def test_hot_key_aggregates_combine_before_the_shuffle(spark):
 def test_stage_runner_dense_uses_croston(spark, tmp_path):
     from demandops.plans.catalog import raw
     from demandops.sources import adapter as A
-    out = run_stages(spark, lambda: raw(spark, SF_SMALL).drop("ingest_order"),
+    out = run_stages(spark, lambda: raw(spark, SF_SMALL),
                      root=str(tmp_path / "dense"), forest_params={"numTrees": 5, "maxDepth": 4},
                      steps=("clean", "features", "model", "forecast", "inventory"), dense=True,
                      holiday_month_days=A.HOLIDAY_MONTH_DAYS, festival_windows=A.festival_windows())
