@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandops.llm import decontamination, jaccard_join, packing, quality_lm, secrets
+from demandops.llm import decontamination, jaccard_join, packing, quality_lm, secret_scan
 from demandops.llm.common import cut, shield, table
 
 
@@ -33,9 +33,9 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, confirmed secrets replaced; n_chars follows the text."""
-    clean = secrets.redact(docs, secrets.scan(docs))
+    clean = secret_scan.redact(docs, secret_scan.scan(docs))
     if "n_chars" in docs.columns:
         return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return clean
@@ -47,7 +47,7 @@ def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("benchmark", benchmark),
-          ("secrets", secret_scan), ("packing", best_fit)]
+          ("secrets", secret_stage), ("packing", best_fit)]
 
 ORACLE_SQL = None
 

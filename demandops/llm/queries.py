@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandops.llm import chat_format, decontamination, jaccard_join, packing, quality_lm, quality_rules, secrets, suffix_dedup, toxicity, url_filter
+from demandops.llm import chat_format, decontamination, jaccard_join, packing, quality_lm, quality_rules, secret_scan, suffix_dedup, toxicity, url_filter
 from demandops.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,6 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_secret_scan")
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (secrets.scan(table(spark, sf_dir, "documents"))
+    return (secret_scan.scan(table(spark, sf_dir, "documents"))
             .select(F.col("id").alias("doc_id"), "start", "end", "kind", F.length("value").alias("length"),
                     F.sha2("value", 256).alias("value_sha256"), "score", "secret"))

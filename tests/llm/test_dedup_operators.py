@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from demandops.llm import jaccard_join, suffix_dedup
@@ -155,3 +156,23 @@ def test_anchors_cover_every_window_once():
         got = {i: int(p) for p, a, b in zip(pos, first, last) for i in range(a, b + 1)}
         assert got == {i: i + int(np.argmin(h[i:i + w])) for i in range(len(h) - w + 1)}
         assert sum(b - a + 1 for a, b in zip(first, last)) == len(got)
+
+
+def test_sorted_groups_are_streamed(monkeypatch):
+    """Frequencies and stars of shared tokens, whatever the batches cut."""
+    monkeypatch.setattr(jaccard_join, "HOT", 4)
+    rng = random.Random(1)
+    for _ in range(300):
+        rows = sorted((rng.randrange(8) if rng.random() < 0.7 else 3, rng.randrange(12)) for _ in range(rng.randrange(80)))
+        batches, at = [], 0
+        while at < len(rows):
+            part, at = rows[at:(to := at + rng.randrange(9))], to
+            batches.append(pa.RecordBatch.from_arrays([pa.array([t for t, _ in part], pa.int64()),
+                                                       pa.array([c for _, c in part], pa.int64())], names=["token", "d1"]))
+        by = {}
+        for t, c in rows:
+            by.setdefault(t, set()).add(c)
+        got = [x for b in jaccard_join._shared(iter(batches)) for x in zip(*(y.to_pylist() for y in b.columns))]
+        assert sorted(got) == sorted((t, c, min(len(v), 5)) for t, v in by.items() if len(v) > 1 for c in v)
+        stars = {x for b in jaccard_join._stars(iter(batches)) for x in zip(*(y.to_pylist() for y in b.columns))}
+        assert stars == {(c, min(v)) for v in by.values() for c in v if c != min(v)}

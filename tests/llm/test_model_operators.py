@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from demandops.llm import packing, quality_lm, secrets, toxicity
+from demandops.llm import packing, quality_lm, secret_scan, toxicity
 from tests.llm.helpers import documents, odd_texts, prose
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -166,21 +166,21 @@ def test_secrets_are_found_and_false_positives_removed(spark):
             w += ["/usr/share/lib2/modules.d/config", "2024-11-30T10:11:12", "LONGHEADINGINCAPITALS"]
         texts.append((1000 + i, " ".join(w)))
     docs = documents(spark, texts + odd_texts() + [(500, "-----BEGIN RSA PRIVATE KEY-----\nabc\n-----END RSA PRIVATE KEY-----")])
-    found = secrets.scan(docs)
+    found = secret_scan.scan(docs)
     hits = {}
     for r in found.filter("secret").collect():
         hits.setdefault(r["id"], []).append(r["value"])
     assert all(hits[i] == [v] for i, v in true.items())
     assert all(1000 + i in hits for i in range(120) if i % 4 == 1) and 500 in hits
     assert not [i for i in hits if i is not None and i >= 1000 and i % 4 > 1]
-    clean = secrets.redact(docs, found)
+    clean = secret_scan.redact(docs, found)
     assert clean.columns == docs.columns and clean.count() == docs.count()
     out = {r["doc_id"]: r["text"] for r in clean.filter("doc_id is not null").collect()}
     assert all(v not in out[i] and "[SECRET]" in out[i] for i, v in true.items())
     assert out[500] == "[SECRET]" and out[1] is None and out[2] == ""
     assert all(out[i] == t for i, t in texts if i % 4 > 1)
-    assert secrets.scan(docs.limit(0)).count() == 0
-    assert secrets.scan(documents(spark, odd_texts())).filter("secret").count() == 0
+    assert secret_scan.scan(docs.limit(0)).count() == 0
+    assert secret_scan.scan(documents(spark, odd_texts())).filter("secret").count() == 0
 
 
 def test_packing_round_trip(spark):
