@@ -115,18 +115,29 @@ def time_index(df: DataFrame) -> DataFrame:
     return df.withColumns(time_index_column())
 
 
+def gross_margin(df: DataFrame) -> DataFrame:
+    """(price - unit cost) / price, row by row."""
+    if "price" in df.columns and "unit_cost" in df.columns:
+        return df.withColumn("gross_margin_pct", safe_div(F.col("price") - F.col("unit_cost"), "price"))
+    return df
+
+
+def is_discounted(df: DataFrame) -> DataFrame:
+    """1 where a discount is given, row by row."""
+    if "discount_pct" in df.columns:
+        return df.withColumn("is_discounted", (F.col("discount_pct") > 0).cast("int"))
+    return df
+
+
 def price_features(df: DataFrame, fit: DataFrame | None = None,
                    median_method: str = "bracket") -> DataFrame:
-    """F5 gross margin, F6 discount flag, F7 price / (category median + 1e-9).
+    """F5, F6 and F7 price / (category median + 1e-9).
 
     The reference's median spans the whole table (look-ahead); pass
     ``fit`` (e.g. the training rows) to take the medians from it instead.
     Medians are exact (``functions.stats.group_median``)."""
-    out = df
-    if "price" in df.columns and "unit_cost" in df.columns:
-        out = out.withColumn("gross_margin_pct", safe_div(F.col("price") - F.col("unit_cost"), "price"))
+    out = is_discounted(gross_margin(df))
     if "discount_pct" in df.columns:
-        out = out.withColumn("is_discounted", (F.col("discount_pct") > 0).cast("int"))
         src = fit if fit is not None else df
         med = group_median(src, "category", "price", median_method, out="_cat_median")
         out = (lookup_join(out, med, ["category"], "left")

@@ -113,8 +113,8 @@ _q("F1_calendar_features", FE.calendar_features, CAL_SQL and list(CAL_SQL)[:7])
 _q("F2_fourier_features", FE.fourier_features, list(CAL_SQL)[7:])
 _q("F3_lag_features", FE.lag_features, list(LAG_SQL))
 _q("F4_rolling_features", FE.rolling_features, list(ROLL_SQL))
-_q("F5_gross_margin_pct", FE.price_features, ["gross_margin_pct"])
-_q("F6_is_discounted", FE.price_features, ["is_discounted"])
+_q("F5_gross_margin_pct", FE.gross_margin, ["gross_margin_pct"])
+_q("F6_is_discounted", FE.is_discounted, ["is_discounted"])
 _q("F7_price_vs_cat_median", FE.price_features, ["price_vs_cat_median"])
 _q("F8_promo_frequency", FE.promo_frequency, list(PROMO_SQL))
 _q("F9_label_encode", FE.label_encode, list(ENC_SQL))

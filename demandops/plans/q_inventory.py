@@ -161,12 +161,15 @@ for _name, _cols in _POLICY_PARTS.items():
 
 @query("I6_service_z")
 def i6(spark, sf):
-    # z per service level as used by the policy rows (3 dp, as in the table)
-    return I.service_level_sweep(clean(spark, sf), SWEEP).select("service_level", "z_score").distinct()
+    """z per service level on every policy row (3 dp, as in the table)."""
+    return I.service_level_sweep(clean(spark, sf), SWEEP).select("store_id", "item_id", "service_level", "z_score")
 
 
-oracle("I6_service_z", f"SELECT DISTINCT service_level, z_score FROM ({policy_sql('base_levels', 'zz_', 'service_level, ')})",
-       "base_levels")
+# fixed values: standard normal quantiles from published tables, 3 dp
+PUBLISHED_Z = {0.80: 0.842, 0.85: 1.036, 0.90: 1.282, 0.95: 1.645, 0.975: 1.960, 0.98: 2.054, 0.99: 2.326,
+               0.995: 2.576, 0.999: 3.090}
+oracle("I6_service_z", "SELECT store_id, item_id, s AS service_level, z AS z_score FROM hist CROSS JOIN (VALUES "
+       + ", ".join(f"(CAST({s!r} AS DOUBLE), CAST({PUBLISHED_Z[s]!r} AS DOUBLE))" for s in SWEEP) + ") t(s, z)", "hist")
 
 
 @query("I14_top_alerts_dashboard")

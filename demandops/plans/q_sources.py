@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from demandops.functions.numeric import present
@@ -9,29 +12,44 @@ from demandops.operators import cleaning as C
 from demandops.operators import dims as D
 from demandops.operators import quality as Q
 from demandops.plans.catalog import clean, fact, query, raw, raw_dedup
-from demandops.plans.oracle import A, mean, oracle, r, hex_hash_sql
-from demandops.sources.io import profile_sales
+from demandops.plans.oracle import A, hex_hash_sql, mean, oracle, r
+from demandops.session import stage_root
+from demandops.sources.io import load_sales, profile_sales, write_stage
 from demandops.sources.tables import read_table
 
 
 @query("S1_load_sales")
 def s1(spark, sf):
-    return fact(spark, sf)
+    """The fact written as CSV and loaded with the explicit schema."""
+    root = os.path.join(stage_root(spark, "roundtrip"), uuid.uuid4().hex[:12])
+    write_stage(fact(spark, sf), root, "sales", fmt="csv")
+    return load_sales(spark, os.path.join(root, "sales"), fmt="csv")
 
 
 oracle("S1_load_sales", "SELECT * FROM fact", "fact")
 
 
+#: Column types of the fact, as Spark names them.
+_TYPES = {"date": "date", "qty_sold": "bigint", "stock_on_hand": "bigint"} | {
+    c: "string" for c in ("store_id", "item_id", "product_name", "category")} | {
+    c: "double" for c in ("price", "discount_pct", "unit_cost", "ordering_cost", "holding_cost_rate")}
+
+
 @query("S5_profile_sales")
 def s5(spark, sf):
-    return profile_sales(fact(spark, sf))
+    """The profile, once per column with the column's type."""
+    f = fact(spark, sf)
+    types = F.array(*[F.struct(F.lit(n).alias("column"), F.lit(t).alias("type")) for n, t in f.dtypes])
+    return profile_sales(f).select("*", F.explode(types).alias("c")).select(
+        "n_rows", "min_date", "max_date", "n_stores", "n_items", "n_columns", "c.*")
 
 
 oracle("S5_profile_sales", f"""
 SELECT COUNT(*) AS n_rows, MIN(date) AS min_date, MAX(date) AS max_date,
        COUNT(DISTINCT store_id) AS n_stores, COUNT(DISTINCT item_id) AS n_items,
-       {len(A.FACT_COLUMNS)} AS n_columns
-FROM fact""", "fact")
+       {len(A.FACT_COLUMNS)} AS n_columns, t.column, t.type
+FROM fact CROSS JOIN (VALUES {', '.join(f"('{c}', '{_TYPES.get(c, 'int')}')" for c in A.FACT_COLUMNS)}) t("column", type)
+GROUP BY t.column, t.type""", "fact")
 
 
 # ---------------------------------------------------------------- D1-D7 --
@@ -334,11 +352,17 @@ GROUP BY store_id, item_id, category, product_name, week_start""", "clean")
 
 @query("Q1_required_columns")
 def q1(spark, sf):
-    # the plan-time check runs inside the report (and raises when a column is
-    # missing); its row of the report is the query's result
-    return Q.quality_report(raw(spark, sf)).filter(F.col("check") == "missing_columns")
+    """The report's row for the whole input, and for one without the target."""
+    df = raw(spark, sf)
+    parts = [Q.quality_report(x).groupBy().agg(
+        F.max(F.when(F.col("check") == "total_rows", F.col("value"))).alias("total_rows"),
+        F.max(F.when(F.col("check") == "missing_columns", F.col("value"))).alias("missing_columns"),
+        F.max(F.when(F.col("check") == "missing_columns", F.col("status"))).alias("status"))
+        .select(F.lit(name).alias("input"), "total_rows", "missing_columns", "status")
+        for name, x in (("whole", df), ("no target", df.drop("qty_sold")))]
+    return parts[0].unionByName(parts[1])
 
 
 oracle("Q1_required_columns", """
-SELECT 1 AS ordinal, 'missing_columns' AS "check", CAST(0 AS DOUBLE) AS value, 'pass' AS status
-FROM (SELECT COUNT(*) FROM raw)""", "raw")
+SELECT 'whole' AS input, CAST(COUNT(*) AS DOUBLE) AS total_rows, CAST(0 AS DOUBLE) AS missing_columns, 'pass' AS status FROM raw
+UNION ALL SELECT 'no target', CAST(COUNT(*) AS DOUBLE), CAST(1 AS DOUBLE), 'warn' FROM raw""", "raw")

@@ -117,6 +117,7 @@ def run_stages(spark: SparkSession, sales: Callable[[], DataFrame],
         if step == "clean":
             raw = sales()
             stage("quality", lambda: Q.quality_report(raw))
+            Q.required_columns(raw)
             # keep-first de-duplication is its own stage (bounded by the key
             # space; read by both the clean rows and the per-item medians)
             kept = stage("deduplicated", lambda: C.dedup_keep_first(raw).drop(
