@@ -69,10 +69,11 @@ def test_quality_report(spark):
 
 
 def test_required_columns_raise(spark):
-    import pytest
     df = spark.createDataFrame([(1,)], "store_id int")
     with pytest.raises(ValueError):
-        Q.quality_report(df)
+        Q.required_columns(df)
+    report = {r.check: (r.value, r.status) for r in Q.quality_report(df).collect()}
+    assert report["missing_columns"] == (3.0, "warn") and report["total_rows"] == (1.0, "pass")
 
 
 def test_clean_audit(spark):
