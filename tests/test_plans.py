@@ -120,3 +120,24 @@ def test_stage_runner_dense_uses_croston(spark, tmp_path):
     assert "Croston/SBA" in methods
     assert out["dense"].count() > out["clean"].count()
     assert out["policy"].count() == 30
+
+
+def test_stamp_follows_files_below_a_folder(spark, tmp_path):
+    from demandops.sources.fs import fingerprint
+    src = str(tmp_path / "parts.parquet")
+    spark.range(3).withColumn("p", F.lit(1)).write.partitionBy("p").parquet(src)
+    before = fingerprint(spark, [src])
+    spark.range(2).write.mode("append").parquet(f"{src}/p=1")
+    assert fingerprint(spark, [src]) != before
+    assert fingerprint(spark, [src, str(tmp_path / "absent")]) is None
+
+
+def test_half_written_stages_are_not_reused(spark, tmp_path):
+    from demandops.plans.stages import StageRun, stale_after
+    run = StageRun(spark, str(tmp_path))
+    run.put("clean", spark.range(3))
+    assert run.has("clean") and not run.has("weekly")
+    (tmp_path / "clean" / "_SUCCESS").unlink()
+    assert not run.has("clean")
+    assert {"features", "model", "forecast", "policy", "alerts", "kpis"} <= stale_after(["clean"])
+    assert "clean" not in stale_after(["features"])
