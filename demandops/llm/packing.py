@@ -39,8 +39,8 @@ from pyspark.sql import types as T
 
 from demandops.llm.common import cut, global_rank, release
 
-CACHE_WORDS = 800_000    #: distinct words a worker remembers before it starts anew
-SLICE_BYTES = 4_000_000  #: text tokenised at a time
+CACHE_WORDS = 500_000    #: distinct words a worker remembers before it starts anew
+SLICE_BYTES = 2_000_000  #: text tokenised at a time
 
 
 def byte_letters() -> list[str]:
@@ -179,6 +179,7 @@ def tokenize(docs: DataFrame, tokenizer: str, capacity: int, keep: Sequence[str]
                 if with_ids:
                     cols.append(pa.array([ids[x:y].astype(np.int64) for x, y in zip(lo, hi)], pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return src.mapInArrow(run, T.StructType(fields))
 
