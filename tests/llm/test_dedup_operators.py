@@ -104,6 +104,26 @@ def test_trie_links_unite_what_brute_force_links():
         assert all((max(x), min(x)) in true for x in found)
 
 
+def test_trie_of_deeply_nested_sets():
+    rng = np.random.default_rng(1)
+    line = np.unique(rng.integers(1, 1 << 62, 2600).astype(np.uint64))
+    grown = [line[:k] for k in range(590, len(line))]    # a text that grows by a shingle per version
+    assert len(grown) > 2000
+    found = jaccard_join.trie_links(grown, list(range(len(grown))))
+    assert len(found) == len(grown) - 1                  # a tree of links: one component
+    assert all(len(grown[i]) * 100 >= 75 * len(grown[j]) for i, j in map(sorted, found))
+
+
+def test_trie_of_one_word_edits_of_a_long_text():
+    rng = random.Random(2)
+    base = [rng.randrange(1 << 62) for _ in range(4000)]
+    edits = []
+    for _ in range(3000):                                # a changed word changes five shingles
+        at = rng.randrange(len(base) - 5)
+        edits.append(np.array(sorted(set(base[:at] + [rng.randrange(1 << 62) for _ in range(5)] + base[at + 5:])), np.uint64))
+    assert len(jaccard_join.trie_links(edits, list(range(len(edits))))) == len(edits) - 1
+
+
 def test_shingle_hashes_follow_words():
     h = ShingleHasher()
     texts = ["a b c d e f", "A B\tC\nd e  f ", "a b c d", "", "a b c d f", "é" * 70 + " b c d e"]
