@@ -33,11 +33,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, bounded_batches, cut, shield, text_digest
+from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, bounded_batches, cut, shield, sized_join, text_digest
 
 MAX_TRUE, MAX_FALSE = 4000, 12000  #: labelled findings to fit on (least hashes)
-SAMPLE_TEXTS = 1500                #: texts that give the dictionary (least hashes)
-MAX_WORDS = 4000                   #: words of the dictionary
+LETTERS = 26                       #: a word is known if it is likelier than random letters
 MAX_NEIGHBOURS = 2000              #: neighbouring words with a weight
 TREES, DEPTH = 30, 8
 
@@ -49,10 +48,12 @@ _CANDIDATE = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----|[A-Za-z0-9+/_.\-]+[
 _ASSIGNED = re.compile(r"^([A-Za-z_][A-Za-z_\-]{1,30})[=:](.{8,})$")
 _BEFORE = re.compile(r"(\w+)\W*$")
 _AFTER = re.compile(r"^\W*(\w+)")
+_LETTERS = re.compile(r"[^\W\d_]{3,}")
 _PASSED = re.compile(r"(\w+)\s*([=:])\s*[\"']?$")
 
 FEATURES = ["length", "digits", "capitals", "hexes", "entropy", "changes", "pairs", "coverage",
             "slashes", "dots", "assigned", "quoted"]
+SCANNED = [f for f in FEATURES if f != "coverage"]  #: known without the dictionary
 
 
 def format_label(kind: Column, value: Column, key: Column) -> Column:
@@ -64,16 +65,12 @@ def format_label(kind: Column, value: Column, key: Column) -> Column:
 
 
 class Words:
-    """What ordinary words look like: a dictionary and letter pair weights."""
+    """What ordinary words look like: letter pair weights, 27 x 27."""
 
     def __init__(self, counts: list[tuple[str, int]]):
-        self.known = {w for w, _ in counts if len(w) >= 3}
-        self.longest = max((len(w) for w in self.known), default=0)
         pairs = np.ones((27, 27))
-        for w, c in counts:
-            s = [self._slot(ch) for ch in w]
-            for a, b in zip(s, s[1:]):
-                pairs[a, b] += c
+        for pair, c in counts:
+            pairs[self._slot(pair[0]), self._slot(pair[1])] += c
         self.pairs = np.log(pairs / pairs.sum(1, keepdims=True)).tolist()
 
     @staticmethod
@@ -84,18 +81,25 @@ class Words:
         s = [self._slot(ch) for ch in low]
         return sum(self.pairs[a][b] for a, b in zip(s, s[1:])) / max(1, len(s) - 1)
 
-    def coverage(self, low: str) -> float:
-        """Share of characters under dictionary words, longest first."""
-        at, hit = 0, 0
-        while at < len(low):
-            for n in range(min(self.longest, len(low) - at), 2, -1):
-                if low[at:at + n] in self.known:
-                    hit += n
-                    at += n
-                    break
-            else:
-                at += 1
-        return hit / max(1, len(low))
+
+def pieces(low: str, longest: int) -> set[str]:
+    """All parts of three letters or more of a value's runs of letters."""
+    return {run[i:i + n] for run in _LETTERS.findall(low) for i in range(len(run) - 2)
+            for n in range(3, min(longest, len(run) - i) + 1)}
+
+
+def coverage(low: str, known: set[str]) -> float:
+    """Share of characters under dictionary words, longest first."""
+    at, hit, longest = 0, 0, max((len(w) for w in known), default=0)
+    while at < len(low):
+        for n in range(min(longest, len(low) - at), 2, -1):
+            if low[at:at + n] in known:
+                hit += n
+                at += n
+                break
+        else:
+            at += 1
+    return hit / max(1, len(low))
 
 
 def _kind_of(ch: str) -> int:
@@ -108,7 +112,7 @@ def describe(value: str, before: str, assigned: bool, words: Words) -> list[floa
     counts = Counter(value)
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
     return [float(n), kinds.count(2) / n, kinds.count(1) / n, sum(c in "0123456789abcdef" for c in low) / n,
-            entropy, sum(a != b for a, b in zip(kinds, kinds[1:])) / n, words.pair_weight(low), words.coverage(low),
+            entropy, sum(a != b for a, b in zip(kinds, kinds[1:])) / n, words.pair_weight(low),
             float(value.count("/") + before.endswith("/")), float(value.count(".")), float(assigned),
             float(before[-1:] in ("'", '"'))]
 
@@ -142,28 +146,55 @@ def find(text: str, words: Words) -> Iterator[tuple]:
                describe(value, before, bool(key), words))
 
 
-def learn_words(docs: DataFrame, text: str = "text") -> Words:
-    """The dictionary, from a bounded sample of texts (least digests)."""
-    t = F.col(f"`{text}`")
-    keyed = docs.select(F.xxhash64(t).alias("_t"), t.alias("text")).filter("text is not null")
-    least = keyed.select("_t").distinct().orderBy("_t").limit(SAMPLE_TEXTS)
-    counts = (keyed.join(F.broadcast(least), "_t").dropDuplicates(["_t"])
-              .select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{2,}"), 0)).alias("w"))
-              .groupBy("w").count().orderBy(F.desc("count"), "w").limit(MAX_WORDS))
-    return Words([(r[0], r[1]) for r in counts.collect()])
+def learn_words(docs: DataFrame, text: str = "text") -> tuple[Words, DataFrame]:
+    """Letter pair weights and the dictionary (w), from all texts. Words are
+    runs of letters of any script between other characters; the dictionary has
+    those of three letters or more whose share of all words is above that of a
+    random string of their length, which holds alike at every size."""
+    t = F.lower(F.col(f"`{text}`"))
+    counts = cut(docs.select(F.explode(F.split(t, r"[^\p{L}\p{M}\p{N}_]+")).alias("w"))
+                 .filter(F.col("w").rlike(r"^[\p{L}\p{M}]{2,}$")).groupBy("w").agg(F.count("*").alias("c")), "words")
+    pairs = F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, F.lit(2)))
+    pair = F.regexp_replace("pair", "[^a-z]", "`")
+    table = (counts.select(F.explode(pairs).alias("pair"), "c").groupBy(pair.alias("pair"))
+             .agg(F.sum("c").alias("c")).collect())  # at most 27 x 27 rows
+    total = counts.agg(F.sum("c")).first()[0] or 0
+    n = F.length("w")
+    known = counts.filter((n >= 3) & (F.col("c") > total * F.pow(F.lit(float(LETTERS)), -n))).select("w")
+    return Words([(r[0], r[1]) for r in table]), known
+
+
+def covered(found: DataFrame, known: DataFrame) -> DataFrame:
+    """``found`` with coverage: the pieces of all distinct values meet the whole
+    dictionary in a join, broadcast only behind a count of its rows."""
+    longest = known.agg(F.max(F.length("w"))).first()[0] or 0
+    keyed = found.withColumns(dict(zip(("v1", "v2"), text_digest(F.lower("value")))))
+
+    @F.pandas_udf("array<string>")
+    def cut_up(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: sorted(pieces(v, longest)))
+
+    @F.pandas_udf("double")
+    def share(values: pd.Series, words: pd.Series) -> pd.Series:
+        return pd.Series([coverage(v, set(w)) for v, w in zip(values, words)], dtype="float64")
+    values = keyed.groupBy("v1", "v2").agg(F.first(F.lower("value")).alias("low"))
+    parts = values.select("v1", "v2", "low", F.explode(cut_up("low")).alias("w"))
+    hits = sized_join(parts, known, ["w"]).groupBy("v1", "v2").agg(F.first("low").alias("low"), F.collect_list("w").alias("ws"))
+    shares = cut(hits.select("v1", "v2", share("low", "ws").alias("coverage")), "coverage")
+    return sized_join(keyed, shares, ["v1", "v2"], "left").fillna({"coverage": 0.0}).drop("v1", "v2")
 
 
 def candidates(docs: DataFrame, words: Words, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per candidate: id, t1, t2 (text digest), start, end, kind,
-    value, key, before, after and the features."""
+    value, key, before, after and the features but coverage."""
     bounded_batches(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(words)  # at most MAX_WORDS words
+    held = docs.sparkSession.sparkContext.broadcast(words)  # 27 x 27 weights
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(t).alias("t1"),
                       F.xxhash64(F.lit("second"), t).alias("t2"), t.alias("text"))
     fields = src.schema.fields[:3] + T._parse_datatype_string(
         "start long, end long, kind string, value string, key string, before string, after string").fields + \
-        [T.StructField(f, T.DoubleType()) for f in FEATURES]
+        [T.StructField(f, T.DoubleType()) for f in SCANNED]
     names = [f.name for f in fields]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -223,7 +254,8 @@ def judge(found: DataFrame, label: Column) -> DataFrame:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """All candidates of all texts, judged; labels by strict formats."""
-    found = candidates(docs, learn_words(docs, text), id_col, text)
+    words, known = learn_words(docs, text)
+    found = covered(cut(candidates(docs, words, id_col, text), "scanned"), known)
     return judge(found, format_label(F.col("kind"), F.col("value"), F.col("key")))
 
 

@@ -183,6 +183,24 @@ def test_secrets_are_found_and_false_positives_removed(spark):
     assert secret_scan.scan(documents(spark, odd_texts())).filter("secret").count() == 0
 
 
+def test_dictionary_holds_the_words_of_all_texts(spark):
+    rng = random.Random(7)
+
+    def word(i):
+        return "".join(chr(97 + (i // 26 ** k) % 26) for k in range(4)) + "ing"
+    many = [(i, " ".join(word(3 * i + k) for k in range(3))) for i in range(2500)]   # 7500 words, each in one text
+    docs = documents(spark, many + [(9000, "l'élève préféré"), (9001, " ".join(
+        "".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(50)))])
+    words, known = secret_scan.learn_words(docs)
+    got = {r["w"] for r in known.collect()}
+    assert {word(i) for i in range(7500)} <= got and {"élève", "préféré"} <= got and "abc" not in got
+    found = documents(spark, [(1, f"{word(7000)}/{word(5)}/{word(2999)}9 x 6f1ed002ab5595859014ebf0951522d9"), (2, "Élève1Préféré")])
+    share = {r["value"]: r["coverage"] for r in secret_scan.covered(
+        found.select(F.explode(F.split("text", " ")).alias("value")), known).collect()}
+    assert share[f"{word(7000)}/{word(5)}/{word(2999)}9"] == 21 / 24 and share["Élève1Préféré"] == 12 / 13
+    assert share["6f1ed002ab5595859014ebf0951522d9"] == 0
+
+
 def test_packing_round_trip(spark):
     rng = random.Random(6)
     texts = odd_texts() + [(100 + i, prose(rng, rng.choice([1, 5, 20, 60, 200]), 500)) for i in range(80)] + \
