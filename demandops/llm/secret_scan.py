@@ -8,12 +8,14 @@ marks, assignment marks and what its neighbouring words say. A forest, fitted
 on a bounded sample of labelled findings, keeps the true ones.
 
 Labelled findings are a column of the candidates: either given by the caller
-or, as in the query, by strict formats (``format_label``), which say what is
-surely a secret and what is surely none of the known forms; the forest
-generalises from form to content.
+or, as in the query, by strict formats (``format_label``): known forms of secrets
+are true, known other forms (paths, links, dates, numbers, dictionary words)
+are false, and all else is unlabelled: the forest isn't fitted on it, but
+judges it.
 
 Defined results: null and empty texts have no findings; repeated rows have
-each their own; without labelled findings of both kinds the labels decide;
+each their own; without labelled findings of both kinds the labels decide, and
+the unlabelled are none;
 texts without words give an empty dictionary, and all coverage is 0.
 """
 
@@ -44,10 +46,25 @@ TREES, DEPTH = 30, 8
 KEY_NAMES = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "access_key",
              "auth", "credential", "private_key")
 
+NAMED = "|".join(n if n != "auth" else "auth(?!or)" for n in KEY_NAMES)
+#: forms that only secrets have
+SECRETS = (r"^(AKIA|ASIA)[0-9A-Z]{16}$", r"^gh[pousr]_[A-Za-z0-9]{36,}$", r"^github_pat_[A-Za-z0-9_]{22,}$",
+           r"^xox[abeoprs]-[A-Za-z0-9-]{10,}$", r"^AIza[A-Za-z0-9_-]{35}$", r"^[srp]k_(live|test)_[A-Za-z0-9]{16,}$",
+           r"^glpat-[A-Za-z0-9_-]{20,}$", r"^eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}$")
+#: forms of other things: numbers and dates, paths and links, hosts, letters of one case, UUIDs
+OTHERS = (r"^[0-9.,:/_+TZ=-]+$", r"^(https?:)?/{0,2}[A-Za-z0-9_.-]{1,24}(/[A-Za-z0-9_.=-]{0,24}){2,}$",
+          r"^([a-z0-9-]{1,24}\.)+[a-z]{2,6}$", r"^([A-Z]+|[a-z]+)$",
+          r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+
+#: a name that introduces a secret, and its value: quoted, or up to a space
+_NAMED = re.compile(r"(?i)((?:" + NAMED + r")[\w.\-]{0,40})[\"']?[ \t]*(?:=>|:=|[=:])[ \t]*"
+                    r"(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"']\S*))")
 _CANDIDATE = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----|[A-Za-z0-9+/_.\-]+[=:]?[A-Za-z0-9+/_.=\-]{12,}")
 _ASSIGNED = re.compile(r"^([A-Za-z_][A-Za-z_\-]{1,30})[=:](.{8,})$")
 _BEFORE = re.compile(r"(\w+)\W*$")
 _AFTER = re.compile(r"^\W*(\w+)")
+#: words, capitals or abbreviations between marks: no mixed case inside a part
+_PLAIN = re.compile(r"^(?:[A-Z]?[a-z]*|[A-Z]+)(?:[+/_.=\-]+(?:[A-Z]?[a-z]*|[A-Z]+))*$")
 _LETTERS = re.compile(r"[^\W\d_]{3,}")
 _PASSED = re.compile(r"(\w+)\s*([=:])\s*[\"']?$")
 
@@ -56,12 +73,18 @@ FEATURES = ["length", "digits", "capitals", "hexes", "entropy", "changes", "pair
 SCANNED = [f for f in FEATURES if f != "coverage"]  #: known without the dictionary
 
 
-def format_label(kind: Column, value: Column, key: Column) -> Column:
-    """1 for the known forms of secrets, else 0."""
-    named = F.lower(key).rlike("|".join(KEY_NAMES))
-    return F.when(kind == "block", 1).when(value.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$"), 1) \
-        .when(named & value.rlike("[0-9]") & value.rlike("^[A-Za-z0-9+/_=-]{16,}$"), 1) \
-        .otherwise(0)
+def format_label(kind: Column, value: Column, key: Column, coverage: Column) -> Column:
+    """1 for known forms of secrets, 0 for known forms of other things, else null."""
+    named = F.lower(key).rlike(NAMED)
+    mixed = (value.rlike("[0-9]").cast("int") + value.rlike("[a-z]").cast("int") + value.rlike("[A-Z]").cast("int")
+             + value.rlike("[^A-Za-z0-9]").cast("int"))
+    other = F.lit(False)
+    for form in OTHERS:
+        other = other | value.rlike(form)
+    words = (coverage >= 0.8) & ~value.rlike("[0-9]")
+    return F.when((kind == "block") | value.rlike("|".join(SECRETS)), 1) \
+        .when(named & ~words & (F.length(value) >= 8) & ((mixed >= 3) | ((mixed == 2) & value.rlike("[0-9]"))), 1) \
+        .when(words | (other & ~named), 0)
 
 
 class Words:
@@ -119,7 +142,25 @@ def describe(value: str, before: str, assigned: bool, words: Words) -> list[floa
 
 def find(text: str, words: Words) -> Iterator[tuple]:
     """(start, end, kind, value, key, before, after, features) of candidates;
-    offsets in characters of the text."""
+    offsets in characters of the text. Every value after a name of ``KEY_NAMES``
+    is one, whatever its characters and length."""
+    def token(s: int, e: int, key: str) -> tuple:
+        value, before, after = text[s:e], text[max(0, s - 40):s], text[e:e + 40]
+        prev, nxt = _BEFORE.search(before), _AFTER.search(after)
+        return (s, e, "token", value, key, prev.group(1).lower() if prev else "", nxt.group(1).lower() if nxt else "",
+                describe(value, before, bool(key), words))
+
+    taken = []
+    for m in _NAMED.finditer(text):
+        group = next(g for g in (2, 3, 4) if m.group(g) is not None)
+        s, e = m.span(group)
+        if group == 4:
+            e = s + (len(m.group(4).rstrip(".,;)]}>")) or e - s)
+        if text.startswith("-----BEGIN", s):
+            continue
+        taken.append((s, e))
+        yield token(s, e, m.group(1))
+    at = 0
     for m in _CANDIDATE.finditer(text):
         s, e = m.span()
         value, key = m.group(), ""
@@ -134,16 +175,18 @@ def find(text: str, words: Words) -> Iterator[tuple]:
         if part:
             key, s = part.group(1), s + part.start(2)
             value = part.group(2)
-        if not any(c.isdigit() for c in value) and (value[1:].islower() or not value.isalnum()):
+        while at < len(taken) and taken[at][1] <= s:
+            at += 1
+        if at < len(taken) and taken[at][0] < e:   # named: given above
+            continue
+        # without a digit: inner capitals, or marks between mixed cases
+        if not any(c.isdigit() for c in value) and (value[1:].islower() or not value.isalnum() and (
+                value.islower() or value.isupper() or _PLAIN.match(value))):
             continue
         if len(value) < 8:
             continue
-        before, after = text[max(0, s - 40):s], text[e:e + 40]
-        passed = _PASSED.search(before)
-        key = key or (passed.group(1) if passed else "")
-        prev, nxt = _BEFORE.search(before), _AFTER.search(after)
-        yield (s, e, "token", value, key, prev.group(1).lower() if prev else "", nxt.group(1).lower() if nxt else "",
-               describe(value, before, bool(key), words))
+        passed = _PASSED.search(text[max(0, s - 40):s])
+        yield token(s, e, key or (passed.group(1) if passed else ""))
 
 
 def learn_words(docs: DataFrame, text: str = "text") -> tuple[Words, DataFrame]:
@@ -232,7 +275,8 @@ def judge(found: DataFrame, label: Column) -> DataFrame:
              for y, n in ((1, MAX_TRUE), (0, MAX_FALSE))]
     sample = least[0].unionByName(least[1]).toPandas()  # bounded by MAX_TRUE + MAX_FALSE rows
     if sample["label"].nunique() < 2:
-        return found.withColumn("score", F.col("label").cast("double")).withColumn("secret", F.col("label") == 1)
+        score = F.coalesce(F.col("label").cast("double"), F.lit(0.0))
+        return found.withColumn("score", score).withColumn("secret", score == 1)
     weights = _neighbour_weights(sample)
     near = spark.createDataFrame(list(weights.items()), "word string, weight double")  # MAX_NEIGHBOURS rows
 
@@ -256,7 +300,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     """All candidates of all texts, judged; labels by strict formats."""
     words, known = learn_words(docs, text)
     found = covered(cut(candidates(docs, words, id_col, text), "scanned"), known)
-    return judge(found, format_label(F.col("kind"), F.col("value"), F.col("key")))
+    return judge(found, format_label(*[F.col(c) for c in ("kind", "value", "key", "coverage")]))
 
 
 def redact(docs: DataFrame, findings: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:

@@ -201,6 +201,29 @@ def test_dictionary_holds_the_words_of_all_texts(spark):
     assert share["6f1ed002ab5595859014ebf0951522d9"] == 0
 
 
+def test_secret_forms_are_no_false_findings(spark):
+    words = secret_scan.Words([])
+    long = "aB3xK9mQ2pL7vN4wR8tY1zC6dF5gH0jS2kE4"
+    true = [f"ghp_{long}", "xoxb-123456789012-abcdefABCDEF", f"AIza{long[:35]}", f"sk_live_{long[:24]}",
+            f"eyJ{long[:12]}.eyJ{long[:20]}.{long}"]
+    values = {}
+    for text in [*true, "password: p@ss!7$", "DB_PASSWORD='correct horse #9'", "passwd=hunterxq", "pwd = abc", "qWe+RtY/uIoPaSdF_gHj",
+                 '"secret": "s3cr3t;x"', "token: Zk93jf02kdQ.", "path /usr/share/lib2/modules.d/config"]:
+        values[text] = [h[3] for h in secret_scan.find(text, words)]
+    assert all(values[t] == [t] for t in true)
+    assert values["password: p@ss!7$"] == ["p@ss!7$"] and values["DB_PASSWORD='correct horse #9'"] == ["correct horse #9"]
+    assert values["passwd=hunterxq"] == ["hunterxq"] and values["pwd = abc"] == ["abc"]
+    assert values['"secret": "s3cr3t;x"'] == ["s3cr3t;x"] and values["token: Zk93jf02kdQ."] == ["Zk93jf02kdQ"]
+    assert values["qWe+RtY/uIoPaSdF_gHj"] == ["qWe+RtY/uIoPaSdF_gHj"]
+    rows = [("", t, 0.0) for t in true] + [("password", "p@ss!7$x", 0.0), ("", long, 0.0), ("passwd", "hunterxq", 0.0),
+                                           ("", "/usr/share/lib2/modules.d/config", 0.9), ("", "2024-11-30T10:11:12", 0.0),
+                                           ("", "https://example.com/a/page1", 0.0), ("secret", "nothing", 1.0)]
+    df = spark.createDataFrame([("token", v, k, c) for k, v, c in rows], "kind string, value string, key string, coverage double")
+    label = secret_scan.format_label(*[F.col(c) for c in df.columns])
+    got = [r[0] for r in df.select(label).collect()]
+    assert got == [1] * 6 + [None, None, 0, 0, 0, 0]
+
+
 def test_packing_round_trip(spark):
     rng = random.Random(6)
     texts = odd_texts() + [(100 + i, prose(rng, rng.choice([1, 5, 20, 60, 200]), 500)) for i in range(80)] + \
