@@ -39,7 +39,7 @@ CACHE_WORDS = 120_000            #: words a worker remembers
 SLICE_CHARS = 600_000
 BLOCK = 2048                     #: windows scored at a time
 
-_WORD = re.compile(r"\w+")
+_WORD = re.compile(r"\w{1,64}")  #: longer runs are consecutive words of 64 characters
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,7 +49,7 @@ def words_of(text: str | None) -> list[str]:
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashed word, hashed grams of all words, first gram of each word)."""
-    raw = [f"^{w[:64]}$".encode("utf-8", "surrogatepass") for w in words]
+    raw = [f"^{w}$".encode("utf-8", "surrogatepass") for w in words]
     buf = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
     size = np.array([len(r) for r in raw])
     start = np.cumsum(size) - size

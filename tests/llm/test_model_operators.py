@@ -126,6 +126,17 @@ def test_windows_overlap_and_cover():
         assert len(logit) == len(spans) and set(owner.tolist()) == {0}
 
 
+def test_long_runs_of_letters_are_read_to_their_end():
+    for run in ("\u0e01" * 200 + "vile", "a_" * 100 + "vile"):
+        words = toxicity.words_of(run)
+        assert "".join(words) == run and all(len(w) <= 64 for w in words)
+    net = toxicity.Network()
+    a, b = toxicity.Scorer(net).scores(["x" * 100 + "vile", "x" * 100 + "calm"])
+    assert a != b
+    one, two = (toxicity.word_features([w])[0][0] for w in ("y" * 64 + "vile", "y" * 64 + "calm"))
+    assert one != two
+
+
 def test_toxicity_learns_words_and_stems(spark):
     rng = random.Random(4)
 
