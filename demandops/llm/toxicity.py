@@ -3,11 +3,10 @@
 Word inputs (hashed word vectors) and character inputs (mean vector of the
 word's hashed 3- and 4-grams) go through one GRU per direction; attention
 pools the states of a window of ``LENGTH`` words to one logit. A text's score
-is the largest over all its windows, which overlap by half, so every word is
-scored. The network is trained in numpy on a bounded sample of labelled texts
+is the largest over its windows, one from every start position. The network is trained in numpy on a bounded sample of labelled texts
 (``MAX_TOXIC`` and ``MAX_CLEAN`` rows, the least hashes of their ids): labels
-are of whole texts, so a toxic text teaches by its highest window, a clean one
-by its highest and another. Scoring runs in tasks with the broadcast weights,
+are of whole texts, so a toxic text teaches by the highest of all its windows, a
+clean one by its highest and another. Scoring runs in tasks with the broadcast weights,
 about 0.6 MB whatever the corpus.
 
 Defined results: null, empty and wordless texts score 0; labels that are null
@@ -29,11 +28,10 @@ from pyspark.sql import functions as F
 
 from demandops.llm.common import bounded_batches, shield, sized_join
 
-LENGTH, STRIDE = 32, 16          #: words of a window, and between windows
+LENGTH = 32                      #: words of a window
 DIM, HIDDEN, ATT = 12, 8, 8      #: input vector, GRU state, attention size
 WORDS, GRAMS = 1 << 12, 1 << 13  #: hashed vocabularies
 MAX_TOXIC, MAX_CLEAN = 1500, 4000  #: labelled texts to train on
-POOL = 16                        #: windows of a text that an epoch looks at
 EPOCHS, BATCH, RATE = 8, 64, 0.01
 CACHE_WORDS = 120_000            #: words a worker remembers
 SLICE_CHARS = 600_000
@@ -72,13 +70,21 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def windows_of(n: int) -> list[tuple[int, int]]:
     """All overlapping windows of a text of ``n`` words."""
-    return [(a, min(a + LENGTH, n)) for a in range(0, max(1, n - STRIDE), STRIDE)] if n else []
+    return [(a, min(a + LENGTH, n)) for a in range(max(1, n - LENGTH + 1))] if n else []
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
 
+def _squash(x: np.ndarray) -> None:
+    """1 / (1 + exp(x)), in place; large ``x`` give 0."""
+    np.minimum(x, 80, out=x)
+    np.exp(x, out=x)
+    x += 1
+    np.reciprocal(x, out=x)
+
+
 class Network:
     """Weights, forward and backward pass; axis 0 of GRU weights: direction."""
 
@@ -131,6 +137,42 @@ class Network:
         logit = pooled @ p["out"] + p["c"][0]
         return logit if keep is None else (logit, s, u, a, pooled, mask)
 
+    def slide(self, gates: np.ndarray) -> np.ndarray:
+        """Logits of the windows at every start position of a run of words,
+        given the words' gates in order: the same as ``run`` of full windows."""
+        p, n = self.p, gates.shape[1] - LENGTH + 1
+        s = np.empty((LENGTH, 2 * HIDDEN, n), np.float32)  # numbers of one unit lie together
+        for d in (0, 1):
+            g, u, h = np.ascontiguousarray(gates[d].T), np.ascontiguousarray(p["u"][d].T), np.zeros((HIDDEN, n), np.float32)
+            for w in (g, u):       # for _squash: sigmoid(x) = 1 / (1 + exp(-x)), tanh(x) = 2 sigmoid(2 x) - 1
+                w[:2 * HIDDEN] *= -1
+                w[2 * HIDDEN:] *= -2
+            for t in range(LENGTH) if d == 0 else range(LENGTH - 1, -1, -1):
+                gx, gh = g[:, t:t + n], u @ h
+                zr = gh[:2 * HIDDEN]
+                zr += gx[:2 * HIDDEN]
+                _squash(zr)
+                cand = gh[2 * HIDDEN:]
+                cand *= zr[HIDDEN:]
+                cand += gx[2 * HIDDEN:]
+                _squash(cand)
+                cand *= 2
+                cand -= 1
+                h -= cand
+                h *= zr[:HIDDEN]
+                h += cand
+                s[t, d * HIDDEN:(d + 1) * HIDDEN] = h
+        u = p["att"].T @ s
+        u += p["ab"][:, None]
+        u *= -2
+        _squash(u)
+        u *= 2
+        u -= 1
+        e = p["v"] @ u
+        a = np.exp(e - e.max(0))
+        a /= a.sum(0)
+        return (p["out"] @ s * a).sum(0) + p["c"][0]
+
     def step(self, words: list[list[str]], y: np.ndarray) -> float:
         """One Adam step on windows of words with labels ``y``."""
         names = sorted({w for ws in words for w in ws})
@@ -220,17 +262,29 @@ class Scorer:
             self._learn(new[a:a + 50_000])
         sizes = np.array([len(ws) for ws in texts])
         flat = np.fromiter((self.number[w] for ws in texts for w in ws), np.int64, int(sizes.sum()))
-        per = np.where(sizes > 0, np.maximum(1, -(-(sizes - STRIDE) // STRIDE)), 0)
+        first = np.cumsum(sizes) - sizes
+        per = np.where(sizes > 0, np.maximum(1, sizes - LENGTH + 1), 0)
         owner = np.repeat(np.arange(len(texts)), per)
-        nth = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-        begin = (np.cumsum(sizes) - sizes)[owner] + nth * STRIDE
-        end = np.minimum(begin + LENGTH, np.cumsum(sizes)[owner])
+        begin = first[owner] + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
         out = np.empty(len(owner), np.float32)
+        # windows that a text fills: all start positions of a stretch of words
+        # at a time, those across two texts are left out
+        full = np.flatnonzero(sizes[owner] >= LENGTH)
+        at = 0
+        while at < len(full):
+            a = begin[full[at]]
+            to = int(np.searchsorted(begin[full], a + BLOCK))
+            mine = full[at:to]
+            logit = self.net.slide(self.gates[:, flat[a:begin[mine[-1]] + LENGTH]])
+            out[mine] = logit[begin[mine] - a]
+            at = to
+        short = np.flatnonzero(sizes[owner] < LENGTH)
         span = np.arange(LENGTH)
-        for a in range(0, len(owner), BLOCK):
-            at = begin[a:a + BLOCK, None] + span
-            ok = at < end[a:a + BLOCK, None]
-            out[a:a + BLOCK] = self.net.run(self.gates, np.where(ok, flat[np.minimum(at, len(flat) - 1)], -1))
+        for a in range(0, len(short), BLOCK):
+            some = short[a:a + BLOCK]
+            at = begin[some, None] + span
+            ok = span < sizes[owner[some], None]
+            out[some] = self.net.run(self.gates, np.where(ok, flat[np.minimum(at, len(flat) - 1)], -1))
         return out, owner
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
@@ -255,6 +309,17 @@ def _slices(texts: list) -> Iterator[tuple[int, list]]:
         yield a, texts[a:]
 
 
+def _top_windows(net: Network, worded: list[list[str]], which: list[int]) -> list[tuple[int, int]]:
+    """(text, start) of the highest of all windows of each text."""
+    scorer, top = Scorer(net), []
+    for a in range(0, len(which), 256):
+        part = which[a:a + 256]
+        logit, owner = scorer.logits([worded[i] for i in part])
+        start = np.searchsorted(owner, np.arange(len(part) + 1))
+        top += [(i, int(np.argmax(logit[start[j]:start[j + 1]]))) for j, i in enumerate(part)]
+    return top
+
+
 def train(texts: list[str], labels: list[int], seed: int = 11) -> Network | None:
     """A network from whole-text labels; None without both kinds."""
     y = np.array(labels)
@@ -263,27 +328,18 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Network | None
     if not ok or len({int(y[i]) for i in ok}) < 2:
         return None
     rng, net = np.random.default_rng(seed), Network()
+    count = {i: len(windows_of(len(worded[i]))) for i in ok}
     for epoch in range(EPOCHS):
-        pool, owner = [], []
-        for i in ok:
-            spans = windows_of(len(worded[i]))
-            take = range(len(spans)) if len(spans) <= POOL else rng.choice(len(spans), POOL, replace=False)
-            pool += [worded[i][spans[k][0]:spans[k][1]] for k in take]
-            owner += [i] * len(take)
-        own = np.array(owner)
-        logit = Scorer(net).logits(pool)[0]  # a window is one window of itself
-        top: dict[int, int] = {}
-        for k in np.argsort(logit, kind="stable"):
-            top[int(own[k])] = int(k)
-        chosen = list(top.values())
-        others = rng.permutation(len(pool))[:len(chosen) // 2]
-        chosen += [int(k) for k in others if y[own[k]] == 0]
         if epoch == 0:  # nothing is known yet: any window may be the toxic one
-            chosen = list(rng.permutation(len(pool))[:3 * len(ok)])
-        chosen = rng.permutation(chosen)
+            chosen = [(i, int(k)) for i in ok for k in rng.choice(count[i], min(3, count[i]), replace=False)]
+        else:
+            chosen = _top_windows(net, worded, ok)
+            others = [(int(i), int(rng.integers(count[int(i)]))) for i in rng.permutation(ok)[:len(ok) // 2]]
+            chosen += [(i, k) for i, k in others if y[i] == 0]
+        chosen = [chosen[j] for j in rng.permutation(len(chosen))]
         for a in range(0, len(chosen), BATCH):
             part = chosen[a:a + BATCH]
-            net.step([pool[k] for k in part], y[own[part]].astype(np.float32))
+            net.step([worded[i][k:k + LENGTH] for i, k in part], y[[i for i, _ in part]].astype(np.float32))
     net.m = net.s = {}
     return net
 

@@ -126,6 +126,20 @@ def test_windows_overlap_and_cover():
         assert len(logit) == len(spans) and set(owner.tolist()) == {0}
 
 
+def test_every_start_position_is_scored():
+    rng, net = random.Random(8), toxicity.Network()
+    net.p["c"][0] = 0.3
+    texts = [[f"w{rng.randrange(50)}" for _ in range(n)] for n in (0, 1, 31, 32, 33, 100, 0, 5000, 40)]
+    logit, owner = toxicity.Scorer(net).logits(texts)
+    assert np.bincount(owner, minlength=9).tolist() == [0, 1, 1, 1, 2, 69, 0, 4969, 9]
+    for i in (1, 2, 3, 4, 5, 7, 8):
+        spans = toxicity.windows_of(len(texts[i]))[-70:]
+        alone = toxicity.Scorer(net).logits([texts[i][a:b] for a, b in spans])[0]   # each a text of itself
+        assert np.allclose(logit[owner == i][-len(spans):], alone, atol=1e-5)
+    top = toxicity._top_windows(net, texts, [5, 7])
+    assert top == [(i, int(np.argmax(logit[owner == i]))) for i in (5, 7)]
+
+
 def test_long_runs_of_letters_are_read_to_their_end():
     for run in ("\u0e01" * 200 + "vile", "a_" * 100 + "vile"):
         words = toxicity.words_of(run)
