@@ -1,25 +1,27 @@
-"""Suffix-array deduplication by bucket-pointer refinement.
+"""Exact repeats of 200 bytes, by anchors and hashes.
 
 Every 200-byte string that starts at two places of the corpus is found, and
-the bytes it covers are removed. Suffixes are sorted only as far as needed:
-
-1. Initial buckets. Each 200-byte window has one anchor: the leftmost least
-   of its q-gram identifiers (q = 100). Suffixes are bucketed by the q-gram at
-   their anchor, one row per anchor (about one in 50 bytes). A bucket of one
-   place is sorted already and is dropped in the shuffle that builds it.
-2. Refinement by identifiers of later offsets. The identifier of a 2k-gram is
-   made from those of the k-gram at its start and at offset k, so the tables of
-   one step are reused by the next, up to 128; any longer string takes two or
-   three of them. First the whole context of an anchor (all its windows) is
-   compared within the bucket; equal contexts repeat entirely.
-3. Recursion. Of buckets that hold different contexts, one suffix per context
-   goes on: windows in groups of eight offsets are compared by the core they
-   share (a unique core has no repeated window), then window by window.
-
-All comparing is grouping by (bucket, offset, identifier): counts combine
-map-side and no pairs are made. Identifiers are 64-bit and only compared
-within one 64-bit bucket. Equal texts are one text with a count, so a group of
-copies costs one sort; a text with a copy is repeated throughout.
+the bytes it covers are removed. This takes the place of a suffix array by
+bucket-pointer refinement, which moves a row per byte in every round: here no
+suffix is sorted and no bucket identifier is a key of a later round.
+
+1. Anchors. Each 200-byte window has one anchor: the leftmost least of its
+   q-gram hashes (q = 100). Places are grouped by the q-gram at their anchor,
+   one row per anchor (about one in 50 bytes). A group of one place is dropped
+   in the shuffle that builds it.
+2. Contexts. Hashes of strings are made inside each text by doubling: that of a
+   2k-gram from those of the k-gram at its start and at offset k, up to 128; any
+   longer string takes two or three of them. The whole context of an anchor
+   (all its windows) is compared within the group; equal contexts repeat
+   entirely.
+3. Two fixed levels. Of groups that hold different contexts, one place per
+   context goes on: windows in groups of eight offsets are compared by the core
+   they share (a unique core has no repeated window), then window by window.
+
+All comparing is grouping by (group, offset, hash): counts combine map-side
+and no pairs are made. Hashes are 64-bit and only compared within one 64-bit
+group. Equal texts are one text with a count, so a group of copies costs one
+grouping; a text with a copy is repeated throughout.
 
 Defined results: null and empty texts have no bytes and keep none; texts under
 200 bytes are kept whole, copies included; repeated rows are copies of each
