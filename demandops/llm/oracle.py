@@ -122,9 +122,49 @@ SELECT conv_id, turn, role, reply_to, root_turn, depth,
   n_quoted::BIGINT AS n_quoted, own AS text FROM z"""
 
 
+def _op11() -> str:
+    def field(c: str) -> str:
+        return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+
+    def leaf(chars: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", chars, "text"))) + ")"
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    crc = f"""xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''),
+      lambda x: ord(x)::BIGINT)), lambda s, b: list_reduce(list_prepend(xor(s, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda c, z: {step})))"""
+
+    def climb(name: str, base: str) -> str:
+        return f"""{name} AS ({base}
+  UNION ALL SELECT tree, level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}) WHERE n > 1 GROUP BY tree, level, idx // 2)"""
+
+    def path(name: str, nodes: str, base: str) -> str:
+        return f"""{name} AS ({base}
+  UNION ALL SELECT f.rid, f.tree, f.level + 1, f.idx // 2, sha256(CASE WHEN s.h IS NULL THEN f.cur
+      WHEN f.idx % 2 = 1 THEN s.h || f.cur ELSE f.cur || s.h END), f.proof || coalesce(s.h, '')
+  FROM {name} f JOIN (SELECT tree, max(level) AS top FROM {nodes} GROUP BY tree) t ON t.tree = f.tree AND f.level < t.top
+  LEFT JOIN {nodes} s ON s.tree = f.tree AND s.level = f.level AND s.idx = f.idx + 1 - 2 * (f.idx % 2))"""
+    return f"""
+WITH RECURSIVE l AS (SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS tree, {leaf('n_chars')} AS leaf,
+  CASE WHEN {crc} % 7 = 0 THEN {leaf('(n_chars + 1)')} END AS seen FROM documents),
+d AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l),
+{climb('nodes', 'SELECT tree, 0 AS level, pos AS idx, leaf AS h FROM d')},
+subs AS (SELECT tree, arg_max(h, level) AS subroot FROM nodes GROUP BY tree),
+named AS (SELECT tree AS name, subroot, row_number() OVER (ORDER BY tree) - 1 AS idx FROM subs),
+{climb('tops', "SELECT '' AS tree, 0 AS level, idx, subroot AS h FROM named")},
+{path('low', 'nodes', "SELECT rid, tree, 0 AS level, pos AS idx, coalesce(seen, leaf) AS cur, '' AS proof FROM d")},
+mid AS (SELECT rid, tree, arg_max(cur, level) AS cur, arg_max(proof, level) AS proof FROM low GROUP BY rid, tree),
+{path('high', 'tops', "SELECT rid, '' AS tree, 0 AS level, idx, cur, proof FROM mid JOIN named ON named.name = mid.tree")},
+done AS (SELECT rid, arg_max(cur, level) AS cur, arg_max(proof, level) AS proof FROM high GROUP BY rid),
+root AS (SELECT arg_max(h, level) AS root FROM tops)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM d JOIN subs USING (tree) JOIN done USING (rid) CROSS JOIN root"""
+
+
 ORACLE: dict[str, str] = {
     "op3_url_filter": _op3(),
     "op6_quality_rules": _op6(),
     "op7_decontamination": _op7(),
     "op10_chat_format": _op10(),
+    "op11_merkle_manifest": _op11(),
 }

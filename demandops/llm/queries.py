@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandops.llm import chat_format, decontamination, jaccard_join, packing, quality_lm, quality_rules, secret_scan, suffix_dedup, toxicity, url_filter
+from demandops.llm import chat_format, decontamination, jaccard_join, merkle, packing, quality_lm, quality_rules, secret_scan, suffix_dedup, toxicity, url_filter
 from demandops.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,18 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (secret_scan.scan(table(spark, sf_dir, "documents"))
             .select(F.col("id").alias("doc_id"), "start", "end", "kind", F.length("value").alias("length"),
                     F.sha2("value", 256).alias("value_sha256"), "score", "secret"))
+
+
+@query("op11_merkle_manifest")
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    n_chars = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+
+    def leaf(chars):
+        return merkle.leaf_digest([F.col("doc_id"), F.col("source"), F.col("lang"), chars, F.col("text")])
+    given = docs.withColumn("_seen", F.when(tampered, leaf(n_chars)))
+    rows = merkle.manifest(given, leaf(F.col("n_chars")), "lang", "doc_id", keep=["doc_id", "_seen"])
+    return (rows.withColumn("folded_root", merkle.fold_to_root(F.coalesce("_seen", "leaf")))
+            .select("doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
