@@ -161,10 +161,30 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded
 FROM d JOIN subs USING (tree) JOIN done USING (rid) CROSS JOIN root"""
 
 
+def _op13() -> str:
+    lower = _ASCII_LOWER.format("coalesce(text, '')")
+    words = rf"list_filter(regexp_split_to_array({lower}, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents),
+q AS (SELECT DISTINCT item_id, unnest({words}) AS term FROM benchmark),
+s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS length FROM d WHERE len(w) > 0),
+c AS (SELECT rid, term, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+t AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM c GROUP BY term) CROSS JOIN s),
+m AS (SELECT rid, doc_id, 10 + (90 * len(d.w)::BIGINT * n_docs) // length AS m FROM d CROSS JOIN s),
+r AS (SELECT item_id, rid, doc_id, sum(t.w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN t USING (term) JOIN c USING (term) JOIN m USING (rid) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM r WHERE score > 0)
+WHERE rank <= 10"""
+
+
 ORACLE: dict[str, str] = {
     "op3_url_filter": _op3(),
     "op6_quality_rules": _op6(),
     "op7_decontamination": _op7(),
     "op10_chat_format": _op10(),
     "op11_merkle_manifest": _op11(),
+    "op13_lexical_search": _op13(),
 }

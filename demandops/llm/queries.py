@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandops.llm import chat_format, decontamination, jaccard_join, merkle, packing, quality_lm, quality_rules, secret_scan, suffix_dedup, toxicity, url_filter
+from demandops.llm import chat_format, decontamination, jaccard_join, lexical_search, merkle, mixing, packing, quality_lm, quality_rules, secret_scan, suffix_dedup, toxicity, url_filter
 from demandops.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (rows.withColumn("folded_root", merkle.fold_to_root(F.coalesce("_seen", "leaf")))
             .select("doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"),
                     "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
+
+
+@query("op12_source_mix")
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, cap=2))
+
+
+@query("op13_lexical_search")
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
