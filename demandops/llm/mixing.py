@@ -46,6 +46,7 @@ from demandops.llm.common import cut
 
 BLOCK = 128              #: words of a block
 SHARD = 1 << 15          #: slots of an output shard
+TASK_SLOTS = 1 << 18     #: slots that a task makes, about
 WORD = r"[^\x20\x09-\x0D]+"
 GOLDEN = 0x9E3779B97F4A7C15  #: 2^64 over the golden ratio: spreads consecutive numbers
 
@@ -272,7 +273,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     total = sum(s.quota for s in sources)
     counts = draw_counts(spark, [s.quota for s in sources], shard, seed)
     w = W.partitionBy("shard").orderBy("_turn", "_src").rowsBetween(W.unboundedPreceding, -1)
-    slots = counts.withColumn("_at", F.coalesce(F.sum("n").over(w), F.lit(0))).mapInArrow(
+    # a row of counts becomes many slots: tasks are cut by slots, not by bytes of counts
+    spread = counts.repartition(max(1, -(-total // TASK_SLOTS)), "shard")
+    slots = spread.withColumn("_at", F.coalesce(F.sum("n").over(w), F.lit(0))).mapInArrow(
         _slots([s.blocks for s in sources], total, shard, seed), "shard long, position long, _src int, index long")
     slots = cut(slots, "slots")
     return Mix(layout, slots, sources, block)
