@@ -98,6 +98,17 @@ def forest_model(spark: SparkSession, sf_dir: str):
     return MD.load_model(path), path
 
 
+def boosted_model(spark: SparkSession, sf_dir: str):
+    """The boosted trees as a stage, fitted as the forest is.  Returns (model, path)."""
+    def fit_and_save(path: str) -> None:
+        f = features(spark, sf_dir)
+        train, _ = EV.train_test(f)
+        MD.save_model(MD.train_boosted(train, FE.feature_columns(f)), path, feature_cols=FE.feature_columns(f))
+
+    path = memo_artifact(spark, "boosted", input_paths(sf_dir), fit_and_save)
+    return MD.load_model(path), path
+
+
 def all_queries() -> dict[str, QueryFn]:
     from demandops.plans import (  # noqa: F401  (registration side effects)
         q_sources, q_inventory, q_explore, q_features, q_forecast, q_models, q_dense)

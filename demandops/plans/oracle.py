@@ -199,9 +199,6 @@ SELECT store_id, item_id,
 FROM {src} WHERE store_id IS NOT NULL AND item_id IS NOT NULL GROUP BY store_id, item_id"""
 
 
-cte("hist", _hist("clean"), "clean")
-
-
 def policy_sql(base: str, z: str = Z95, extra: str = "") -> str:
     """Policy arithmetic over a base CTE with mu_L, sd_, on_hand, ..."""
     return f"""
@@ -224,13 +221,19 @@ FROM (
       FROM {base})))"""
 
 
-cte("base_fallback", """
+def base_ctes(src: str, suffix: str = "") -> None:
+    """Register hist and base_fallback over a clean table."""
+    cte(f"hist{suffix}", _hist(src), src)
+    cte(f"base_fallback{suffix}", f"""
 SELECT store_id, item_id, product_name, category, unit_cost,
        CAST(lead_ AS INTEGER) AS lead_time_days,
        CAST(total_ AS DOUBLE) / (date_diff('day', d0_, d1_) + 1) * CAST(365 AS DOUBLE) AS annual_demand_est,
        CAST(LEAST(GREATEST(lead_, 0), 30) * mean_ AS DOUBLE) AS mu_L, sd_,
        CAST(soh_ AS DOUBLE) AS on_hand, ordering_cost, holding_cost_rate
-FROM hist""", "hist")
+FROM hist{suffix}""", f"hist{suffix}")
+
+
+base_ctes("clean")
 
 cte("policy", policy_sql("base_fallback", f"CAST('{Z95}' AS DOUBLE)"), "base_fallback")
 

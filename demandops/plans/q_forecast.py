@@ -11,7 +11,7 @@ from demandops.operators import forecasting as FC
 from demandops.operators import insights as K
 from demandops.operators import inventory as I
 from demandops.plans.catalog import clean, croston_fc, features, query
-from demandops.plans.oracle import Z95, cte, mean, oracle, policy_sql, r
+from demandops.plans.oracle import Z95, base_ctes, cte, mean, oracle, policy_sql, r
 from demandops.plans.q_features import CAL_SQL, FEATURE_ORDER, rounded
 
 KEYS = ["store_id", "item_id"]
@@ -67,35 +67,63 @@ LEFT JOIN (SELECT store_id, item_id, SUM(w * qty_sold) AS z, SUM(w * gap) AS p
 
 
 _A, _KEEP, _SBA = (f"CAST('{x!r}' AS DOUBLE)" for x in (FC.ALPHA, 1.0 - FC.ALPHA, 1.0 - FC.ALPHA / 2.0))
-croston_ctes()
 
-cte("horizon", f"""
-SELECT CAST((SELECT MAX(date) FROM features) + CAST(h AS INTEGER) AS DATE) AS forecast_date
-FROM (SELECT unnest(generate_series(1, {FC.HORIZON})) AS h)""", "features")
+REV = "CAST(SUM(CAST(qty_sold * price AS DECIMAL(38,6))) AS DOUBLE)"
+LIFT = ("(COALESCE(AVG(qty_sold) FILTER (WHERE on_promo = 1), 0) / "
+        "GREATEST(COALESCE(AVG(qty_sold) FILTER (WHERE on_promo = 0), 1), 1) - 1) * 100.0")
 
-cte("cro_fc", f"""
+
+def forecast_ctes(features: str = "features", clean: str = "clean", suffix: str = "") -> str:
+    """Register the Croston forecast over a feature table and the policy that
+    it feeds over a clean table; return the SQL of the KPI table."""
+    croston_ctes(features, suffix)
+    if suffix:
+        base_ctes(clean, suffix)
+    cte(f"horizon{suffix}", f"""
+SELECT CAST((SELECT MAX(date) FROM {features}) + CAST(h AS INTEGER) AS DATE) AS forecast_date
+FROM (SELECT unnest(generate_series(1, {FC.HORIZON})) AS h)""", features)
+    cte(f"cro_fc{suffix}", f"""
 SELECT c.store_id, c.item_id, h.forecast_date, {r('c.rate', 2)} AS predicted_qty,
        '{FC.CROSTON_METHOD}' AS method
-FROM cro_rates c CROSS JOIN horizon h""", "cro_rates", "horizon")
-
-cte("fc_mu", """
+FROM cro_rates{suffix} c CROSS JOIN horizon{suffix} h""", f"cro_rates{suffix}", f"horizon{suffix}")
+    cte(f"fc_mu{suffix}", f"""
 SELECT f.store_id, f.item_id,
        SUM(CASE WHEN f.h_ <= hh.lead_ THEN f.predicted_qty ELSE CAST(0 AS DOUBLE) END) AS mu_fc_,
        COUNT(*) AS n_fc_
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY store_id, item_id ORDER BY forecast_date) AS h_
-      FROM cro_fc) f
-JOIN hist hh ON f.store_id = hh.store_id AND f.item_id = hh.item_id
-GROUP BY f.store_id, f.item_id""", "cro_fc", "hist")
-
-cte("base_fc", """
+      FROM cro_fc{suffix}) f
+JOIN hist{suffix} hh ON f.store_id = hh.store_id AND f.item_id = hh.item_id
+GROUP BY f.store_id, f.item_id""", f"cro_fc{suffix}", f"hist{suffix}")
+    cte(f"base_fc{suffix}", f"""
 SELECT b.store_id, b.item_id, b.product_name, b.category, b.unit_cost, b.lead_time_days,
        b.annual_demand_est,
        CASE WHEN m.n_fc_ > 0 THEN m.mu_fc_ ELSE b.mu_L END AS mu_L, b.sd_, b.on_hand,
        b.ordering_cost, b.holding_cost_rate
-FROM base_fallback b LEFT JOIN fc_mu m ON b.store_id = m.store_id AND b.item_id = m.item_id""",
-    "base_fallback", "fc_mu")
-cte("policy_fc", policy_sql("base_fc", f"CAST('{Z95}' AS DOUBLE)"), "base_fc")
-
+FROM base_fallback{suffix} b LEFT JOIN fc_mu{suffix} m ON b.store_id = m.store_id AND b.item_id = m.item_id""",
+        f"base_fallback{suffix}", f"fc_mu{suffix}")
+    cte(f"policy_fc{suffix}", policy_sql(f"base_fc{suffix}", f"CAST('{Z95}' AS DOUBLE)"), f"base_fc{suffix}")
+    policy, fc = f"policy_fc{suffix}", f"cro_fc{suffix}"
+    kpis = [
+        ("Total Revenue (M)", f"(SELECT {r(REV + ' / 1e6', 2)} FROM {clean})", "NULL"),
+        ("Total Units Sold", f"(SELECT CAST(SUM(qty_sold) AS DOUBLE) FROM {clean})", "NULL"),
+        ("Avg Daily Units Sold", f"(SELECT {r('AVG(u)', 0)} FROM (SELECT SUM(qty_sold) AS u FROM {clean} GROUP BY date))", "NULL"),
+        ("Top Revenue Category", "NULL",
+         f"(SELECT category FROM {clean} GROUP BY category ORDER BY {REV} DESC, category LIMIT 1)"),
+        ("Promo Lift (%)", f"(SELECT {r(LIFT, 1)} FROM {clean})", "NULL"),
+        ("SKU-Store Combos", f"(SELECT COUNT(*) FROM {policy})", "NULL"),
+        ("Reorder Alerts", f"(SELECT COUNT(*) FILTER (WHERE reorder_alert) FROM {policy})", "NULL"),
+        ("Alert Rate (%)", f"(SELECT {r('COUNT(*) FILTER (WHERE reorder_alert) * 100.0 / COUNT(*)', 1)} FROM {policy})", "NULL"),
+        ("Avg Safety Stock (units)", f"(SELECT {r('AVG(safety_stock)', 1)} FROM {policy})", "NULL"),
+        ("Avg Reorder Point", f"(SELECT {r('AVG(reorder_point)', 1)} FROM {policy})", "NULL"),
+        ("Avg EOQ (units)", f"(SELECT {r('AVG(EOQ)', 1)} FROM {policy})", "NULL"),
+        ("30-Day Forecast Total", f"(SELECT floor(CAST(SUM(CAST(predicted_qty AS DECIMAL(38,6))) AS DOUBLE)) FROM {fc})", "NULL"),
+    ]
+    return "\nUNION ALL\n".join(
+        f"SELECT {i} AS ordinal, '{m}' AS metric, CAST({v} AS DOUBLE) AS value, CAST({lbl} AS VARCHAR) AS label"
+        for i, (m, v, lbl) in enumerate(kpis))
+
+
+KPIS = forecast_ctes()
 
 # ------------------------------------------------------------- M1-M12 --
 @query("M1_time_split")
@@ -332,27 +360,7 @@ def k8(spark, sf):
     return K.kpi_table(c, policy_fc(spark, sf), croston_fc(spark, sf))
 
 
-REV = "CAST(SUM(CAST(qty_sold * price AS DECIMAL(38,6))) AS DOUBLE)"
-LIFT = ("(COALESCE(AVG(qty_sold) FILTER (WHERE on_promo = 1), 0) / "
-        "GREATEST(COALESCE(AVG(qty_sold) FILTER (WHERE on_promo = 0), 1), 1) - 1) * 100.0")
-_KPIS = [
-    ("Total Revenue (M)", f"(SELECT {r(REV + ' / 1e6', 2)} FROM clean)", "NULL"),
-    ("Total Units Sold", "(SELECT CAST(SUM(qty_sold) AS DOUBLE) FROM clean)", "NULL"),
-    ("Avg Daily Units Sold", f"(SELECT {r('AVG(u)', 0)} FROM (SELECT SUM(qty_sold) AS u FROM clean GROUP BY date))", "NULL"),
-    ("Top Revenue Category", "NULL",
-     f"(SELECT category FROM clean GROUP BY category ORDER BY {REV} DESC, category LIMIT 1)"),
-    ("Promo Lift (%)", f"(SELECT {r(LIFT, 1)} FROM clean)", "NULL"),
-    ("SKU-Store Combos", "(SELECT COUNT(*) FROM policy_fc)", "NULL"),
-    ("Reorder Alerts", "(SELECT COUNT(*) FILTER (WHERE reorder_alert) FROM policy_fc)", "NULL"),
-    ("Alert Rate (%)", f"(SELECT {r('COUNT(*) FILTER (WHERE reorder_alert) * 100.0 / COUNT(*)', 1)} FROM policy_fc)", "NULL"),
-    ("Avg Safety Stock (units)", f"(SELECT {r('AVG(safety_stock)', 1)} FROM policy_fc)", "NULL"),
-    ("Avg Reorder Point", f"(SELECT {r('AVG(reorder_point)', 1)} FROM policy_fc)", "NULL"),
-    ("Avg EOQ (units)", f"(SELECT {r('AVG(EOQ)', 1)} FROM policy_fc)", "NULL"),
-    ("30-Day Forecast Total", "(SELECT floor(CAST(SUM(CAST(predicted_qty AS DECIMAL(38,6))) AS DOUBLE)) FROM cro_fc)", "NULL"),
-]
-oracle("K8_kpi_table", "\nUNION ALL\n".join(
-    f"SELECT {i} AS ordinal, '{m}' AS metric, CAST({v} AS DOUBLE) AS value, CAST({lbl} AS VARCHAR) AS label"
-    for i, (m, v, lbl) in enumerate(_KPIS)), "clean", "policy_fc", "cro_fc")
+oracle("K8_kpi_table", KPIS, "clean", "policy_fc", "cro_fc")
 
 A4_ITEM = "STANDARD"
 

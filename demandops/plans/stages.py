@@ -81,14 +81,19 @@ def run_stages(spark: SparkSession, sales: Callable[[], DataFrame],
                recompute: Sequence[str] = (), service: float = 0.95,
                forest_params: dict | None = None, dense: bool = False,
                holiday_month_days: Sequence[str] | None = None,
-               festival_windows: Sequence[tuple[str, str]] | None = None) -> dict[str, DataFrame]:
+               festival_windows: Sequence[tuple[str, str]] | None = None,
+               forecaster: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """Run the chosen steps in order; return every stage table produced or
     reused, keyed by name (each read back from the run folder).
 
     ``dense=True`` zero-fills each series' gaps (``dims.densify``, calendar
     flags recomputed from the given rules) before features, so zero shares
     and the Croston branch of the forecast are meaningful on sparse data;
-    the inventory step keeps using the observed clean history."""
+    the inventory step keeps using the observed clean history.
+
+    ``forecaster`` replaces the forecast step: it gets the feature table and
+    returns one row per series and date (keys, forecast_date, predicted_qty,
+    method), e.g. ``forecasting.croston_forecast``; no model is needed then."""
     run = StageRun(spark, root)
     out: dict[str, DataFrame] = {}
     rebuilt = set(recompute)
@@ -160,11 +165,14 @@ def run_stages(spark: SparkSession, sales: Callable[[], DataFrame],
             stage("model_benchmark", lambda: EV.model_benchmark(EV.baseline_predictions(f)))
         elif step == "forecast":
             f = need("features")
-            model = out.get("_model")
-            if model is None and run.has_model():
-                model = MD.load_model(run.path("model"))
-            forest = MD.forest_forecast(model, FC.future_features(f)) if model is not None else None
-            stage("forecast", lambda: FC.hybrid_forecast(f, forest))
+
+            def hybrid() -> DataFrame:
+                model = out.get("_model")
+                if model is None and run.has_model():
+                    model = MD.load_model(run.path("model"))
+                forest = MD.forest_forecast(model, FC.future_features(f)) if model is not None else None
+                return FC.hybrid_forecast(f, forest)
+            stage("forecast", lambda: forecaster(f) if forecaster else hybrid())
         elif step == "inventory":
             c, fc = need("clean"), need("forecast")
             p = stage("policy", lambda: I.inventory_policy(c, fc, service=service))
