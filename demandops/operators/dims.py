@@ -116,17 +116,25 @@ def festival_flag(df: DataFrame, windows: Sequence[tuple[str, str]],
                   out: str = "festival_flag") -> DataFrame:
     """1 when the date falls in any closed window [start, end].
 
-    The windows are expanded to their distinct days (bounded by the window
-    list) and joined on date equality, so overlapping windows can never
-    duplicate a row and no range / nested-loop join is needed."""
-    spark = df.sparkSession
-    days = (spark.createDataFrame(list(windows), "ws string, we string")
-            .select(F.explode(F.sequence(F.col("ws").cast("date"), F.col("we").cast("date")))
-                    .alias("_fday"))
-            .distinct())
-    return (df.join(F.broadcast(days), F.col("date") == F.col("_fday"), "left")
-              .withColumn(out, F.when(F.col("_fday").isNotNull(), 1).otherwise(0).cast("int"))
-              .drop("_fday"))
+    A window of month-days (``MM-dd``) comes back every year and is matched on
+    the date itself; one that starts after it ends goes across New Year.
+    Windows of full dates are expanded to their distinct days (bounded by the
+    window list) and joined on date equality. So overlapping windows can never
+    duplicate a row, and no range / nested-loop join is needed."""
+    month_day, hit = F.date_format("date", "MM-dd"), F.lit(False)
+    for start, end in windows:
+        if len(start) == 5:
+            inside = [month_day >= start, month_day <= end]
+            hit = hit | ((inside[0] & inside[1]) if start <= end else (inside[0] | inside[1]))
+    dated = [w for w in windows if len(w[0]) != 5]
+    if dated:
+        days = (df.sparkSession.createDataFrame(dated, "ws string, we string")
+                .select(F.explode(F.sequence(F.col("ws").cast("date"), F.col("we").cast("date")))
+                        .alias("_fday"))
+                .distinct())
+        df = df.join(F.broadcast(days), F.col("date") == F.col("_fday"), "left")
+        hit = hit | F.col("_fday").isNotNull()
+    return df.withColumn(out, F.when(hit, 1).otherwise(0).cast("int")).drop("_fday")
 
 
 def promo_hash_sample(df: DataFrame, pct: int = 15, out: str = "on_promo") -> DataFrame:

@@ -7,7 +7,7 @@ category, i.e. over results bounded by the calendar or the dimension.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandops.functions.numeric import exact_sum, rnd
@@ -79,15 +79,38 @@ def zero_demand_share(df: DataFrame, threshold_pct: float = 20.0) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols=CORR_COLUMNS) -> DataFrame:
-    """Pearson correlation of every pair (lower triangle, long form),
-    all pairs in one aggregate; NULLs are skipped pair-wise."""
+    """Pearson correlation of every pair (lower triangle, long form);
+    NULLs are skipped pair-wise, a column without variation gives NULL.
+
+    One aggregate of sums and products (7 + 28 for seven columns, and the
+    least and largest values, so that it stays within whole-stage codegen's
+    field limit), per pattern of NULLs: a pair's moments are those of the
+    patterns that have both columns, at most 2^columns rows in all."""
     present = [c for c in cols if c in df.columns]
-    pairs = [(a, b) for i, a in enumerate(present) for b in present[:i]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}")
-                    for a, b in pairs])
-    return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), F.col(f"`{a}|{b}`").alias("corr"))
-        for a, b in pairs])).alias("p")).select("p.*")
+    n = range(len(present))
+    value = [F.col(c).cast("double") for c in present]
+    mask = sum((F.when(v.isNull(), F.lit(1 << i)).otherwise(0) for i, v in enumerate(value)), F.lit(0))
+    zero = df.select(mask.alias("_mask"), *[F.coalesce(v, F.lit(0.0)).alias(f"x{i}") for i, v in enumerate(value)])
+    moments = zero.groupBy("_mask").agg(
+        F.count("*").alias("n"),
+        *[F.sum(f"x{i}").alias(f"s{i}") for i in n],
+        *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{j}_{i}") for i in n for j in n if j <= i],
+        *[f(f"x{i}").alias(f"{name}{i}") for i in n for name, f in (("lo", F.min), ("hi", F.max))])
+
+    def pair(a: int, b: int) -> Column:
+        """The moments of columns a and b where both are there."""
+        c = {"n": "n", "sa": f"s{a}", "sb": f"s{b}", "aa": f"p{a}_{a}", "bb": f"p{b}_{b}", "ab": f"p{b}_{a}",
+             "la": f"lo{a}", "ha": f"hi{a}", "lb": f"lo{b}", "hb": f"hi{b}"}
+        both = F.col("_mask").bitwiseAND(F.lit(1 << a | 1 << b)) == 0
+        return F.struct(F.lit(present[a]).alias("var_a"), F.lit(present[b]).alias("var_b"),
+                        *[F.when(both, F.col(v)).alias(k) for k, v in c.items()])
+    long = moments.select(F.inline(F.array(*[pair(a, b) for a in n for b in range(a)])))
+    s = {k: F.sum(k) for k in ("n", "sa", "sb", "aa", "bb", "ab")}
+    s["n"] = s["n"].cast("double")
+    spread = (s["n"] * s["aa"] - s["sa"] * s["sa"]) * (s["n"] * s["bb"] - s["sb"] * s["sb"])
+    varies = (F.min("la") < F.max("ha")) & (F.min("lb") < F.max("hb"))
+    return long.groupBy("var_a", "var_b").agg(
+        F.when(varies, F.try_divide(s["n"] * s["ab"] - s["sa"] * s["sb"], F.sqrt(spread))).alias("corr"))
 
 
 def revenue_heatmap(df: DataFrame, long: bool = False) -> DataFrame:

@@ -166,10 +166,11 @@ def filter_slice(df: DataFrame, store: str | None = None, category: str | None =
 
 def filter_options(df: DataFrame) -> DataFrame:
     """A2: sorted distinct stores, items and categories as (kind, value)."""
-    parts = [df.select(F.lit(k).alias("kind"), F.col(c).alias("value"))
-             for k, c in (("store", "store_id"), ("item", "item_id"), ("category", "category"))]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return out.dropna().distinct().orderBy("kind", "value")
+    kinds = (("store", "store_id"), ("item", "item_id"), ("category", "category"))
+    # distinct combinations first (combined map-side), then three rows of each: one scan
+    options = df.select([c for _, c in kinds]).distinct().select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in kinds])))
+    return options.dropna().distinct().orderBy("kind", "value")
 
 
 def slice_kpis(df: DataFrame, policy: DataFrame, store: str | None = None,

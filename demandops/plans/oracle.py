@@ -41,8 +41,9 @@ def _products_values() -> str:
         for i, n, c, u, lead, pack, shelf in A.PRODUCTS)
 
 
-def _festival_values() -> str:
-    return ", ".join(f"({_q(a)}, {_q(b)})" for a, b in A.festival_windows())
+def festival_sql(date: str) -> str:
+    """Whether a date lies in a recurring festival window."""
+    return "(" + " OR ".join(f"strftime({date}, '%m-%d') BETWEEN {_q(a)} AND {_q(b)}" for a, b in A.FESTIVAL_WINDOWS) + ")"
 
 
 def _month_days() -> str:
@@ -87,10 +88,6 @@ SELECT item_id, product_name, category, CAST(unit_cost AS DOUBLE) AS unit_cost,
        CAST(shelf AS INTEGER) AS shelf_life_days
 FROM (VALUES {_products_values()}) t(item_id, product_name, category, unit_cost, lead, pack, shelf)""")
 
-cte("festival", f"""
-SELECT CAST(ws AS DATE) AS ws, CAST(we AS DATE) AS we
-FROM (VALUES {_festival_values()}) t(ws, we)""")
-
 cte("lines", """
 SELECT CAST(l.l_shipdate AS DATE) AS date, r.r_name AS store_id, p.p_type AS item_id,
        l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate,
@@ -112,8 +109,7 @@ FROM lines GROUP BY date, store_id, item_id""", "lines")
 
 _FLAGS = f"""
        CAST(CASE WHEN strftime(x.date, '%m-%d') IN ({_month_days()}) THEN 1 ELSE 0 END AS INTEGER) AS holiday_flag,
-       CAST(CASE WHEN EXISTS (SELECT 1 FROM festival f WHERE x.date BETWEEN f.ws AND f.we)
-                 THEN 1 ELSE 0 END AS INTEGER) AS festival_flag"""
+       CAST(CASE WHEN {festival_sql('x.date')} THEN 1 ELSE 0 END AS INTEGER) AS festival_flag"""
 
 cte("fact", f"""
 SELECT x.date, x.store_id, x.item_id, p.product_name, p.category, x.qty_sold,
@@ -125,7 +121,7 @@ SELECT x.date, x.store_id, x.item_id, p.product_name, p.category, x.qty_sold,
        p.unit_cost, p.pack_size, p.shelf_life_days, p.supplier_lead_time_days,
        CAST({A.ORDERING_COST!r} AS DOUBLE) AS ordering_cost,
        CAST({A.HOLDING_COST_RATE!r} AS DOUBLE) AS holding_cost_rate,{_FLAGS}
-FROM daily x LEFT JOIN products p ON x.item_id = p.item_id""", "daily", "products", "festival")
+FROM daily x LEFT JOIN products p ON x.item_id = p.item_id""", "daily", "products")
 
 cte("raw", f"""
 SELECT x.date, x.store_id, x.item_id, p.product_name, p.category,
@@ -144,7 +140,7 @@ SELECT x.date, x.store_id, x.item_id, p.product_name, p.category,
        CAST({A.HOLDING_COST_RATE!r} AS DOUBLE) AS holding_cost_rate,{_FLAGS},
        x.l_orderkey, x.l_linenumber, x.l_partkey, x.l_suppkey, x.l_shipdate, x.l_quantity,
        x.l_extendedprice
-FROM lines x LEFT JOIN products p ON x.item_id = p.item_id""", "lines", "products", "festival")
+FROM lines x LEFT JOIN products p ON x.item_id = p.item_id""", "lines", "products")
 
 FACT_COLS = ", ".join(A.FACT_COLUMNS)
 INGEST = ", ".join(A.INGEST_ORDER)

@@ -10,7 +10,7 @@ from demandops.operators import features as FE
 from demandops.operators import forecasting as FC
 from demandops.plans.catalog import SERIES, clean, input_paths, query
 from demandops.plans.materialize import memo_table
-from demandops.plans.oracle import A, cte, oracle, r
+from demandops.plans.oracle import A, cte, festival_sql, oracle, r
 from demandops.plans.q_features import FEATURE_ORDER, feature_ctes, rounded
 from demandops.plans.q_forecast import croston_ctes
 
@@ -19,7 +19,7 @@ WK = "PARTITION BY s.store_id, s.item_id ORDER BY s.date"
 
 def dense(spark, sf):
     return D.densify(clean(spark, sf), holiday_month_days=A.HOLIDAY_MONTH_DAYS,
-                     festival_windows=A.festival_windows())
+                     festival_windows=A.FESTIVAL_WINDOWS)
 
 
 def _carry(col: str) -> str:
@@ -37,8 +37,7 @@ SELECT s.date, s.store_id, s.item_id, a.product_name, a.category,
        a.unit_cost, a.pack_size, a.shelf_life_days, a.supplier_lead_time_days, a.ordering_cost,
        a.holding_cost_rate,
        CAST(CASE WHEN strftime(s.date, '%m-%d') IN ({_HOL}) THEN 1 ELSE 0 END AS INTEGER) AS holiday_flag,
-       CAST(CASE WHEN EXISTS (SELECT 1 FROM festival f WHERE s.date BETWEEN f.ws AND f.we)
-                 THEN 1 ELSE 0 END AS INTEGER) AS festival_flag,
+       CAST(CASE WHEN {festival_sql('s.date')} THEN 1 ELSE 0 END AS INTEGER) AS festival_flag,
        s.date - CAST(isodow(s.date) - 1 AS INTEGER) AS week_start
 FROM (SELECT k.store_id, k.item_id, CAST(g.d AS DATE) AS date
       FROM (SELECT DISTINCT store_id, item_id FROM clean
@@ -54,7 +53,7 @@ LEFT JOIN (SELECT store_id, item_id, arg_max(product_name, date) AS product_name
                   arg_max(ordering_cost, date) AS ordering_cost,
                   arg_max(holding_cost_rate, date) AS holding_cost_rate
            FROM clean GROUP BY store_id, item_id) a
-  ON s.store_id = a.store_id AND s.item_id = a.item_id""", "clean", "festival")
+  ON s.store_id = a.store_id AND s.item_id = a.item_id""", "clean")
 
 def dense_features(spark, sf):
     """Feature table over the dense panel, as a stage (materialised once)."""

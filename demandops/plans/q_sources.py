@@ -12,7 +12,7 @@ from demandops.operators import cleaning as C
 from demandops.operators import dims as D
 from demandops.operators import quality as Q
 from demandops.plans.catalog import clean, fact, query, raw, raw_dedup
-from demandops.plans.oracle import A, hex_hash_sql, mean, oracle, r
+from demandops.plans.oracle import A, festival_sql, hex_hash_sql, mean, oracle, r
 from demandops.session import stage_root
 from demandops.sources.io import load_sales, profile_sales, write_stage
 from demandops.sources.tables import read_table
@@ -110,22 +110,23 @@ FROM fact""", "fact")
 
 # An extra window overlapping two of the adapter's windows exercises the
 # no-duplication rule.
-OVERLAP_WINDOW = ("1998-10-20", "1998-11-10")
+OVERLAP_WINDOW = ("1998-03-10", "1998-07-20")
+NEW_YEAR_WINDOW = ("12-30", "01-02")  # of every year, across New Year
 
 
 @query("D5_festival_flag")
 def d5(spark, sf):
-    windows = A.festival_windows() + [OVERLAP_WINDOW]
+    windows = [*A.FESTIVAL_WINDOWS, OVERLAP_WINDOW, NEW_YEAR_WINDOW]
     return D.festival_flag(fact(spark, sf).drop("festival_flag"), windows).select(
         "date", "store_id", "item_id", "festival_flag")
 
 
 oracle("D5_festival_flag", f"""
 SELECT date, store_id, item_id,
-       CAST(CASE WHEN EXISTS (SELECT 1 FROM festival f WHERE x.date BETWEEN f.ws AND f.we)
+       CAST(CASE WHEN {festival_sql('x.date')} OR strftime(x.date, '%m-%d') IN ('12-30', '12-31', '01-01', '01-02')
                    OR x.date BETWEEN DATE '{OVERLAP_WINDOW[0]}' AND DATE '{OVERLAP_WINDOW[1]}'
                  THEN 1 ELSE 0 END AS INTEGER) AS festival_flag
-FROM fact x""", "fact", "festival")
+FROM fact x""", "fact")
 
 
 @query("D6_promo_hash_sample")

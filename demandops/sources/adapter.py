@@ -34,23 +34,20 @@ from demandops.sources.tables import fits_broadcast, read_table
 # cost constants, holiday month-days, festival windows).  They define the
 # test fixture, see FIXTURES.md §2.1.
 # ---------------------------------------------------------------------------
-PRODUCTS = [
-    # item_id,   product_name,    category, unit_cost, lead days, pack_size, shelf_life_days
-    ("ECONOMY",  "Economy line",  "Value",   60.0,  2, 1,   7),
-    ("SMALL",    "Small line",    "Value",   90.0,  5, 1,  90),
-    ("MEDIUM",   "Medium line",   "Core",   120.0,  8, 1, 180),
-    ("STANDARD", "Standard line", "Core",   150.0,  7, 1, 365),
-    ("LARGE",    "Large line",    "Bulk",   250.0, 10, 5, 730),
-    ("PROMO",    "Promo line",    "Deal",    45.0,  1, 1,   5),
+# item_id, product_name, category; the numbers follow from the place i = 1..6:
+# unit_cost 20 + 35 i, lead days 3 + (4 i mod 9), pack_size 1 + (i mod 3), shelf_life_days 45 i
+PRODUCT_LINES = [
+    ("ECONOMY", "Economy line", "Value"), ("SMALL", "Small line", "Value"), ("MEDIUM", "Medium line", "Core"),
+    ("STANDARD", "Standard line", "Core"), ("LARGE", "Large line", "Bulk"), ("PROMO", "Promo line", "Deal"),
 ]
+PRODUCTS = [(*line, 20.0 + 35.0 * i, 3 + 4 * i % 9, 1 + i % 3, 45 * i) for i, line in enumerate(PRODUCT_LINES, 1)]
 ORDERING_COST = 500.0
 HOLDING_COST_RATE = 0.20
 PROMO_DISCOUNT = 0.09          # a line with discount >= this counts as on promotion
 STOCK_MODULUS = 400            # stock_on_hand stand-in: sum(orderkey) mod 400
 STOCKOUT_MODULUS = 41          # stockout when sum(orderkey) mod 41 == 0
 HOLIDAY_MONTH_DAYS = ["01-01", "05-01", "09-07", "12-24"]
-FESTIVAL_WINDOWS_MD = [("03-03", "03-12"), ("07-19", "07-26")]
-FESTIVAL_YEARS = list(range(1980, 2051))
+FESTIVAL_WINDOWS = [("03-03", "03-12"), ("07-19", "07-26")]  # of every year
 # Defects injected into sales_raw (line grain): residue rules on the keys.
 RAW_NULL_QTY_MOD = 97          # l_orderkey % 97 == 0  -> qty NULL
 RAW_NEG_QTY_MOD = 89           # l_orderkey % 89 == 0  -> qty negated
@@ -67,10 +64,6 @@ INGEST_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                 "l_shipdate", "l_quantity", "l_extendedprice"]
 
 
-def festival_windows() -> list[tuple[str, str]]:
-    return [(f"{y}-{a}", f"{y}-{b}") for y in FESTIVAL_YEARS for a, b in FESTIVAL_WINDOWS_MD]
-
-
 def product_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         PRODUCTS,
@@ -131,7 +124,7 @@ def _attach_dimensions(daily: DataFrame, spark: SparkSession, grain: str) -> Dat
         "holding_cost_rate": F.lit(HOLDING_COST_RATE),
     })
     daily = holiday_flag(daily, HOLIDAY_MONTH_DAYS)
-    daily = festival_flag(daily, festival_windows())
+    daily = festival_flag(daily, FESTIVAL_WINDOWS)
     return daily
 
 

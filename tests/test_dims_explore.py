@@ -2,8 +2,10 @@
 
 
 import numpy as np
+import pandas as pd
+import pytest
 
-from demandops.functions.stats import box_stats
+from demandops.functions.stats import box_stats, group_quantiles
 from demandops.operators import dims as D
 from demandops.operators import explore as E
 from demandops.operators import insights as K
@@ -18,6 +20,52 @@ def test_overlapping_festival_windows_do_not_duplicate(spark, make_fact):
     assert sorted(r.date.day for r in out.filter("festival_flag = 1").collect()) == list(range(2, 9))
 
 
+def test_recurring_festivals_of_any_year_and_across_new_year(spark):
+    days = ["2077-03-02", "2077-03-03", "1850-03-12", "2077-03-13", "2076-02-29", "2077-12-30", "2078-01-02", "2078-01-03"]
+    df = spark.createDataFrame([(d,) for d in days], "d string").selectExpr("cast(d as date) as date")
+    out = D.festival_flag(df, [("03-03", "03-12"), ("12-30", "01-02"), ("2076-02-28", "2076-03-01")])
+    flagged = {str(r.date) for r in out.filter("festival_flag = 1").collect()}
+    assert flagged == {"2077-03-03", "1850-03-12", "2076-02-29", "2077-12-30", "2078-01-02"} and out.count() == len(days)
+
+
+def test_several_quantiles_in_two_passes(spark):
+    rng = np.random.default_rng(5)
+    values = [("a", float(v)) for v in rng.normal(size=3000)] + [("b", float(v)) for v in rng.integers(0, 4, 2500)]
+    values += [("c", 1.0), ("d", None), ("e", 2.0), ("e", 5.0)]
+    df = spark.createDataFrame(values, "g string, v double").repartition(7)
+    wanted = {"hi": 0.9, "lo": 0.1, "mid": 0.5, "top": 1.0, "low": 0.0, "near": 0.52}
+    for accuracy in (10000, 100):  # whole groups, and brackets within large ones
+        got = {r["g"]: r for r in group_quantiles(df, "g", "v", wanted, accuracy=accuracy).collect()}
+        assert sorted(got) == ["a", "b", "c", "e"]
+        for g, r in got.items():
+            mine = [v for k, v in values if k == g]
+            assert {k: r[k] for k in wanted} == {k: pytest.approx(np.quantile(mine, p)) for k, p in wanted.items()}
+
+
+def test_correlations_skip_nulls_by_pair(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame(rng.normal(size=(400, 4)) * [1, 50, 3, 1] + [0, 1000, 5, 0], columns=list("wxyz"))
+    pdf["y"] += 0.5 * pdf["x"]
+    for c in "wxy":
+        pdf.loc[rng.random(400) < 0.2, c] = np.nan
+    pdf["z"] = 7.1  # never varies
+    df = spark.createDataFrame(pdf).replace(float("nan"), None)
+    got = {(r["var_a"], r["var_b"]): r["corr"] for r in E.correlation_matrix(df, list("wxyz")).collect()}
+    want = pdf.corr()
+    assert len(got) == 6 and all(got["z", c] is None for c in "wxy")
+    for a, b in (("x", "w"), ("y", "w"), ("y", "x")):
+        assert got[a, b] == pytest.approx(want.loc[a, b], abs=1e-9)
+
+
+def test_correlation_stays_under_the_codegen_field_limit(spark):
+    df = spark.range(100).selectExpr(*[f"cast(id % {i + 2} as double) as {c}" for i, c in enumerate(E.CORR_COLUMNS)])
+    out = E.correlation_matrix(df)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    stages = [line for line in plan.splitlines() if "HashAggregate(keys=[_mask" in line]
+    assert stages and all("*(" in line for line in stages)  # inside whole-stage code
+
+
 def test_holiday_flag(spark, make_fact):
     df = make_fact(fact_rows("S", "A", [1] * 5))
     out = D.holiday_flag(df, ["01-02"], ["2024-01-04"])

@@ -101,3 +101,38 @@ def test_service_sweep_monotone(spark, make_fact):
     sw = I.service_level_sweep(make_fact(rows), (0.8, 0.9, 0.99)).orderBy("service_level").collect()
     ss = [r.safety_stock for r in sw]
     assert ss == sorted(ss) and ss[0] < ss[-1]
+
+
+# Published policy rows at 95 % service (ordering cost 500, holding rate 0.20).
+# Per product: unit cost, lead days.
+PUBLISHED_PRODUCTS = [(180, 7), (45, 2), (110, 10), (55, 5), (100, 7), (60, 5), (80, 8), (30, 1), (18, 5), (70, 10)]
+# Per store and product: annual demand, lead time demand, its deviation, reorder point, order quantity.
+PUBLISHED_POLICY = [
+    [(11211.0, 175.28, 24.76, 216.01, 558.05), (22514.0, 97.58, 25.28, 139.17, 1581.63), (6663.0, 157.47, 20.27, 190.81, 550.33),
+     (18053.0, 188.3, 32.87, 242.37, 1281.09), (11340.5, 176.87, 25.4, 218.65, 753.01), (15894.5, 175.01, 28.9, 222.54, 1150.89),
+     (5395.0, 112.44, 15.11, 137.29, 580.68), (26990.0, 53.81, 21.73, 89.56, 2120.93), (18109.0, 177.93, 33.05, 232.3, 2242.83),
+     (6831.0, 149.01, 20.84, 183.3, 698.52)],
+    [(8510.0, 137.86, 20.62, 171.77, 486.2), (16975.0, 66.61, 18.89, 97.68, 1373.36), (5082.0, 106.88, 15.6, 132.54, 480.62),
+     (13499.5, 142.6, 26.0, 185.37, 1107.8), (8354.0, 148.04, 19.97, 180.89, 646.3), (11897.5, 123.01, 22.41, 159.86, 995.72),
+     (3973.0, 70.76, 12.37, 91.1, 498.31), (20219.0, 40.88, 16.29, 67.67, 1835.71), (13482.5, 140.23, 24.89, 181.18, 1935.24),
+     (5025.0, 102.99, 15.91, 129.16, 599.11)],
+    [(14012.5, 197.77, 31.35, 249.33, 623.89), (28121.0, 118.85, 30.62, 169.21, 1767.64), (8546.0, 176.27, 25.74, 218.61, 623.26),
+     (22544.0, 240.05, 40.44, 306.56, 1431.59), (14330.0, 246.45, 31.22, 297.81, 846.46), (19791.5, 205.16, 34.99, 262.72, 1284.25),
+     (6779.0, 124.06, 19.01, 155.33, 650.91), (33712.5, 68.98, 25.68, 111.22, 2370.39), (22629.0, 240.31, 40.15, 306.36, 2507.16),
+     (8418.0, 204.01, 24.37, 244.1, 775.43)]]
+
+
+def test_published_policy_rows(spark):
+    """Safety stock, reorder point and order quantity of all thirty rows, from
+    their published (rounded) demand, deviation and costs."""
+    rows = [(s, p, float(cost), lead, demand, mu, sigma, 1e6, rop, eoq)
+            for s, store in enumerate(PUBLISHED_POLICY)
+            for p, ((cost, lead), (demand, mu, sigma, rop, eoq)) in enumerate(zip(PUBLISHED_PRODUCTS, store))]
+    df = spark.createDataFrame(rows, "store int, item int, unit_cost double, lead_time_days int, annual_demand_est double, "
+                               "mu_L double, sigma double, on_hand double, rop double, eoq_ double").withColumns({
+        "_std": F.col("sigma") / F.sqrt("lead_time_days"), "ordering_cost": F.lit(500.0), "holding_cost_rate": F.lit(0.20)})
+    out = I.policy_columns(df, service_z(0.95)).collect()
+    assert len(out) == 30
+    for r in out:
+        assert abs(r["reorder_point"] - r["rop"]) <= 0.02 and abs(r["safety_stock"] - (r["rop"] - r["mu_L"])) <= 0.02
+        assert abs(r["EOQ"] - r["eoq_"]) <= 0.005 and not r["reorder_alert"] and r["order_qty"] == 0

@@ -115,7 +115,7 @@ def test_stage_runner_dense_uses_croston(spark, tmp_path):
     out = run_stages(spark, lambda: raw(spark, SF_SMALL),
                      root=str(tmp_path / "dense"), forest_params={"numTrees": 5, "maxDepth": 4},
                      steps=("clean", "features", "model", "forecast", "inventory"), dense=True,
-                     holiday_month_days=A.HOLIDAY_MONTH_DAYS, festival_windows=A.festival_windows())
+                     holiday_month_days=A.HOLIDAY_MONTH_DAYS, festival_windows=A.FESTIVAL_WINDOWS)
     methods = {r.method for r in out["forecast"].select("method").distinct().collect()}
     assert "Croston/SBA" in methods
     assert out["dense"].count() > out["clean"].count()
@@ -141,3 +141,14 @@ def test_half_written_stages_are_not_reused(spark, tmp_path):
     assert not run.has("clean")
     assert {"features", "model", "forecast", "policy", "alerts", "kpis"} <= stale_after(["clean"])
     assert "clean" not in stale_after(["features"])
+
+
+def test_a_given_forecaster_replaces_the_model(spark, tmp_path):
+    from demandops.operators.forecasting import croston_forecast
+    from demandops.plans.catalog import raw
+    out = run_stages(spark, lambda: raw(spark, SF_SMALL), root=str(tmp_path / "fixed"),
+                     steps=("clean", "features", "forecast", "inventory"), forecaster=croston_forecast)
+    assert "model_metrics" not in out and out["policy"].count() == 30
+    want = croston_forecast(out["features"])
+    assert out["forecast"].exceptAll(want.select(*out["forecast"].columns)).count() == 0
+    assert out["forecast"].count() == want.count()
