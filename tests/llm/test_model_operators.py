@@ -3,6 +3,7 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -16,77 +17,126 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def brute_kneser_ney(texts):
-    """-ln p of a 4-gram, from the textbook formulas over dictionaries."""
-    n, b = quality_lm.ORDER, quality_lm.BITS
-    top = {}
-    for t in texts:
-        for g in quality_lm.gram_ids(t).tolist():
-            top[g] = top.get(g, 0) + 1
-    levels = {n: top}
+    """(probability of an n-gram's last symbol, symbols), from the textbook formulas."""
+    n = quality_lm.ORDER
+    grams = [(quality_lm.PAD * (n - 1) + t.lower())[i:i + n] for t in texts for i in range(len(t.lower()))]
+    levels = {n: Counter(grams)}
     for k in range(n - 1, 0, -1):
-        low = {}
-        for g in levels[k + 1]:
-            low[g & ((1 << (b * k)) - 1)] = low.get(g & ((1 << (b * k)) - 1), 0) + 1
-        levels[k] = low
-    disc = {}
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    disc, contexts = {}, {}
     for k, c in levels.items():
         f = [sum(v == j for v in c.values()) for j in (1, 2, 3, 4)]
         y = f[0] / (f[0] + 2 * f[1]) if f[0] + 2 * f[1] else 0.5
         d = [(j - (j + 1) * y * f[j] / f[j - 1]) if f[j - 1] else 0.5 * j for j in (1, 2, 3)]
         disc[k] = [max(0.05, min(x, j)) for x, j in zip(d, (1, 2, 3))]
+        contexts[k] = {}
+        for g, v in c.items():
+            contexts[k].setdefault(g[:-1], []).append(v)
+    take = lambda k, v: min(disc[k][min(v, 3) - 1], v)
 
-    def prob(g, k):
+    def prob(g):
+        k = len(g)
         if k == 0:
-            return 1 / (1 << b)
-        below = prob(g & ((1 << (b * (k - 1))) - 1), k - 1)
-        ctx = [(w, c) for w, c in levels[k].items() if w >> b == g >> b]
-        if not ctx:
+            return 1 / (len(levels[1]) + 1)
+        counts, below = contexts[k].get(g[:-1]), prob(g[1:])
+        if not counts:
             return below
-        total = sum(c for _, c in ctx)
-        take = {w: min(disc[k][min(c, 3) - 1], c) for w, c in ctx}
         c = levels[k].get(g, 0)
-        return (c - take.get(g, 0)) / total + sum(take.values()) / total * below
-    return lambda g: -math.log(prob(g, n))
+        own = c - take(k, c) if c else 0.0
+        return own / sum(counts) + sum(take(k, v) for v in counts) / sum(counts) * below
+    return prob, sorted(levels[1])
 
 
-def test_kneser_ney_matches_the_formulas(spark):
+def brute_cost(prob, text):
+    t = quality_lm.PAD * (quality_lm.ORDER - 1) + text.lower()
+    costs = [-math.log(max(prob(t[i:i + quality_lm.ORDER]), 1e-12)) for i in range(len(text.lower()))]
+    return sum(costs) / len(costs)
+
+
+SCRIPTS = {"en": "The cat, the hat and a bat sat on that mat. ", "ru": "Жили-были дед да баба, и была у них курочка. ",
+           "zh": "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏"}
+
+
+def lines(rng, lang, n):
+    words = SCRIPTS[lang].split() if lang != "zh" else list(SCRIPTS[lang])
+    return (" " if lang != "zh" else "").join(rng.choice(words) for _ in range(n))
+
+
+@pytest.mark.parametrize("held", [True, False])
+def test_kneser_ney_matches_the_formulas(spark, held, monkeypatch):
+    """By packed tables and by joins, in three scripts, with small slices."""
+    monkeypatch.setattr(quality_lm, "SLICE", 150)
+    monkeypatch.setattr(quality_lm._units, "__defaults__", (150,))
     rng = random.Random(1)
-    texts = [prose(rng, 30, 40) for _ in range(6)]
-    model = quality_lm.train(spark.createDataFrame([("en", t) for t in texts], "lang string, text string"))
-    table = quality_lm.assemble(model.toPandas())
-    score = brute_kneser_ney(texts)
-    probe = {int(g) for t in [*texts[:2], "unseen Words 12, #x"] for g in quality_lm.gram_ids(t)[:60]}
-    for g in probe:
-        assert table[g] == pytest.approx(score(g), rel=1e-5)
-    sums = np.exp(-table.astype(np.float64)).reshape(-1, 32).sum(1)
-    assert np.allclose(sums, 1, atol=1e-4)   # a distribution in every context
+    texts = {lang: [lines(rng, lang, 40) for _ in range(6)] for lang in SCRIPTS}
+    trusted = spark.createDataFrame([(k, t) for k, ts in texts.items() for t in ts], "lang string, text string")
+    model = quality_lm.train(trusted)
+    odd = ["", None, "  ", "unseen Words 12, #x", "ж", "ẞ İ", "x" * 700]
+    rows = [(k, t) for k in (*SCRIPTS, "none") for t in [*texts.get(k, [])[:3], *odd, *odd[3:4]]]
+    got = quality_lm.perplexities(spark.createDataFrame(rows, "lang string, text string"), model,
+                                  model_bytes=1 << 30 if held else 0).collect()
+    assert sorted((r["lang"], repr(r["text"])) for r in got) == sorted((k, repr(t)) for k, t in rows)
+    brute = {k: brute_kneser_ney(ts) for k, ts in texts.items()}
+    for r in got:
+        if r["lang"] == "none" or not (r["text"] or "").strip():
+            assert r["_nll"] is None and (r["_n"] == 0 or r["lang"] == "none")
+        else:
+            assert r["_nll"] == pytest.approx(brute_cost(brute[r["lang"]][0], r["text"]), rel=1e-5), r
+            assert r["_n"] == len(r["text"].lower()) or r["text"] == "ẞ İ"
+    for prob, symbols in brute.values():   # a distribution in every context, with one unseen symbol
+        for ctx in ("", "a", "the ", "zzzz"):
+            assert sum(prob(ctx + s) for s in [*symbols, "\u0378"]) == pytest.approx(1)
+
+
+def test_grams_of_many_letters_are_counted():
+    """More distinct characters than one number holds: pieces are halved."""
+    rng = random.Random(2)
+    text = "".join(chr(0x4E00 + rng.randrange(20000)) for _ in range(30000)) + "abc" * 50
+    got = Counter()
+    for units in quality_lm._units([text, "abcabc"], 9000):
+        for g, n in quality_lm._distinct(units):
+            got[g] += n
+    pad = quality_lm.PAD * 4
+    assert got == Counter((pad + t)[i:i + 5] for t in (text, "abcabc") for i in range(len(t)))
+
+
+def test_the_model_grows_with_the_trusted_text(spark):
+    rng = random.Random(3)
+    sizes = [quality_lm.train(spark.createDataFrame([("en", prose(rng, 300, v)) for _ in range(n)], "lang string, text string")).count()
+             for n, v in ((2, 50), (20, 5000))]
+    assert sizes[1] > 4 * sizes[0]
 
 
 def test_quality_classifier_rejects_noise_and_keeps_text(spark):
     rng = random.Random(2)
-    good = [(i, prose(rng, 80, 60)) for i in range(60)]
-    bad = [(100 + i, " ".join("%$#&*!|<>"[rng.randrange(9)] * 3 for _ in range(80))) for i in range(10)]
-    docs = documents(spark, good + bad + [(200, None), (201, ""), (202, "  ")]).unionByName(
-        documents(spark, [(300, "sans modèle"), (301, None)], lang=None))
-    labels = spark.createDataFrame([(i, 1) for i, _ in good[:40]] + [(100, 0), (None, 1), (999, 1)], "doc_id long, quality int")
-    got = quality_lm.classify(docs, labels)
-    assert got.columns[:4] == ["doc_id", "text", "lang", "source"] and got.columns.count("accepted") == 1
-    ok = {r["doc_id"]: r["accepted"] for r in got.collect()}
-    assert all(ok[i] for i, _ in good) and not any(ok[i] for i, _ in bad)
-    assert not ok[200] and not ok[201] and not ok[202] and ok[300] and not ok[301]
+    good = [(i, lines(rng, "en" if i % 2 else "ru", 60)) for i in range(600)]
+    langs = {i: "en" if i % 2 else "ru" for i, _ in good}
+    bad = [(1000 + i, "".join(rng.choice("%$#&*!|<>" if i % 4 < 2 else "щшъэюфцхг") for _ in range(200))) for i in range(20)]
+    docs = documents(spark, good + bad + [(2000, None), (2001, ""), (2002, "  "), (2003, "the " + "sat on that mat " * 20000)])
+    docs = docs.withColumn("lang", F.when((F.col("doc_id") < 2000) & (F.col("doc_id") % 2 == 0), "ru").otherwise(F.col("lang")))
+    docs = docs.unionByName(documents(spark, [(3000, "sans modèle"), (3001, None)], lang=None))
+    labels = spark.createDataFrame([(i, 1) for i, _ in good[:400]] + [(1000, 0), (None, 1), (9999, 1)], "doc_id long, quality int")
+    out = quality_lm.classify(docs, labels)
+    assert out.columns[:4] == ["doc_id", "text", "lang", "source"] and out.columns.count("accepted") == 1
+    got = {r["doc_id"]: r for r in out.collect()}
+    ok = {i: r["accepted"] for i, r in got.items()}
+    assert sum(ok[i] for i, _ in good) >= 0.95 * len(good) and not any(ok[i] for i, _ in bad)
+    assert not ok[2000] and not ok[2001] and not ok[2002] and ok[3000] and not ok[3001]
+    assert got[2003]["n_symbols"] == 4 + 16 * 20000
+    # the thresholds are quantiles of the held-out trusted texts
+    side = F.pmod(F.xxhash64(F.lit("held out"), "text"), F.lit(quality_lm.HELD_OUT)) == 0
+    held = [r[0] for r in docs.filter(side & (F.col("doc_id") < 400)).select("doc_id").collect()]
+    for lang in ("en", "ru"):
+        mine = sorted(got[i]["perplexity"] for i in held if langs[i] == lang)
+        cutoff = {got[i]["threshold"] for i, _ in good if langs[i] == lang}
+        assert len(mine) > 20 and len(cutoff) == 1 and cutoff.pop() == pytest.approx(mine[math.ceil(0.99 * len(mine)) - 1], rel=1e-6)
+    joined = {r["doc_id"]: (r["accepted"], r["perplexity"]) for r in quality_lm.classify(docs, labels, model_bytes=0).collect()}
+    assert {i: a for i, (a, _) in joined.items()} == ok
+    assert all(p == pytest.approx(got[i]["perplexity"], rel=1e-5) for i, (_, p) in joined.items() if p is not None)
     assert quality_lm.classify(docs.limit(0), labels.limit(0)).count() == 0
     assert quality_lm.classify(docs, labels.limit(0)).filter("perplexity is not null").count() == 0
 
 
-def test_more_languages_than_a_pass_holds(spark, monkeypatch):
-    monkeypatch.setattr(quality_lm, "SHARDS", 2)
-    rng = random.Random(3)
-    rows = [(f"l{k}", prose(rng, 40, 20)) for k in range(5) for _ in range(3)]
-    df = spark.createDataFrame(rows + [("other", "some text")], "lang string, text string")
-    scored = quality_lm.perplexities(df, quality_lm.train(df.filter("lang <> 'other'"))).collect()
-    assert len(scored) == 16 and [r["lang"] for r in scored if r["_nll"] is None] == ["other"]
-
-
 def test_network_gradients_are_right():
     rng = np.random.default_rng(0)
     net = toxicity.Network(3)
