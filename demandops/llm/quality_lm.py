@@ -45,8 +45,9 @@ PAD = "\x02"             #: stands before the first character
 HELD_OUT = 5             #: one in so many trusted texts gives the quantiles
 UPPER, LOWER = 0.99, 0.002  #: quantiles of the held-out perplexities
 MODEL_BYTES = 64 << 20   #: of a packed model (12 bytes an entry) that tasks hold
-SLICE = 1_000_000        #: characters worked on at a time
-HELD_GRAMS = 1_000_000   #: distinct n-grams that a counting task holds
+SLICE = 400_000          #: characters worked on at a time
+HELD_GRAMS = 150_000     #: distinct n-grams that a counting task holds
+HELD_COSTS = 500_000     #: n-grams whose cost a scoring task remembers, per language
 SALTS = 16
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -126,9 +127,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for units in _units(part["text"].tolist()):
                 for gram, n in _distinct(units):
                     table[gram] += n
-        if sum(map(len, tables.values())) > HELD_GRAMS:
-            yield from flush()
+                if sum(map(len, tables.values())) > HELD_GRAMS:
+                    yield from flush()
+                    table = tables.setdefault(lang, Counter())
     yield from flush()
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 # -- the model ---------------------------------------------------------------------------
@@ -256,7 +259,7 @@ class Scorer:
                 where = place[new[first]]
                 fresh = self.costs([codes[where + k] for k in range(ORDER)]).astype(np.float32)
                 cost[new] = fresh[back]
-                if len(self.cost) > 2 * HELD_GRAMS:
+                if len(self.cost) > HELD_COSTS:
                     self.known, self.cost = None, np.zeros(0, np.float32)
                 self.known = pa.array(keys) if self.known is None else pa.concat_arrays([self.known, pa.array(keys)])
                 self.cost = np.concatenate([self.cost, fresh])
@@ -284,6 +287,7 @@ def _scores_held(docs: DataFrame, model: DataFrame, key: Column, body: Column) -
                     total, n = scorers[k].scores(text[mine].tolist())
                     out.loc[mine, "nll"], out.loc[mine, "n"] = total / n, n
             yield out
+        pa.default_memory_pool().release_unused()  # the worker lives on
     scored = docs.withColumn("_score", score(key, body))
     return (scored.withColumn("_nll", F.when(~F.isnan("_score.nll"), F.col("_score.nll")))
             .withColumn("_n", F.col("_score.n")).drop("_score"))
@@ -360,11 +364,13 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
     held = F.pmod(F.xxhash64(F.lit("held out"), F.coalesce("text", F.lit(""))), F.lit(HELD_OUT)) == 0
     model = train(trusted.filter(~held))
     seen = perplexities(trusted.filter(held), model, "lang", "text", model_bytes)
+    # in millionths: a sum's order must not decide about a text that is a quantile itself
+    nll = F.round("_nll", 6)
     limits = cut(seen.filter("_nll is not null").groupBy(F.col("lang").alias("_lang"))
-                 .agg(F.percentile_approx("_nll", [lower, upper], 100_000).alias("_q"))
+                 .agg(F.percentile_approx(nll, [lower, upper], 100_000).alias("_q"))
                  .select("_lang", F.exp(F.col("_q")[0]).alias("least"), F.exp(F.col("_q")[1]).alias("threshold")), "quantiles")
     scored = perplexities(docs.withColumn("_lang", key), model, "_lang", text, model_bytes)
-    perplexity = F.exp("_nll")
+    perplexity = F.exp(nll)
     inside = perplexity.between(F.col("least"), F.col("threshold"))
     judged = (sized_join(scored, limits, ["_lang"], "left")  # one row per language
               .withColumn("perplexity", perplexity).withColumn("n_symbols", F.col("_n"))
