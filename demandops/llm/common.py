@@ -3,6 +3,8 @@ joins, fixed-size Bloom filters and distributed ranks."""
 
 from __future__ import annotations
 
+import gc
+import sys
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -32,6 +34,13 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def drop_kept() -> None:
+    """In a task: give back what earlier operators left in this Python worker
+    (workers live on, and each keeps its word cache for the next task)."""
+    if sys.modules.pop("_word_encoders", None) is not None:
+        gc.collect()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -35,10 +35,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandops.llm.common import bounded_batches, cut, release, shield, sized_join, text_digest
+from demandops.llm.common import bounded_batches, cut, drop_kept, release, shield, sized_join, text_digest
 
 ORDER = 5
 PAD = "\x02"             #: stands before the first character
@@ -112,6 +113,7 @@ def _distinct(units: list[tuple[int, str]]) -> Iterator[tuple[str, int]]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, text) -> (lang, gram, c), summed within a bounded table."""
+    drop_kept()
     tables: dict[str, Counter] = {}
 
     def flush() -> Iterator[pa.RecordBatch]:
@@ -268,12 +270,11 @@ class Scorer:
         return total, n
 
 
-def _scores_held(docs: DataFrame, model: DataFrame, key: Column, body: Column) -> DataFrame:
+def _scores_held(docs: DataFrame, held: Broadcast, key: Column, body: Column) -> DataFrame:
     """``docs`` with _nll and _n: each task joins its n-grams with the packed model."""
-    held = docs.sparkSession.sparkContext.broadcast(held_model(model))  # under MODEL_BYTES
-
     @F.pandas_udf("struct<nll:double,n:bigint>")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        drop_kept()
         scorers: dict[str, Scorer | None] = {}
         for lang, text in batches:
             out = pd.DataFrame({"nll": np.nan, "n": np.zeros(len(text), np.int64)}, index=text.index)
@@ -338,15 +339,20 @@ def _scores_joined(docs: DataFrame, model: DataFrame, key: Column, body: Column)
             .withColumn("_n", F.coalesce(F.length(F.lower("_body")), F.lit(0)).cast("long")).drop("t1", "t2", "_key", "_body"))
 
 
-def perplexities(docs: DataFrame, model: DataFrame, lang: str = "lang", text: str = "text",
-                 model_bytes: int = MODEL_BYTES) -> DataFrame:
+def placed(model: DataFrame, model_bytes: int = MODEL_BYTES) -> DataFrame | Broadcast:
+    """The model as scoring uses it: packed and sent to the tasks once if it
+    fits, its entries counted, else the table itself."""
+    fits = 12 * model.count() <= model_bytes
+    return model.sparkSession.sparkContext.broadcast(held_model(model)) if fits else model
+
+
+def perplexities(docs: DataFrame, model: DataFrame | Broadcast, lang: str = "lang", text: str = "text") -> DataFrame:
     """``docs`` with _nll (mean -ln p per symbol, null without a model) and _n
     (symbols)."""
     bounded_batches(docs.sparkSession)
     key = F.coalesce(F.col(f"`{lang}`"), F.lit(""))
     body = F.when(F.trim(F.col(f"`{text}`")) != "", F.col(f"`{text}`"))
-    fits = 12 * model.count() <= model_bytes
-    return (_scores_held if fits else _scores_joined)(docs, model, key, body)
+    return (_scores_joined if isinstance(model, DataFrame) else _scores_held)(docs, model, key, body)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text",
@@ -362,14 +368,14 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
     narrow = docs.select(F.col(f"`{id_col}`").alias("_id"), key.alias("lang"), F.col(f"`{text}`").alias("text"))
     trusted = sized_join(narrow, ids, ["_id"], "left_semi").select("lang", "text")
     held = F.pmod(F.xxhash64(F.lit("held out"), F.coalesce("text", F.lit(""))), F.lit(HELD_OUT)) == 0
-    model = train(trusted.filter(~held))
-    seen = perplexities(trusted.filter(held), model, "lang", "text", model_bytes)
+    model = placed(train(trusted.filter(~held)), model_bytes)
+    seen = perplexities(trusted.filter(held), model, "lang", "text")
     # in millionths: a sum's order must not decide about a text that is a quantile itself
     nll = F.round("_nll", 6)
     limits = cut(seen.filter("_nll is not null").groupBy(F.col("lang").alias("_lang"))
                  .agg(F.percentile_approx(nll, [lower, upper], 100_000).alias("_q"))
                  .select("_lang", F.exp(F.col("_q")[0]).alias("least"), F.exp(F.col("_q")[1]).alias("threshold")), "quantiles")
-    scored = perplexities(docs.withColumn("_lang", key), model, "_lang", text, model_bytes)
+    scored = perplexities(docs.withColumn("_lang", key), model, "_lang", text)
     perplexity = F.exp(nll)
     inside = perplexity.between(F.col("least"), F.col("threshold"))
     judged = (sized_join(scored, limits, ["_lang"], "left")  # one row per language

@@ -73,8 +73,8 @@ def test_kneser_ney_matches_the_formulas(spark, held, monkeypatch):
     model = quality_lm.train(trusted)
     odd = ["", None, "  ", "unseen Words 12, #x", "ж", "ẞ İ", "x" * 700]
     rows = [(k, t) for k in (*SCRIPTS, "none") for t in [*texts.get(k, [])[:3], *odd, *odd[3:4]]]
-    got = quality_lm.perplexities(spark.createDataFrame(rows, "lang string, text string"), model,
-                                  model_bytes=1 << 30 if held else 0).collect()
+    got = quality_lm.perplexities(spark.createDataFrame(rows, "lang string, text string"),
+                                  quality_lm.placed(model, 1 << 30 if held else 0)).collect()
     assert sorted((r["lang"], repr(r["text"])) for r in got) == sorted((k, repr(t)) for k, t in rows)
     brute = {k: brute_kneser_ney(ts) for k, ts in texts.items()}
     for r in got:
