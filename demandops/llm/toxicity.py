@@ -3,16 +3,24 @@
 Word inputs (hashed word vectors) and character inputs (mean vector of the
 word's hashed 3- and 4-grams) go through one GRU per direction; attention
 pools the states of a window of ``LENGTH`` words to one logit. A text's score
-is the largest over its windows, one from every start position. The network is trained in numpy on a bounded sample of labelled texts
-(``MAX_TOXIC`` and ``MAX_CLEAN`` rows, the least hashes of their ids): labels
-are of whole texts, so a toxic text teaches by the highest of all its windows, a
-clean one by its highest and another. Scoring runs in tasks with the broadcast weights,
-about 0.6 MB whatever the corpus.
-
-Defined results: null, empty and wordless texts score 0; labels that are null
-or of unknown ids are ignored; without labelled rows of both kinds every score
-is 0; repeated rows are scored row by row; language, source and id are never
-inputs.
+is the largest over its windows, one from every start position. Scoring runs in
+tasks with the broadcast weights, about 2 MB whatever the corpus.
+
+The network is trained in numpy on a bounded sample of labelled texts
+(``MAX_TOXIC`` and ``MAX_CLEAN`` texts, the least hashes of their ids). Labels
+are of whole texts, so every round first picks windows in tasks, from all
+windows of each text: the one that is most likely toxic, and of clean texts
+another at random. Only these windows come to the driver, which trains on them.
+The first round picks by hashed words that lie in more toxic texts of the
+sample than chance gives; the vectors start from the same statistic. Words are
+left out at random while training, so that no rare word decides alone.
+
+Defined results: null, empty and wordless texts score 0; very long texts are
+scored whole, ``SLICE_CHARS`` of other texts at a time; labels that are null
+or of unknown ids are ignored, an id labelled both ways is toxic; an id with
+several texts teaches by the least of them; without labelled rows of both kinds
+every score is 0; repeated rows are scored row by row; language, source and id
+are never inputs. Training runs its jobs while the query is built.
 """
 
 from __future__ import annotations
@@ -26,13 +34,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandops.llm.common import bounded_batches, shield, sized_join
+from demandops.llm.common import bounded_batches, cut, release, shield, sized_join
 
 LENGTH = 32                      #: words of a window
 DIM, HIDDEN, ATT = 12, 8, 8      #: input vector, GRU state, attention size
-WORDS, GRAMS = 1 << 12, 1 << 13  #: hashed vocabularies
+WORDS, GRAMS = 1 << 15, 1 << 13  #: hashed vocabularies
 MAX_TOXIC, MAX_CLEAN = 1500, 4000  #: labelled texts to train on
-EPOCHS, BATCH, RATE = 8, 64, 0.01
+ROUNDS, BATCH, RATE = 4, 64, 0.01
+STEPS = 30                       #: least steps of a round: small samples are passed over several times
+DROP = 0.2                       #: share of words left out of a training window
+PARTS = 32                       #: tasks that pick windows
+SEED = 11
 CACHE_WORDS = 120_000            #: words a worker remembers
 SLICE_CHARS = 600_000
 BLOCK = 2048                     #: windows scored at a time
@@ -78,9 +90,9 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _squash(x: np.ndarray) -> None:
-    """1 / (1 + exp(x)), in place; large ``x`` give 0."""
-    np.minimum(x, 80, out=x)
-    np.exp(x, out=x)
+    """1 / (1 + exp(x)), in place; large ``x`` give 0 by way of infinity."""
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
     x += 1
     np.reciprocal(x, out=x)
 
@@ -91,7 +103,7 @@ class Network:
     def __init__(self, seed: int = 7):
         r = np.random.default_rng(seed)
         f = lambda *s, k=0.3: (r.standard_normal(s) * k).astype(np.float32)
-        self.p = {"word": f(WORDS, DIM, k=0.1), "gram": f(GRAMS, DIM, k=0.3),
+        self.p = {"word": f(WORDS, DIM, k=0.03), "gram": f(GRAMS, DIM, k=0.03),
                   "win": f(2, DIM, 3 * HIDDEN), "u": f(2, HIDDEN, 3 * HIDDEN), "b": f(2, 1, 3 * HIDDEN, k=0.01),
                   "att": f(2 * HIDDEN, ATT), "ab": f(ATT, k=0.01), "v": f(ATT),
                   "out": f(2 * HIDDEN), "c": np.zeros(1, np.float32)}
@@ -99,6 +111,18 @@ class Network:
         self.s = {k: np.zeros_like(v) for k, v in self.p.items()}
         self.t = 0
 
+    @classmethod
+    def of(cls, weights: dict[str, np.ndarray]) -> "Network":
+        """For scoring only: a network of given weights."""
+        net = cls.__new__(cls)
+        net.p = weights
+        return net
+
+    def start_from(self, excess: dict[str, np.ndarray]) -> None:
+        """One input of each table starts from its slots' ``excess``."""
+        self.p["word"][:, 0] = excess["word"]
+        self.p["gram"][:, 1] = excess["gram"]
+
     def vectors(self, feats) -> np.ndarray:
         word, grams, first = feats
         n = np.diff(np.r_[first, len(grams)])
@@ -139,39 +163,42 @@ class Network:
 
     def slide(self, gates: np.ndarray) -> np.ndarray:
         """Logits of the windows at every start position of a run of words,
-        given the words' gates in order: the same as ``run`` of full windows."""
+        given the words' gates in order: the same as ``run`` of full windows.
+        States are held as k = (h + 1) / 2, as tanh(x) = 2 sigmoid(2 x) - 1: a
+        row of ones takes up the constant, and no step scales a whole block."""
         p, n = self.p, gates.shape[1] - LENGTH + 1
+        scale = np.repeat(np.float32([-1, -2]), [2 * HIDDEN, HIDDEN])[:, None]  # for _squash
+        g = np.ascontiguousarray(gates.transpose(0, 2, 1)) * scale
+        u = p["u"].transpose(0, 2, 1) * scale
+        u = np.concatenate([2 * u, -u.sum(2, keepdims=True)], axis=2)
+        k = np.ones((2, HIDDEN + 1, n), np.float32)
+        h = k[:, :HIDDEN]
+        h[:] = 0.5
+        gh = np.empty((2, 3 * HIDDEN, n), np.float32)
+        zr, cand = gh[:, :2 * HIDDEN], gh[:, 2 * HIDDEN:]
         s = np.empty((LENGTH, 2 * HIDDEN, n), np.float32)  # numbers of one unit lie together
-        for d in (0, 1):
-            g, u, h = np.ascontiguousarray(gates[d].T), np.ascontiguousarray(p["u"][d].T), np.zeros((HIDDEN, n), np.float32)
-            for w in (g, u):       # for _squash: sigmoid(x) = 1 / (1 + exp(-x)), tanh(x) = 2 sigmoid(2 x) - 1
-                w[:2 * HIDDEN] *= -1
-                w[2 * HIDDEN:] *= -2
-            for t in range(LENGTH) if d == 0 else range(LENGTH - 1, -1, -1):
-                gx, gh = g[:, t:t + n], u @ h
-                zr = gh[:2 * HIDDEN]
-                zr += gx[:2 * HIDDEN]
-                _squash(zr)
-                cand = gh[2 * HIDDEN:]
-                cand *= zr[HIDDEN:]
-                cand += gx[2 * HIDDEN:]
-                _squash(cand)
-                cand *= 2
-                cand -= 1
-                h -= cand
-                h *= zr[:HIDDEN]
-                h += cand
-                s[t, d * HIDDEN:(d + 1) * HIDDEN] = h
-        u = p["att"].T @ s
-        u += p["ab"][:, None]
-        u *= -2
-        _squash(u)
-        u *= 2
-        u -= 1
-        e = p["v"] @ u
+        for t in range(LENGTH):
+            ends = (t, LENGTH - 1 - t)
+            np.matmul(u, k, out=gh)
+            for d in (0, 1):
+                zr[d] += g[d, :2 * HIDDEN, ends[d]:ends[d] + n]
+            _squash(zr)
+            cand *= zr[:, HIDDEN:]
+            for d in (0, 1):
+                cand[d] += g[d, 2 * HIDDEN:, ends[d]:ends[d] + n]
+            _squash(cand)
+            h -= cand
+            h *= zr[:, :HIDDEN]
+            h += cand
+            for d in (0, 1):
+                s[ends[d], d * HIDDEN:(d + 1) * HIDDEN] = h[d]
+        q = (-4 * p["att"].T) @ s
+        q += (-2 * (p["ab"] - p["att"].sum(0)))[:, None]
+        _squash(q)
+        e = (2 * p["v"]) @ q                               # less a constant that the softmax ignores
         a = np.exp(e - e.max(0))
         a /= a.sum(0)
-        return (p["out"] @ s * a).sum(0) + p["c"][0]
+        return (2 * (p["out"] @ s) * a).sum(0) - p["out"].sum() + p["c"][0]
 
     def step(self, words: list[list[str]], y: np.ndarray) -> float:
         """One Adam step on windows of words with labels ``y``."""
@@ -311,35 +338,103 @@ def _slices(texts: list) -> Iterator[tuple[int, list]]:
 
 def _top_windows(net: Network, worded: list[list[str]], which: list[int]) -> list[tuple[int, int]]:
     """(text, start) of the highest of all windows of each text."""
-    scorer, top = Scorer(net), []
-    for a in range(0, len(which), 256):
-        part = which[a:a + 256]
-        logit, owner = scorer.logits([worded[i] for i in part])
+    scorer, top, words = Scorer(net), [], 0
+    part: list[int] = []
+    for n, i in enumerate(which):
+        part.append(i)
+        words += len(worded[i])
+        if words < SLICE_CHARS // 8 and n + 1 < len(which):
+            continue
+        logit, owner = scorer.logits([worded[j] for j in part])
         start = np.searchsorted(owner, np.arange(len(part) + 1))
-        top += [(i, int(np.argmax(logit[start[j]:start[j + 1]]))) for j, i in enumerate(part)]
+        top += [(j, int(np.argmax(logit[start[k]:start[k + 1]]))) for k, j in enumerate(part)]
+        part, words = [], 0
+    return top
+
+
+def _top_by_words(excess: np.ndarray, worded: list[list[str]], which: list[int]) -> list[tuple[int, int]]:
+    """(text, start) of the window of each text with the most excess of its words."""
+    top = []
+    for i in which:
+        word = word_features(worded[i])[0]
+        total = np.cumsum(np.r_[0.0, np.maximum(excess[word], 0) ** 2])
+        n = min(LENGTH, len(word))
+        top.append((i, int(np.argmax(total[n:] - total[:len(total) - n]))))
     return top
 
 
-def train(texts: list[str], labels: list[int], seed: int = 11) -> Network | None:
-    """A network from whole-text labels; None without both kinds."""
-    y = np.array(labels)
-    worded = [words_of(t) for t in texts]
-    ok = [i for i, ws in enumerate(worded) if ws]
-    if not ok or len({int(y[i]) for i in ok}) < 2:
+def slot_counts(sample: DataFrame) -> pd.DataFrame:
+    """Texts and toxic texts of the sample by hashed slot: at most WORDS + GRAMS rows."""
+    def slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for text, y in zip(pdf["text"], pdf["_y"]):
+                words = sorted(set(words_of(text)))
+                if words:
+                    word, grams, _ = word_features(words)
+                    both = np.unique(word), np.unique(grams)
+                    yield pd.DataFrame({"kind": np.repeat(["word", "gram"], [len(b) for b in both]),
+                                        "slot": np.concatenate(both), "y": int(y)})
+    rows = sample.mapInPandas(slots, "kind string, slot long, y long")
+    return rows.groupBy("kind", "slot").agg(F.count("*").alias("n"), F.sum("y").alias("toxic")).toPandas()
+
+
+def slot_excess(counts: pd.DataFrame, share: float) -> dict[str, np.ndarray]:
+    """How far a slot's toxic texts exceed ``share`` of its texts, in thirds of
+    standard deviations between -1 and 1. One text of each slot is left out:
+    what a single toxic text holds says nothing of others."""
+    out = {"word": np.zeros(WORDS, np.float32), "gram": np.zeros(GRAMS, np.float32)}
+    for kind, c in counts.groupby("kind"):
+        n, toxic = c["n"].to_numpy() - 1, np.maximum(c["toxic"].to_numpy() - 1, 0)
+        z = (toxic - share * n) / np.sqrt(share * (1 - share) * n + 0.5)
+        out[kind][c["slot"].to_numpy()] = np.clip(z / 3, -1, 1)
+    return out
+
+
+def pick_windows(sample: DataFrame, weights: dict[str, np.ndarray] | None, excess: np.ndarray, turn: int) -> pd.DataFrame:
+    """Training windows (_id, other, _y, words) of a round, from all windows
+    of the sample's texts: at most two of LENGTH words a text. The random ones
+    hang on the id and the round, so a task that runs again picks the same."""
+    sc = sample.sparkSession.sparkContext
+    held = sc.broadcast((weights, excess))  # plain arrays of fixed size
+
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, by_word = held.value
+        for pdf in batches:
+            for a, part in _slices(pdf["text"].tolist()):
+                worded = [words_of(t) for t in part]
+                ids, y = pdf["_id"].iloc[a:a + len(part)].tolist(), pdf["_y"].iloc[a:a + len(part)].tolist()
+                which = [i for i, ws in enumerate(worded) if ws]
+                top = _top_by_words(by_word, worded, which) if known is None else \
+                    _top_windows(Network.of(known), worded, which)
+                rows = [(ids[i], 0, y[i], worded[i][k:k + LENGTH]) for i, k in top]
+                for i in which:
+                    rng = np.random.default_rng([SEED, turn, zlib.crc32(str(ids[i]).encode())])
+                    if y[i] == 0 and (turn == 0 or rng.random() < 0.5):
+                        k = int(rng.integers(max(1, len(worded[i]) - LENGTH + 1)))
+                        rows.append((ids[i], 1, 0, worded[i][k:k + LENGTH]))
+                yield pd.DataFrame(rows, columns=["_id", "other", "_y", "words"])
+    schema = f"_id {sample.schema['_id'].dataType.simpleString()}, other int, _y int, words array<string>"
+    got = sample.mapInPandas(pick, schema).toPandas()
+    held.destroy()
+    return got.sort_values(["_id", "other"]).reset_index(drop=True)
+
+
+def train(sample: DataFrame, seed: int = SEED) -> Network | None:
+    """A network from whole-text labels (_id, _y, text); None without both kinds."""
+    kinds = dict(sample.filter(F.col("text").rlike(r"(?U)\w")).groupBy("_y").count().collect())
+    if len(kinds) < 2:
         return None
+    excess = slot_excess(slot_counts(sample), kinds[1] / (kinds[0] + kinds[1]))
     rng, net = np.random.default_rng(seed), Network()
-    count = {i: len(windows_of(len(worded[i]))) for i in ok}
-    for epoch in range(EPOCHS):
-        if epoch == 0:  # nothing is known yet: any window may be the toxic one
-            chosen = [(i, int(k)) for i in ok for k in rng.choice(count[i], min(3, count[i]), replace=False)]
-        else:
-            chosen = _top_windows(net, worded, ok)
-            others = [(int(i), int(rng.integers(count[int(i)]))) for i in rng.permutation(ok)[:len(ok) // 2]]
-            chosen += [(i, k) for i, k in others if y[i] == 0]
-        chosen = [chosen[j] for j in rng.permutation(len(chosen))]
-        for a in range(0, len(chosen), BATCH):
-            part = chosen[a:a + BATCH]
-            net.step([worded[i][k:k + LENGTH] for i, k in part], y[[i for i, _ in part]].astype(np.float32))
+    net.start_from(excess)
+    for turn in range(ROUNDS):
+        chosen = pick_windows(sample, net.p if turn else None, excess["word"], turn)
+        words, y = chosen["words"].tolist(), chosen["_y"].to_numpy(np.float32)
+        for _ in range(max(1, -(-STEPS * BATCH // len(y)))):
+            order = rng.permutation(len(y))
+            for a in range(0, len(y), BATCH):
+                part = order[a:a + BATCH]
+                net.step([[w for w in words[i] if rng.random() >= DROP] or list(words[i][:1]) for i in part], y[part])
     net.m = net.s = {}
     return net
 
@@ -348,18 +443,18 @@ def score_column(spark, net: Network | None, text: Column) -> Column:
     if net is None:
         return F.lit(0.0)
     bounded_batches(spark)
-    held = spark.sparkContext.broadcast(net)  # fixed size, see the module's head
+    held = spark.sparkContext.broadcast(net.p)  # plain arrays of fixed size, see the module's head
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(held.value)
+        scorer = Scorer(Network.of(held.value))
         for part in batches:
             yield pd.Series(scorer.scores(part.tolist()))
     return score(text)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, label: str) -> pd.DataFrame:
-    """The bounded sample: texts and labels of the rows with the least id hashes."""
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, label: str) -> DataFrame:
+    """The bounded sample, one row an id: id, label and text of the ids with the least hashes."""
     marked = (labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label}`").cast("int").alias("_y"))
               .filter("_id is not null and _y in (0, 1)").groupBy("_id").agg(F.max("_y").alias("_y")))
     ids = docs.select(F.col(f"`{id_col}`").alias("_id")).join(marked, "_id").distinct()
@@ -367,18 +462,21 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, la
              for y, n in ((1, MAX_TOXIC), (0, MAX_CLEAN))]
     sample = least[0].unionByName(least[1])
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("text"))
-    got = sized_join(rows, sample, ["_id"], rows=MAX_TOXIC + MAX_CLEAN).toPandas()
-    return got.drop_duplicates("_id").sort_values("_id")
+    texts = (sized_join(rows, sample, ["_id"], rows=MAX_TOXIC + MAX_CLEAN)
+             .groupBy("_id", "_y").agg(F.coalesce(F.min("text"), F.lit("")).alias("text")))
+    return cut(texts.repartition(PARTS, "_id"), "toxicity-sample")
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text",
              label: str = "toxic", train_on: Column | None = None, threshold: float = 0.7) -> DataFrame:
     """``docs`` with score and predicted (columns of these names are replaced).
     ``train_on``: condition on the rows whose labels may be learnt."""
+    bounded_batches(docs.sparkSession)
     known = docs if train_on is None else docs.filter(train_on)
     docs, restore = shield(docs, [text])
     sample = training_rows(known, labels, id_col, text, label)
-    net = train(sample["text"].tolist(), sample["_y"].tolist())
+    net = train(sample)
+    release(sample)
     judged = (docs.withColumn("score", score_column(docs.sparkSession, net, F.col(f"`{text}`")))
               .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
     return restore(judged, "score", "predicted")
