@@ -16,7 +16,11 @@ judges it.
 Defined results: null and empty texts have no findings; repeated rows have
 each their own; without labelled findings of both kinds the labels decide, and
 the unlabelled are none;
-texts without words give an empty dictionary, and all coverage is 0.
+texts without words give an empty dictionary, and all coverage is 0; words that
+no text but the value's own holds don't cover it (a secret isn't its own
+dictionary; one that another text repeats can be), nor do words of over
+``LONGEST`` letters; values of any length are whole candidates; a key block
+without its end takes the lines of its body.
 """
 
 from __future__ import annotations
@@ -39,7 +43,8 @@ from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, bounded
 
 MAX_TRUE, MAX_FALSE = 4000, 12000  #: labelled findings to fit on (least hashes)
 LETTERS = 26                       #: a word is known if it is likelier than random letters
-MAX_NEIGHBOURS = 2000              #: neighbouring words with a weight
+LONGEST = 64                       #: letters of the longest dictionary word
+PIECES = 50_000                    #: pieces of values that a task holds at a time
 TREES, DEPTH = 30, 8
 
 # fixed values: names that introduce a secret
@@ -61,6 +66,7 @@ _NAMED = re.compile(r"(?i)((?:" + NAMED + r")[\w.\-]{0,40})[\"']?[ \t]*(?:=>|:=|
                     r"(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"']\S*))")
 _CANDIDATE = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----|[A-Za-z0-9+/_.\-]+[=:]?[A-Za-z0-9+/_.=\-]{12,}")
 _ASSIGNED = re.compile(r"^([A-Za-z_][A-Za-z_\-]{1,30})[=:](.{8,})$")
+_BODY = re.compile(r"(?:\s+[A-Za-z0-9+/=]{16,}(?=\s|$))*(?:\s+[A-Za-z0-9+/]+={1,2}(?=\s|$))?")
 _BEFORE = re.compile(r"(\w+)\W*$")
 _AFTER = re.compile(r"^\W*(\w+)")
 #: words, capitals or abbreviations between marks: no mixed case inside a part
@@ -96,6 +102,12 @@ class Words:
             pairs[self._slot(pair[0]), self._slot(pair[1])] += c
         self.pairs = np.log(pairs / pairs.sum(1, keepdims=True)).tolist()
 
+    @classmethod
+    def of(cls, pairs: list[list[float]]) -> "Words":
+        words = cls.__new__(cls)
+        words.pairs = pairs
+        return words
+
     @staticmethod
     def _slot(ch: str) -> int:
         return ord(ch) - 96 if "a" <= ch <= "z" else 0
@@ -105,10 +117,12 @@ class Words:
         return sum(self.pairs[a][b] for a, b in zip(s, s[1:])) / max(1, len(s) - 1)
 
 
-def pieces(low: str, longest: int) -> set[str]:
-    """All parts of three letters or more of a value's runs of letters."""
-    return {run[i:i + n] for run in _LETTERS.findall(low) for i in range(len(run) - 2)
-            for n in range(3, min(longest, len(run) - i) + 1)}
+def pieces(low: str, longest: int) -> Iterator[str]:
+    """Parts of three letters or more of a value's runs of letters."""
+    for run in _LETTERS.findall(low):
+        for i in range(len(run) - 2):
+            for n in range(3, min(longest, len(run) - i) + 1):
+                yield run[i:i + n]
 
 
 def coverage(low: str, known: set[str]) -> float:
@@ -165,8 +179,11 @@ def find(text: str, words: Words) -> Iterator[tuple]:
         s, e = m.span()
         value, key = m.group(), ""
         if value.startswith("-----BEGIN"):
-            stop = text.find("-----END", e)
-            stop = text.find("-----", stop + 8) + 5 if stop >= 0 else e
+            stop, other = text.find("-----END", e), text.find("-----BEGIN", e)
+            if stop < 0 or 0 <= other < stop:
+                stop = _BODY.match(text, e).end()
+            else:
+                stop = text.find("-----", stop + 8) + 5
             yield s, max(e, stop), "block", value, "", "", "", describe(value, "", False, words)
             continue
         value = value.rstrip(".-")
@@ -190,40 +207,60 @@ def find(text: str, words: Words) -> Iterator[tuple]:
 
 
 def learn_words(docs: DataFrame, text: str = "text") -> tuple[Words, DataFrame]:
-    """Letter pair weights and the dictionary (w), from all texts. Words are
-    runs of letters of any script between other characters; the dictionary has
-    those of three letters or more whose share of all words is above that of a
-    random string of their length, which holds alike at every size."""
-    t = F.lower(F.col(f"`{text}`"))
-    counts = cut(docs.select(F.explode(F.split(t, r"[^\p{L}\p{M}\p{N}_]+")).alias("w"))
-                 .filter(F.col("w").rlike(r"^[\p{L}\p{M}]{2,}$")).groupBy("w").agg(F.count("*").alias("c")), "words")
+    """Letter pair weights and the dictionary (w, only), from all texts. Words
+    are runs of letters of any script between other characters; the dictionary
+    has those of three letters or more whose share of all words is above that of
+    a random string of their length, which holds alike at every size. ``only``
+    is the digest of the text that alone holds a word, else null."""
+    t, body = F.lower(F.col(f"`{text}`")), F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    first, last = F.min("t1"), F.max("t1")
+    counts = cut(docs.select(F.xxhash64(body).alias("t1"), F.explode(F.split(t, r"[^\p{L}\p{M}\p{N}_]+")).alias("w"))
+                 .filter(F.col("w").rlike(r"^[\p{L}\p{M}]{2,}$")).groupBy("w")
+                 .agg(F.count("*").alias("c"), F.when(first == last, first).alias("only")), "words")
     pairs = F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, F.lit(2)))
     pair = F.regexp_replace("pair", "[^a-z]", "`")
     table = (counts.select(F.explode(pairs).alias("pair"), "c").groupBy(pair.alias("pair"))
              .agg(F.sum("c").alias("c")).collect())  # at most 27 x 27 rows
     total = counts.agg(F.sum("c")).first()[0] or 0
     n = F.length("w")
-    known = counts.filter((n >= 3) & (F.col("c") > total * F.pow(F.lit(float(LETTERS)), -n))).select("w")
+    known = (counts.filter(n.between(3, LONGEST) & (F.col("c") > total * F.pow(F.lit(float(LETTERS)), -n)))
+             .select("w", "only"))
     return Words([(r[0], r[1]) for r in table]), known
 
 
 def covered(found: DataFrame, known: DataFrame) -> DataFrame:
     """``found`` with coverage: the pieces of all distinct values meet the whole
-    dictionary in a join, broadcast only behind a count of its rows."""
+    dictionary in a join, broadcast only behind a count of its rows. Pieces move
+    without their value, some at a time, so that a very long value fits.
+    Without a column t1 (its text's digest) no text is a value's own."""
     longest = known.agg(F.max(F.length("w"))).first()[0] or 0
     keyed = found.withColumns(dict(zip(("v1", "v2"), text_digest(F.lower("value")))))
+    text = F.col("t1") if "t1" in found.columns else F.lit(None).cast("long")
 
-    @F.pandas_udf("array<string>")
-    def cut_up(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: sorted(pieces(v, longest)))
+    def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["v1", "v2", "own", "w"]
+        for pdf in batches:
+            rows: list[tuple] = []
+            for v1, v2, own, low in zip(pdf["v1"], pdf["v2"], pdf["own"].astype("object"), pdf["low"]):
+                seen: set[str] = set()
+                for w in pieces(low, longest):
+                    seen.add(w)
+                    if len(rows) + len(seen) >= PIECES:
+                        yield pd.DataFrame(rows + [(v1, v2, own, w) for w in seen], columns=names)
+                        rows, seen = [], set()
+                rows += [(v1, v2, own, w) for w in seen]
+            yield pd.DataFrame(rows, columns=names)
 
     @F.pandas_udf("double")
     def share(values: pd.Series, words: pd.Series) -> pd.Series:
         return pd.Series([coverage(v, set(w)) for v, w in zip(values, words)], dtype="float64")
-    values = keyed.groupBy("v1", "v2").agg(F.first(F.lower("value")).alias("low"))
-    parts = values.select("v1", "v2", "low", F.explode(cut_up("low")).alias("w"))
-    hits = sized_join(parts, known, ["w"]).groupBy("v1", "v2").agg(F.first("low").alias("low"), F.collect_list("w").alias("ws"))
-    shares = cut(hits.select("v1", "v2", share("low", "ws").alias("coverage")), "coverage")
+    values = cut(keyed.withColumn("_text", text).groupBy("v1", "v2").agg(
+        F.first(F.lower("value")).alias("low"),
+        F.coalesce(F.when(F.min("_text") == F.max("_text"), F.hex(F.min("_text"))), F.lit("")).alias("own")), "values")
+    parts = values.mapInPandas(cut_up, "v1 long, v2 long, own string, w string")
+    hits = (sized_join(parts, known, ["w"]).filter("only is null or hex(only) != own")
+            .groupBy("v1", "v2").agg(F.collect_set("w").alias("ws")))
+    shares = cut(values.join(hits, ["v1", "v2"]).select("v1", "v2", share("low", "ws").alias("coverage")), "coverage")
     return sized_join(keyed, shares, ["v1", "v2"], "left").fillna({"coverage": 0.0}).drop("v1", "v2")
 
 
@@ -231,7 +268,7 @@ def candidates(docs: DataFrame, words: Words, id_col: str = "doc_id", text: str
     """One row per candidate: id, t1, t2 (text digest), start, end, kind,
     value, key, before, after and the features but coverage."""
     bounded_batches(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(words)  # 27 x 27 weights
+    held = docs.sparkSession.sparkContext.broadcast(words.pairs)  # 27 x 27 numbers
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(t).alias("t1"),
                       F.xxhash64(F.lit("second"), t).alias("t2"), t.alias("text"))
@@ -241,7 +278,7 @@ def candidates(docs: DataFrame, words: Words, id_col: str = "doc_id", text: str
     names = [f.name for f in fields]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = held.value
+        known = Words.of(held.value)
         for pdf in batches:
             rows, at = [], []
             for i, body in enumerate(pdf["text"]):
@@ -262,8 +299,7 @@ def _neighbour_weights(sample: pd.DataFrame) -> dict[str, float]:
             all_[w] += 1
             true[w] += y
     base = sample["label"].mean()
-    top = sorted(all_.items(), key=lambda x: (-x[1], x[0]))[:MAX_NEIGHBOURS]
-    return {w: math.log((true[w] + 2 * base) / (n - true[w] + 2 * (1 - base))) for w, n in top}
+    return {w: math.log((true[w] + 2 * base) / (n - true[w] + 2 * (1 - base))) for w, n in sorted(all_.items())}
 
 
 def judge(found: DataFrame, label: Column) -> DataFrame:
@@ -278,7 +314,7 @@ def judge(found: DataFrame, label: Column) -> DataFrame:
         score = F.coalesce(F.col("label").cast("double"), F.lit(0.0))
         return found.withColumn("score", score).withColumn("secret", score == 1)
     weights = _neighbour_weights(sample)
-    near = spark.createDataFrame(list(weights.items()), "word string, weight double")  # MAX_NEIGHBOURS rows
+    near = spark.createDataFrame(list(weights.items()), "word string, weight double")  # two words of 40 characters a sampled row
 
     def weighted(df: DataFrame) -> DataFrame:
         for side in ("before", "after"):
