@@ -11,23 +11,56 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, StructType, TimestampNTZType, TimestampType
 
 from demandops.functions.numeric import exact_mean
 from demandops.functions.joins import lookup_join
 from demandops.functions.stats import group_median
 from demandops.operators.quality import DATE_KEY
+from demandops.sources.io import materialize
+from demandops.sources.tables import fits_broadcast
 
 FLAG_COLUMNS = ("on_promo", "discount_pct", "holiday_flag", "festival_flag")
 
 
+def prune_later_rows(df: DataFrame, keys: Sequence[str] = DATE_KEY, order: str = "ingest_order") -> DataFrame:
+    """Rows of ``df`` that can be the first of their key: all that share the
+    least leading part of the order (its first field if it is a struct).
+
+    The least part of every key is a hash aggregate over the keys and one
+    column, combined map-side; the rows then meet it in a broadcast
+    semi-join, so no later row is sorted or shuffled.  Where the keys are too
+    many for a broadcast (measured), or the leading part is no number or
+    date, ``df`` comes back as it is.  The keys' job runs while the plan is
+    built."""
+    kind = df.schema[order].dataType
+    nested = isinstance(kind, StructType)
+    lead = F.col(order)[kind.names[0]] if nested else F.col(order)
+    if not isinstance(kind[0].dataType if nested else kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        return df
+    # a struct whose first field is NULL comes before all others
+    before = (F.col(order).isNotNull() & lead.isNull()) if nested else F.lit(False)
+    least = F.when(~F.max("_before"), F.min("_lead"))
+    firsts = materialize(df.select(*keys, lead.alias("_lead"), before.alias("_before"))
+                         .groupBy(*keys).agg(least.alias("_lead")), "first_keys")
+    if not fits_broadcast(firsts):
+        return df
+    firsts = firsts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_lead")
+    same = lead.eqNullSafe(F.col("_lead"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(F.broadcast(firsts), same, "left_semi")
+
+
 def dedup_keep_first(df: DataFrame, keys: Sequence[str] = DATE_KEY,
                      order: str = "ingest_order") -> DataFrame:
     """Keep the first row per key in ingest order.
 
-    Expressed as an aggregate (``min_by`` over the ingest order) rather than
-    a ``row_number`` window: the aggregate combines map-side, so a key that
-    holds a large share of the rows never lands whole in one task.  A table
-    without the order column has no first row: that raises (``load_sales``
+    Rows that cannot be first are pruned by ``prune_later_rows``; among the
+    few left the whole order decides.  That is an aggregate (``min_by`` over
+    the ingest order) rather than a ``row_number`` window: it combines
+    map-side, so a key that holds a large share of the rows never lands whole
+    in one task, pruned or not.  A table without the order column has no first row: that raises (``load_sales``
     adds the column on request), as ordering by the values would keep the
     smallest, worst rows.  Rows of keys alone are all equal."""
     payload = [c for c in df.columns if c not in keys]
@@ -35,7 +68,8 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str] = DATE_KEY,
         return df.dropDuplicates(list(keys))
     if order not in df.columns:
         raise ValueError(f"keep-first needs the ingest order column {order!r}")
-    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), F.col(order)).alias("_row"))
+    kept = (prune_later_rows(df, keys, order).groupBy(*keys)
+            .agg(F.min_by(F.struct(*payload), F.col(order)).alias("_row")))
     return kept.select(*[F.col(c) for c in df.columns if c in keys],
                        *[F.col(f"_row.{c}").alias(c) for c in payload]).select(*df.columns)
 
@@ -121,21 +155,19 @@ def clean_sales(df: DataFrame, keys: Sequence[str] = DATE_KEY, target: str = "qt
 def clean_audit(df: DataFrame, keys: Sequence[str] = DATE_KEY, target: str = "qty_sold",
                 flag: str = "stockout_flag") -> DataFrame:
     """Rows before / after de-duplication / removed as stock-out / after /
-    removed in total - one pass: the keep-first aggregate also counts the
-    rows of each key, and one roll-up sums everything."""
+    removed in total.  Keep-first runs on the columns that decide, all rows
+    are counted by a scan without columns, and one roll-up sums everything."""
     payload = [c for c in df.columns if c not in keys]
-    order_col = F.col("ingest_order") if "ingest_order" in df.columns else F.struct(*payload)
-    kept = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*[c for c in (target, flag) if c in df.columns]), order_col).alias("_row"),
-        F.count(F.lit(1)).alias("_n"))
-    has_target = F.col(f"_row.{target}").isNotNull()
-    in_stock = (F.col(f"_row.{flag}") == 0) if flag in df.columns else F.lit(True)
+    order = F.col("ingest_order") if "ingest_order" in df.columns else F.struct(*payload)
+    named = [c for c in (target, flag) if c in df.columns]
+    kept = dedup_keep_first(df.select(*keys, *named, order.alias("ingest_order")), keys)
+    in_stock = (F.col(flag) == 0) if flag in df.columns else F.lit(True)
+    has_target = F.col(target).isNotNull()
     return kept.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows_before"),
         F.count(F.lit(1)).alias("rows_after_dedup"),
         F.count_if(has_target).alias("_after_missing"),
         F.count_if(has_target & in_stock).alias("rows_after"),
-    ).select(
+    ).withColumn("rows_before", df.agg(F.count(F.lit(1))).scalar()).select(
         "rows_before", "rows_after_dedup",
         (F.col("_after_missing") - F.col("rows_after")).alias("removed_stockout"),
         "rows_after",

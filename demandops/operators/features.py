@@ -16,11 +16,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandops import SERIES_KEYS
-from demandops.functions.joins import lookup_join, planner_broadcasts
+from demandops.functions.joins import lookup_join
 from demandops.functions.numeric import safe_div
 from demandops.functions.ranking import dense_codes
 from demandops.functions.stats import group_median
 from demandops.functions.windows import series_window, strict_rolling
+from demandops.sources.io import materialize
+from demandops.sources.tables import fits_broadcast
 
 # Fixed values (the reference's default feature set): lags, rolling windows,
 # promo windows, encoded columns, excluded columns.
@@ -151,18 +153,17 @@ def label_encode(df: DataFrame, cols: Sequence[str] = ENCODED) -> DataFrame:
     """codes 0..n-1 in sorted order of the distinct values; NULL -> -1.
 
     One aggregate collects the distinct value combinations (bounded by the
-    dimensions, not by the rows).  If the planner's static estimate of them
-    (an upper bound) is under the broadcast threshold they are ranked with
-    windows in one pass; otherwise each column is coded by
-    ``functions.ranking.dense_codes`` (no single-task step).  The codes come
-    back to the rows in one null-safe ``lookup_join``."""
+    dimensions, not by the rows), written once and measured.  Under the
+    broadcast bounds they are ranked with windows in one pass; otherwise each
+    column is coded by ``functions.ranking.dense_codes`` (no single-task
+    step).  The codes come back to the rows in one null-safe ``lookup_join``."""
     present = [c for c in cols if c in df.columns]
     if not present:
         return df
-    combos = df.select(*present).distinct()
-    if planner_broadcasts(combos):
-        # provably small (static upper bound under the broadcast threshold):
-        # rank every column in one pass of windows over the combinations
+    combos = materialize(df.select(*present).distinct(), "combinations")
+    small = fits_broadcast(combos)
+    if small:
+        # measured: rank every column in one pass of windows over the combinations
         codes = combos.withColumns({
             f"{c}_enc": F.when(F.col(c).isNull(), F.lit(-1)).otherwise(
                 F.dense_rank().over(Window.partitionBy(F.col(c).isNull()).orderBy(c)) - 1
@@ -181,7 +182,8 @@ def label_encode(df: DataFrame, cols: Sequence[str] = ENCODED) -> DataFrame:
             term = big[c].eqNullSafe(small[f"_k_{c}"])
             out = term if out is None else out & term
         return out
-    return lookup_join(df, codes, how="left", condition=cond).drop(*[f"_k_{c}" for c in present])
+    return (lookup_join(df, codes, how="left", condition=cond, checked=small)
+            .drop(*[f"_k_{c}" for c in present]))
 
 
 def drop_cold_start(df: DataFrame) -> DataFrame:

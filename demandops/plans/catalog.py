@@ -17,7 +17,7 @@ from demandops.operators import models as MD
 from demandops.operators.cleaning import clean_sales, dedup_keep_first
 from demandops.operators.forecasting import croston_forecast
 from demandops.plans.materialize import memo_artifact, memo_table
-from demandops.sources.adapter import sales_fact, sales_raw
+from demandops.sources.adapter import sales_fact, sales_raw, with_dimensions
 from demandops.sources.tables import table_path
 
 SERIES = ["store_id", "item_id"]
@@ -49,12 +49,17 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_raw(spark, sf_dir)
 
 
+def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep-first de-duplication of the line-grain input; the rows that stay
+    get their dimensions after it."""
+    kept = dedup_keep_first(sales_raw(spark, sf_dir, dimensions=False)).drop("ingest_order")
+    return with_dimensions(kept, spark)
+
+
 def raw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keep-first de-duplication of the line-grain input as a stage: bounded
-    by the (store, item, day) key space and read by two consumers (the rows
-    and the per-item medians)."""
-    return memo_table(spark, "raw_dedup", input_paths(sf_dir),
-                      lambda: dedup_keep_first(sales_raw(spark, sf_dir)).drop("ingest_order"),
+    """The first rows as a stage: bounded by the (store, item, day) key space
+    and read by two consumers (the rows and the per-item medians)."""
+    return memo_table(spark, "raw_dedup", input_paths(sf_dir), lambda: first_rows(spark, sf_dir),
                       bucket_by=SERIES, sort_by=["date"])
 
 

@@ -11,7 +11,7 @@ from demandops.functions.numeric import present
 from demandops.operators import cleaning as C
 from demandops.operators import dims as D
 from demandops.operators import quality as Q
-from demandops.plans.catalog import clean, fact, query, raw, raw_dedup
+from demandops.plans.catalog import clean, fact, first_rows, query, raw, raw_dedup
 from demandops.plans.oracle import A, festival_sql, hex_hash_sql, mean, oracle, r
 from demandops.session import stage_root
 from demandops.sources.io import load_sales, profile_sales, write_stage
@@ -227,7 +227,7 @@ def _raw_plain(spark, sf):
 
 @query("C1_dedup_keep_first")
 def c1(spark, sf):
-    return C.dedup_keep_first(raw(spark, sf)).drop("ingest_order")
+    return first_rows(spark, sf)
 
 
 oracle("C1_dedup_keep_first", "SELECT * FROM raw_dedup", "raw_dedup")

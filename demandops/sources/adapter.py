@@ -151,11 +151,13 @@ def sales_fact(spark: SparkSession, sf_dir: str, grain: str = "region_type") ->
     return _attach_dimensions(daily, spark, grain).select(*FACT_COLUMNS)
 
 
-def sales_raw(spark: SparkSession, sf_dir: str, grain: str = "region_type") -> DataFrame:
+def sales_raw(spark: SparkSession, sf_dir: str, grain: str = "region_type", dimensions: bool = True) -> DataFrame:
     """Line-grain fact with injected defects and an explicit ingest order.
 
     ``ingest_order`` is a struct of the line's natural key; it totally orders
-    the rows and stands in for file order in keep-first de-duplication."""
+    the rows and stands in for file order in keep-first de-duplication.
+    ``dimensions=False`` leaves out the columns that ``with_dimensions`` adds
+    from an item and a date, for callers that drop rows first."""
     lines = _lines(spark, sf_dir, grain)
     okey, pkey = F.col("l_orderkey"), F.col("l_partkey")
     qty = F.col("l_quantity").cast("bigint")
@@ -172,4 +174,11 @@ def sales_raw(spark: SparkSession, sf_dir: str, grain: str = "region_type") -> D
         F.when(okey % STOCKOUT_MODULUS == 0, 1).otherwise(0).cast("int").alias("stockout_flag"),
         F.struct(*INGEST_ORDER).alias("ingest_order"),
     )
-    return _attach_dimensions(raw, spark, grain).select(*FACT_COLUMNS, "ingest_order")
+    return with_dimensions(raw, spark, grain) if dimensions else raw
+
+
+def with_dimensions(df: DataFrame, spark: SparkSession, grain: str = "region_type") -> DataFrame:
+    """Sales rows with their product, cost and calendar columns; what else
+    ``df`` has stays behind the fact's columns."""
+    more = [c for c in df.columns if c not in FACT_COLUMNS]
+    return _attach_dimensions(df, spark, grain).select(*FACT_COLUMNS, *more)

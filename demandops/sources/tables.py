@@ -7,17 +7,21 @@ so callers just ``select``/``filter`` what they need.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from demandops.sources.fs import fingerprint
 
-# A lookup side is broadcast only when its row count is below this bound;
-# beyond it the join stays a shuffle join (and AQE may still convert it at
-# runtime from measured sizes).  Overridable per session.
+# A lookup side is broadcast only when its measured rows and bytes are below
+# these bounds; beyond them the join stays a shuffle join (and AQE may still
+# convert it at runtime from measured sizes).  Overridable per session.
 BROADCAST_ROWS_CONF = "demandops.broadcast.maxRows"
 DEFAULT_BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES_CONF = "demandops.broadcast.maxBytes"
+DEFAULT_BROADCAST_BYTES = 128 << 20
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -28,26 +32,49 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-_ROW_COUNTS: dict[tuple, int] = {}
+_MEASURED: dict[tuple, int] = {}
 
 
-def _row_count(df: DataFrame) -> int:
-    """Row count of a plain scan (+ projection), memoised per unchanged
-    input files so repeated plan building does not re-run the job."""
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row as Spark holds it, not as a file encodes it: eight a
+    column and for the row, what strings hold, and for nested values eight
+    times their JSON text (an upper bound)."""
+    size = F.lit(8 * (len(df.columns) + 1))
+    for f in df.schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            text = F.to_json(F.struct(c), {"ignoreNullFields": "false"})
+            size = size + F.lit(8) * F.octet_length(text)
+    return size.cast("bigint")
+
+
+def _measure(df: DataFrame, what: str, measure: Callable[[], int]) -> int:
+    """A measure of a plain scan (+ projection), memoised per unchanged input
+    files and columns so repeated plan building does not re-run the job."""
     stamp = fingerprint(df.sparkSession, sorted({os.path.dirname(f) for f in df.inputFiles()}))
     if stamp is None:
-        return df.count()
-    if stamp not in _ROW_COUNTS:
-        _ROW_COUNTS[stamp] = df.count()
-    return _ROW_COUNTS[stamp]
+        return measure()
+    key = (what, stamp, tuple(df.columns) if what == "bytes" else ())
+    if key not in _MEASURED:
+        _MEASURED[key] = measure()
+    return _MEASURED[key]
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """Size check for a lookup side that is a plain scan + projection of a
-    dimension table: its row count against the session's bound."""
+    table: its rows, counted first (from the files' footers), then the bytes
+    of these bounded rows, against the session's bounds.  The planner's
+    estimate is no such check: it comes from file sizes, and a repetitive
+    table takes a small part of its real size there."""
+    conf = df.sparkSession.conf
     if max_rows is None:
-        max_rows = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
-    return _row_count(df) <= max_rows
+        max_rows = int(conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
+    if _measure(df, "rows", df.count) > max_rows:
+        return False
+    size = lambda: df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0]
+    return _measure(df, "bytes", size) <= int(conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_BROADCAST_BYTES)))
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:

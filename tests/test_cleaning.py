@@ -113,3 +113,36 @@ def test_load_sales_gives_the_ingest_order(spark, tmp_path):
         path = write_stage(df, str(tmp_path), fmt, fmt=fmt)
         kept = C.dedup_keep_first(load_sales(spark, path, fmt=fmt, ingest_order=True)).collect()
         assert [r.qty_sold for r in kept] == [10]
+
+
+def test_pruning_keeps_what_the_whole_order_needs(spark):
+    """Struct orders: ties on the leading field, a NULL leading field (first),
+    a NULL order (never first), against ``min_by`` over all rows."""
+    rows = [("a", 2, 1, 10), ("a", 1, 9, 11), ("a", 1, 3, 12), ("a", 5, 0, 13),
+            ("b", 4, 1, 20), ("b", None, 7, 21), ("b", None, 6, 22),
+            (None, 3, 1, 30), (None, 3, 0, 31), ("c", 8, 8, 40)]
+    df = spark.createDataFrame(rows, "k string, o1 int, o2 int, v int").select(
+        "k", "v", F.when(F.col("v") != 13, F.struct("o1", "o2")).alias("ingest_order"))
+    want = {r.k: r.v for r in df.groupBy("k").agg(F.min_by("v", "ingest_order").alias("v")).collect()}
+    assert want == {"a": 12, "b": 22, None: 31, "c": 40}
+    assert {r.k: r.v for r in C.dedup_keep_first(df, ["k"]).collect()} == want
+    assert sorted(r.v for r in C.prune_later_rows(df, ["k"]).collect()) == [11, 12, 21, 22, 30, 31, 40]
+    try:
+        spark.conf.set("demandops.broadcast.maxRows", "2")      # more keys than a broadcast may hold
+        assert C.prune_later_rows(df, ["k"]).count() == len(rows)
+        assert {r.k: r.v for r in C.dedup_keep_first(df, ["k"]).collect()} == want
+    finally:
+        spark.conf.unset("demandops.broadcast.maxRows")
+    empty = df.limit(0)
+    assert C.dedup_keep_first(empty, ["k"]).count() == 0
+
+
+def test_pruning_aggregates_by_hash(spark):
+    from demandops.sources.adapter import sales_raw
+    from tests.conftest import SF_SMALL
+    raw = sales_raw(spark, SF_SMALL, dimensions=False)
+    kept, rows = C.prune_later_rows(raw).count(), raw.count()
+    keys = raw.select("date", "store_id", "item_id").distinct().count()
+    assert keys <= kept < rows
+    plan = C.prune_later_rows(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortAggregate" not in plan and "SortMergeJoin" not in plan

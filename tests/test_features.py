@@ -91,10 +91,9 @@ def test_dense_codes_distributed_path(spark):
     from demandops.functions.ranking import dense_codes
     df = spark.range(0, 3000).select((F.col("id") * 7919 % 1009).cast("string").alias("v"))
     exp = {v: i for i, v in enumerate(sorted({str(i * 7919 % 1009) for i in range(3000)}))}
-    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the range path
+        spark.conf.set("demandops.broadcast.maxRows", "0")   # force the range path
         got = {r.v: r.c for r in dense_codes(df, "v", "c", ranges=5).collect()}
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+        spark.conf.unset("demandops.broadcast.maxRows")
     assert got == exp

@@ -35,3 +35,31 @@ def test_small_lookup_is_broadcast(spark):
     out = lookup_join(big, lookup, ["k"], "left")
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == 1000
+
+
+def test_a_repetitive_lookup_is_measured_by_its_rows(spark):
+    """2,000,000 rows that a file holds in a few MB: the planner's estimate is
+    under its threshold, the rows are not."""
+    from demandops.sources.io import materialize
+    from demandops.sources.tables import fits_broadcast
+    lookup = materialize(spark.range(2_000_000).select(
+        F.floor(F.col("id") / 4).alias("k"), F.lit("x" * 200).alias("text")), "repetitive")
+    estimate = int(str(lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(2 * estimate))
+        assert estimate < 40_000_000 and not fits_broadcast(lookup)
+        big = spark.range(10).withColumnRenamed("id", "k")
+        plain = big.join(lookup, "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plain                 # what the estimate alone leads to
+        plan = lookup_join(big, lookup, ["k"], "left", buckets=4)._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan and "_salt" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+
+
+def test_row_bytes_count_nested_values(spark):
+    from demandops.sources.tables import row_bytes
+    df = spark.sql("SELECT 1 AS a, 'four' AS b, array(1L, 2L, 3L) AS c UNION ALL SELECT NULL, NULL, NULL")
+    got = sorted(r[0] for r in df.select(row_bytes(df)).collect())
+    assert got[0] >= 8 * 4 and got[1] >= 8 * 4 + 4 + 24
