@@ -98,6 +98,16 @@ def shield(df: DataFrame, needed: Sequence[str]) -> tuple[DataFrame, Callable[..
     return df.toDF(*now), restore
 
 
+def aside(keep: Sequence[str], results: Sequence[str]) -> tuple[list[Column], list[Column]]:
+    """The columns ``keep`` of a table under names that no operator uses, and
+    the same columns back under their own. One named like a column of the
+    ``results`` is left out, as the result replaces it."""
+    taken = {c.lower() for c in results}
+    named = [c for c in keep if c.lower() not in taken]
+    return ([F.col(f"`{c}`").alias(f"_kept{i}") for i, c in enumerate(named)],
+            [F.col(f"_kept{i}").alias(c) for i, c in enumerate(named)])
+
+
 def drop_texts(docs: DataFrame, keys: DataFrame, text: str) -> DataFrame:
     """Rows of ``docs`` whose text digest is not in ``keys`` (t1, t2). A
     fixed-size filter keeps all other texts out of the exact anti join."""

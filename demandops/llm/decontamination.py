@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, cut, drop_texts, sized_join
+from demandops.llm.common import aside, bloom_blocks, bloom_build, bloom_probe, cut, drop_texts, sized_join
 from demandops.llm.url_filter import LOWER, UPPER
 
 SPAN, K = 10, 5          #: guaranteed span and k-gram, in words
@@ -176,7 +176,8 @@ def merged(spans: Column) -> Column:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = ("doc_id",),
                   text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """``keep`` columns, n_words, spans (disjoint hit word spans), n_hit, items
-    (ids as sorted strings) and contaminated, for every row of ``docs``."""
+    (ids as sorted strings) and contaminated, for every row of ``docs``; a kept
+    column named like a result column is replaced by it."""
     spans, items = find_spans(docs, benchmark, text, item, item_text)
     per_text = (spans.groupBy("_t1", "_t2")
                 .agg(F.collect_set(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))).alias("_s"))
@@ -185,14 +186,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = (
                       .agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("items")),
                       ["_t1", "_t2"]))
     t = F.col(f"`{text}`")
-    base = docs.select(*[F.col(f"`{c}`") for c in keep], *digest(t),
+    results = ["n_words", "spans", "items", "n_hit", "contaminated"]
+    kept, back = aside(keep, results)
+    base = docs.select(*kept, *digest(t),
                        F.size(words_of(t)).cast("long").alias("n_words"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["start"]))
     return (base.join(per_text, ["_t1", "_t2"], "left").drop("_t1", "_t2")
             .withColumn("n_hit", F.coalesce(n_hit, F.lit(0).cast("long")))
             .withColumn("spans", F.coalesce("spans", F.expr("cast(array() as array<struct<start:int,end:int>>)")))
             .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
-            .withColumn("contaminated", F.col("n_hit") > 0))
+            .withColumn("contaminated", F.col("n_hit") > 0)
+            .select(*back, *results))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe, bounded_batches, cut, release
+from demandops.llm.common import aside, bloom_blocks, bloom_build, bloom_probe, bounded_batches, cut, release
 
 LENGTH = 200             #: bytes of a repeated string
 Q = 100                  #: bytes of an initial bucket
@@ -274,7 +274,8 @@ def repeated_starts(texts: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns, n_bytes, n_removed, n_spans, kept_sha256 and removed
-    (byte spans) of every row."""
+    (byte spans) of every row; a kept column named like a result column is
+    replaced by it."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     digest = [F.xxhash64(t).alias("t1"), F.xxhash64(F.lit("second"), t).alias("t2")]
     texts = docs.select(*digest, t.alias("text"))
@@ -286,14 +287,15 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str
                .mapInArrow(_cut_rows, "t1 long, t2 long, n_removed long, n_spans long, kept_sha256 string, "
                                       "removed array<struct<start:long,end:long>>"), "removed")
     release(starts)
-    base = docs.select(*[F.col(f"`{c}`") for c in keep], *digest, F.octet_length(t).cast("long").alias("n_bytes"),
+    kept, back = aside(keep, ["n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])
+    base = docs.select(*kept, *digest, F.octet_length(t).cast("long").alias("n_bytes"),
                        F.sha2(t, 256).alias("_sha"))
     out = (base.join(done, ["t1", "t2"], "left")
            .join(copies.withColumn("_copy", F.lit(True)), ["t1", "t2"], "left"))
     gone = F.coalesce("_copy", F.lit(False)) & (F.col("n_bytes") >= LENGTH)
     zero = F.lit(0).cast("long")
     return out.select(
-        *[F.col(f"`{c}`") for c in keep], "n_bytes",
+        *back, "n_bytes",
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
         F.when(gone, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", zero)).alias("n_spans"),
         F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "_sha")).alias("kept_sha256"),

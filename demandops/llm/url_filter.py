@@ -8,7 +8,7 @@ the list itself is never broadcast or collected.
 Defined results: a null url, or one without ``://``, has an empty host and
 path, no canonical form and is never listed; repeated rows are judged row by
 row; an empty list lists nothing; extra columns are ignored unless named in
-``keep``.
+``keep``, where one named like a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandops.llm.common import bloom_blocks, bloom_build, bloom_probe
+from demandops.llm.common import aside, bloom_blocks, bloom_build, bloom_probe
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -96,11 +96,14 @@ def filter_urls(pages: DataFrame, listing: DataFrame, rules: Sequence[Rule], url
     rule, listed, verdict (the longest fitting rule's, else ``block`` for a
     listed URL and ``allow`` for any other). ``listing``: one column of URLs."""
     u = F.col(f"`{url}`")
-    judged = pages.select(*[F.col(f"`{c}`") for c in keep], host_of(u).alias("host"),
+    results = ["host", "path", "canonical", "listed", "rule", "verdict"]
+    kept, back = aside(keep, results)
+    judged = pages.select(*kept, host_of(u).alias("host"),
                           path_of(u).alias("path"), canonical_of(u).alias("canonical"))
     listed = listing.select(canonical_of(F.col(listing.columns[0])).alias("canonical"))
     rule, act = matching_rule(F.col("host"), F.col("path"), rules)
     return (listed_flag(judged, listed, "canonical")
             .withColumn("rule", rule)
             .withColumn("verdict", F.coalesce(act, F.when(F.col("listed"), F.lit("block"))
-                                              .otherwise(F.lit("allow")))))
+                                              .otherwise(F.lit("allow"))))
+            .select(*back, *results))

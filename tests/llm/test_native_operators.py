@@ -181,3 +181,30 @@ def test_long_reply_chain_by_doubling(spark):
 
 def test_sha_of_items_matches_contract():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_kept_columns_may_have_an_operator_s_names(spark):
+    """``keep`` with names of inner columns and of results: the first come
+    back as they were, the others are the result's."""
+    from demandops.llm import suffix_dedup
+    names = ["_block", "_possible", "_salt", "_t1", "_t2", "t1", "t2", "_sha", "_copy", "starts", "_s", "a.b"]
+    results = {"url": ["host", "Listed"], "spans": ["spans", "n_hit"], "bytes": ["n_bytes", "removed"]}
+    text = "one two three four five six seven eight nine ten eleven twelve " * 5
+    rows = [(1, text, "http://spam.net/a"), (2, text, "http://ok.org/es"), (3, None, None)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, url string")
+
+    def given(kind):
+        return plain.select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names + results[kind]])
+    listing = spark.createDataFrame([("http://spam.net/a",)], "u string")
+    bench = spark.createDataFrame([("i", text[:60])], "item_id string, text string")
+    runs = {"url": (lambda d, k: url_filter.filter_urls(d, listing, URL_RULES, keep=k)),
+            "spans": (lambda d, k: decontamination.decontaminate(d, bench, keep=k)),
+            "bytes": (lambda d, k: suffix_dedup.remove_repeats(d, keep=k))}
+    for kind, run in runs.items():
+        want = {r["doc_id"]: r.asDict() for r in run(plain, ["doc_id"]).collect()}
+        out = run(given(kind), ["doc_id", *names, *results[kind]])
+        assert len({c.lower() for c in out.columns}) == len(out.columns)
+        for r in out.collect():
+            r = r.asDict()
+            assert {n: r.pop(n) for n in names} == {n: f"{n}{r['doc_id']}" for n in names}, kind
+            assert r == want[r["doc_id"]], kind
