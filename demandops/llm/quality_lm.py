@@ -34,7 +34,6 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,9 +45,9 @@ PAD = "\x02"             #: stands before the first character
 HELD_OUT = 5             #: one in so many trusted texts gives the quantiles
 UPPER, LOWER = 0.99, 0.002  #: quantiles of the held-out perplexities
 MODEL_BYTES = 64 << 20   #: of a packed model (12 bytes an entry) that tasks hold
-SLICE = 400_000          #: characters worked on at a time
+SLICE = 200_000          #: characters worked on at a time
 HELD_GRAMS = 150_000     #: distinct n-grams that a counting task holds
-HELD_COSTS = 500_000     #: n-grams whose cost a scoring task remembers, per language
+COST_BITS = 19           #: a scoring task remembers the costs of 2 ** 19 n-grams, 6 MB, of all languages together
 SALTS = 16
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -207,28 +206,47 @@ def held_model(model: DataFrame) -> dict[str, dict]:
     """The packed model: of every language, (hashes, values) of each order and
     kind, and of the longest n-grams their -ln p. Its size is bounded by the
     caller."""
-    shards = (model.groupBy("lang", "order", "kind", F.pmod(F.xxhash64("gram"), F.lit(SALTS)).alias("_s"))
-              .applyInArrow(_pack, "lang string, order int, kind string, keys binary, values binary"))
-    parts: dict[tuple, list] = {}
-    for lang, order, kind, keys, values in shards.collect():
-        parts.setdefault((lang, kind, order), []).append((np.frombuffer(keys, np.uint64), np.frombuffer(values, np.float32)))
+    shards = cut(model.groupBy("lang", "order", "kind", F.pmod(F.xxhash64("gram"), F.lit(SALTS)).alias("_s"))
+                 .applyInArrow(_pack, "lang string, order int, kind string, keys binary, values binary"), "packed-model")
     out: dict[str, dict] = {}
-    for (lang, kind, order), found in parts.items():
-        keys, values = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-        by = np.argsort(keys)
-        out.setdefault(lang, {})[kind, order] = (keys[by], values[by])
+    # a partition's rows at a time, so that the driver holds the model once
+    for lang, order, kind, *packed in shards.toLocalIterator():
+        held = out.setdefault(lang, {}).setdefault((kind, order), (bytearray(), bytearray()))
+        for table, some in zip(held, packed):
+            table += some
+    release(shards)
+    for tables in out.values():
+        for k in tables:
+            keys, values = (np.frombuffer(t, d) for t, d in zip(tables[k], (np.uint64, np.float32)))
+            by = np.argsort(keys)
+            tables[k] = keys[by], values[by]
     return out
 
 
+class Costs:
+    """Costs of the n-grams that a task has met, in a table of one size for
+    texts of any number and language: an n-gram takes the place of the one
+    that had its slot."""
+
+    def __init__(self):
+        self.keys, self.cost = np.zeros(1 << COST_BITS, np.uint64), np.zeros(1 << COST_BITS, np.float32)
+        self.keys[0] = ~np.uint64(0)  # of another slot: nothing is known yet
+        self.scorers = 0
+
+    @staticmethod
+    def slots(keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - COST_BITS)).astype(np.int64)
+
+
 class Scorer:
     """-ln p of texts by a packed model of one language."""
 
-    def __init__(self, tables: dict):
-        self.tables = tables
+    def __init__(self, tables: dict, held: Costs):
+        self.tables, self.held = tables, held
         self.base = float(tables["v", 0][1][0])
-        self.known: pa.Array | None = None
-        self.cost = np.zeros(0, np.float32)
-        self.fresh: list[tuple[np.ndarray, np.ndarray]] = []
+        held.scorers += 1
+        # the same n-gram costs something else in another language
+        self.mark = np.uint64(held.scorers * int(_MUL) % (1 << 64))
 
     def _find(self, kind: str, order: int, keys: np.ndarray, default: float) -> np.ndarray:
         table, values = self.tables.get((kind, order), (np.zeros(0, np.uint64), np.zeros(0, np.float32)))
@@ -251,20 +269,18 @@ class Scorer:
         total, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         for units in _units(texts):
             codes, place, owner = _codes(units)
-            every = _hash([codes[k:len(codes) - ORDER + 1 + k] for k in range(ORDER)])[place]
-            at = pc.index_in(pa.array(every), value_set=self.known) if self.known is not None else None
-            at = at.fill_null(-1).to_numpy() if at is not None else np.full(len(every), -1)
-            cost = self.cost[np.maximum(at, 0)] if len(self.cost) else np.zeros(len(every), np.float32)
-            new = np.flatnonzero(at < 0)
-            if len(new):   # n-grams that this worker meets for the first time
+            every = _hash([codes[k:len(codes) - ORDER + 1 + k] for k in range(ORDER)])[place] ^ self.mark
+            slot = self.held.slots(every)
+            cost = self.held.cost[slot]
+            new = np.flatnonzero(self.held.keys[slot] != every)
+            if len(new):   # n-grams that are not remembered
                 keys, first, back = np.unique(every[new], return_index=True, return_inverse=True)
                 where = place[new[first]]
                 fresh = self.costs([codes[where + k] for k in range(ORDER)]).astype(np.float32)
                 cost[new] = fresh[back]
-                if len(self.cost) > HELD_COSTS:
-                    self.known, self.cost = None, np.zeros(0, np.float32)
-                self.known = pa.array(keys) if self.known is None else pa.concat_arrays([self.known, pa.array(keys)])
-                self.cost = np.concatenate([self.cost, fresh])
+                slot = self.held.slots(keys)
+                last = np.flatnonzero(np.diff(slot, append=-1))  # keys ascend: one n-gram a slot
+                self.held.keys[slot[last]], self.held.cost[slot[last]] = keys[last], fresh[last]
             total += np.bincount(owner, cost, len(texts))
             n += np.bincount(owner, minlength=len(texts))
         return total, n
@@ -275,21 +291,22 @@ def _scores_held(docs: DataFrame, held: Broadcast, key: Column, body: Column) ->
     @F.pandas_udf("struct<nll:double,n:bigint>")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         drop_kept()
-        scorers: dict[str, Scorer | None] = {}
+        costs, scorers = Costs(), {}
         for lang, text in batches:
             out = pd.DataFrame({"nll": np.nan, "n": np.zeros(len(text), np.int64)}, index=text.index)
             size = text.fillna("").str.lower().str.len()
             out["n"] = size.to_numpy()
             for k in lang[size > 0].unique():
                 if k not in scorers:
-                    scorers[k] = Scorer(held.value[k]) if k in held.value else None
+                    scorers[k] = Scorer(held.value[k], costs) if k in held.value else None
                 if scorers[k] is not None:
                     mine = (lang == k) & (size > 0)
                     total, n = scorers[k].scores(text[mine].tolist())
                     out.loc[mine, "nll"], out.loc[mine, "n"] = total / n, n
             yield out
         pa.default_memory_pool().release_unused()  # the worker lives on
-    scored = docs.withColumn("_score", score(key, body))
+    # not deterministic to Spark: a filter on the scores must not make it score every text once more below
+    scored = docs.withColumn("_score", score.asNondeterministic()(key, body))
     return (scored.withColumn("_nll", F.when(~F.isnan("_score.nll"), F.col("_score.nll")))
             .withColumn("_n", F.col("_score.n")).drop("_score"))
 

@@ -138,6 +138,30 @@ def test_quality_classifier_rejects_noise_and_keeps_text(spark):
     assert quality_lm.classify(docs, labels.limit(0)).filter("perplexity is not null").count() == 0
 
 
+def test_texts_are_scored_once_when_rejected_ones_are_left_out(spark, monkeypatch):
+    """A filter on the verdict must not score every text a second time, in a
+    second worker; costs are remembered in a table of one size, whatever the
+    number of languages and n-grams."""
+    rng = random.Random(4)
+    rows = [(i, lines(rng, lang, 60), lang) for lang in ("en", "ru") for i in range(*((0, 40) if lang == "en" else (40, 80)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(80)], "doc_id long, quality int")
+    kept = quality_lm.classify(docs, labels).filter("accepted")
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+    tables = quality_lm.held_model(quality_lm.train(docs.select("lang", "text")))
+    texts = {lang: [t for _, t, k in rows if k == lang] for lang in tables}
+    roomy = {k: quality_lm.Scorer(tables[k], quality_lm.Costs()).scores(texts[k]) for k in tables}
+    monkeypatch.setattr(quality_lm, "COST_BITS", 5)
+    small = quality_lm.Costs()
+    scorers = {k: quality_lm.Scorer(tables[k], small) for k in tables}
+    for _ in range(2):
+        for k, scorer in scorers.items():
+            (total, n), (whole, m) = scorer.scores(texts[k]), roomy[k]
+            assert (n == m).all() and total == pytest.approx(whole, rel=1e-6)
+    assert len(small.keys) == len(small.cost) == 32
+
+
 def test_network_gradients_are_right():
     rng = np.random.default_rng(0)
     net = toxicity.Network(3)
