@@ -28,6 +28,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -89,14 +90,6 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
 
-def _squash(x: np.ndarray) -> None:
-    """1 / (1 + exp(x)), in place; large ``x`` give 0 by way of infinity."""
-    with np.errstate(over="ignore"):
-        np.exp(x, out=x)
-    x += 1
-    np.reciprocal(x, out=x)
-
-
 class Network:
     """Weights, forward and backward pass; axis 0 of GRU weights: direction."""
 
@@ -161,44 +154,66 @@ class Network:
         logit = pooled @ p["out"] + p["c"][0]
         return logit if keep is None else (logit, s, u, a, pooled, mask)
 
-    def slide(self, gates: np.ndarray) -> np.ndarray:
+    def slide(self, gates: np.ndarray, room: np.ndarray | None = None) -> np.ndarray:
         """Logits of the windows at every start position of a run of words,
         given the words' gates in order: the same as ``run`` of full windows.
-        States are held as k = (h + 1) / 2, as tanh(x) = 2 sigmoid(2 x) - 1: a
-        row of ones takes up the constant, and no step scales a whole block."""
-        p, n = self.p, gates.shape[1] - LENGTH + 1
-        scale = np.repeat(np.float32([-1, -2]), [2 * HIDDEN, HIDDEN])[:, None]  # for _squash
-        g = np.ascontiguousarray(gates.transpose(0, 2, 1)) * scale
-        u = p["u"].transpose(0, 2, 1) * scale
-        u = np.concatenate([2 * u, -u.sum(2, keepdims=True)], axis=2)
-        k = np.ones((2, HIDDEN + 1, n), np.float32)
-        h = k[:, :HIDDEN]
-        h[:] = 0.5
-        gh = np.empty((2, 3 * HIDDEN, n), np.float32)
-        zr, cand = gh[:, :2 * HIDDEN], gh[:, 2 * HIDDEN:]
-        s = np.empty((LENGTH, 2 * HIDDEN, n), np.float32)  # numbers of one unit lie together
-        for t in range(LENGTH):
+        A sigmoid is half of 1 + tanh of half its input; the halves stand in
+        the weights. One product gives a state's part of the next gates and
+        of the attention, so that no states are kept. Rows are filled up to
+        whole cache lines. ``room``: ``room_for`` as many windows, to work in."""
+        p, words, h1 = self.p, gates.shape[1], HIDDEN
+        n = -(-(words - LENGTH + 1) // 16) * 16
+        sizes = self._sizes(n)
+        parts = np.split((self.room_for(n) if room is None else room)[:sum(sizes)], np.cumsum(sizes)[:-1])
+        gh, h = parts[0].reshape(2, -1, n), parts[1].reshape(2, h1, n)
+        q, g = parts[2].reshape(LENGTH, ATT + 1, n), parts[3].reshape(2, 3 * h1, -1)
+        z, r, zr, cand, seen = gh[:, :h1], gh[:, h1:2 * h1], gh[:, :2 * h1], gh[:, 2 * h1:3 * h1], gh[:, 3 * h1:]
+        np.multiply(gates.transpose(0, 2, 1), np.repeat(np.float32([0.5, 1]), [2 * h1, h1])[:, None], out=g[:, :, :words])
+        g[:, :, words:] = 0
+        w = np.concatenate([0.5 * p["u"].transpose(0, 2, 1), p["att"].reshape(2, h1, ATT).transpose(0, 2, 1),
+                            p["out"].reshape(2, 1, h1)], axis=1, dtype=np.float32)
+        bias = np.r_[p["ab"], np.float32(0)][:, None]
+        h[:] = 0
+        for t in range(LENGTH + 1):
+            np.matmul(w, h, out=gh)
+            for d, end in ((0, t - 1), (1, LENGTH - t)) if t else ():  # where the last step's states belong
+                if t <= LENGTH // 2:
+                    np.add(seen[d], bias, out=q[end])
+                else:
+                    q[end] += seen[d]
+            if t == LENGTH:
+                break
             ends = (t, LENGTH - 1 - t)
-            np.matmul(u, k, out=gh)
             for d in (0, 1):
-                zr[d] += g[d, :2 * HIDDEN, ends[d]:ends[d] + n]
-            _squash(zr)
-            cand *= zr[:, HIDDEN:]
+                zr[d] += g[d, :2 * h1, ends[d]:ends[d] + n]
+            np.tanh(zr, out=zr)
+            zr += 1
+            cand *= r
             for d in (0, 1):
-                cand[d] += g[d, 2 * HIDDEN:, ends[d]:ends[d] + n]
-            _squash(cand)
+                cand[d] += g[d, 2 * h1:, ends[d]:ends[d] + n]
+            np.tanh(cand, out=cand)
             h -= cand
-            h *= zr[:, :HIDDEN]
+            h *= z
+            h *= 0.5
             h += cand
-            for d in (0, 1):
-                s[ends[d], d * HIDDEN:(d + 1) * HIDDEN] = h[d]
-        q = (-4 * p["att"].T) @ s
-        q += (-2 * (p["ab"] - p["att"].sum(0)))[:, None]
-        _squash(q)
-        e = (2 * p["v"]) @ q                               # less a constant that the softmax ignores
-        a = np.exp(e - e.max(0))
-        a /= a.sum(0)
-        return (2 * (p["out"] @ s) * a).sum(0) - p["out"].sum() + p["c"][0]
+        u = q[:, :ATT]
+        np.tanh(u, out=u)
+        e = p["v"] @ u
+        e -= e.max(0)
+        np.exp(e, out=e)
+        total = e.sum(0)
+        e *= q[:, ATT]
+        return (e.sum(0) / total + p["c"][0])[:words - LENGTH + 1]
+
+    @staticmethod
+    def _sizes(n: int) -> list[int]:
+        return [2 * (3 * HIDDEN + ATT + 1) * n, 2 * HIDDEN * n, LENGTH * (ATT + 1) * n, 6 * HIDDEN * (n + LENGTH)]
+
+    @classmethod
+    def room_for(cls, windows: int) -> np.ndarray:
+        """Numbers that ``slide`` works in, from the start of a cache line."""
+        room = np.empty(sum(cls._sizes(-(-windows // 16) * 16)) + 16, np.float32)
+        return room[-room.ctypes.data // 4 % 16:]
 
     def step(self, words: list[list[str]], y: np.ndarray) -> float:
         """One Adam step on windows of words with labels ``y``."""
@@ -264,6 +279,7 @@ class Scorer:
 
     def __init__(self, net: Network):
         self.net = net
+        self.room = net.room_for(BLOCK)  # new pages for every block would cost more than its steps
         self.clear()
 
     def clear(self) -> None:
@@ -284,11 +300,11 @@ class Scorer:
         """(logit, text number) of every window."""
         if len(self.number) > CACHE_WORDS:
             self.clear()
-        new = list({w for ws in texts for w in ws if w not in self.number})
+        new = list(set(chain.from_iterable(texts)).difference(self.number))
         for a in range(0, len(new), 50_000):
             self._learn(new[a:a + 50_000])
         sizes = np.array([len(ws) for ws in texts])
-        flat = np.fromiter((self.number[w] for ws in texts for w in ws), np.int64, int(sizes.sum()))
+        flat = np.fromiter(map(self.number.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
         first = np.cumsum(sizes) - sizes
         per = np.where(sizes > 0, np.maximum(1, sizes - LENGTH + 1), 0)
         owner = np.repeat(np.arange(len(texts)), per)
@@ -297,12 +313,12 @@ class Scorer:
         # windows that a text fills: all start positions of a stretch of words
         # at a time, those across two texts are left out
         full = np.flatnonzero(sizes[owner] >= LENGTH)
-        at = 0
+        at, starts = 0, begin[full]
         while at < len(full):
-            a = begin[full[at]]
-            to = int(np.searchsorted(begin[full], a + BLOCK))
+            a = starts[at]
+            to = int(np.searchsorted(starts, a + BLOCK))
             mine = full[at:to]
-            logit = self.net.slide(self.gates[:, flat[a:begin[mine[-1]] + LENGTH]])
+            logit = self.net.slide(self.gates[:, flat[a:begin[mine[-1]] + LENGTH]], self.room)
             out[mine] = logit[begin[mine] - a]
             at = to
         short = np.flatnonzero(sizes[owner] < LENGTH)

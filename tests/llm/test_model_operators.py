@@ -215,6 +215,18 @@ def test_every_start_position_is_scored():
     assert top == [(i, int(np.argmax(logit[owner == i]))) for i in (5, 7)]
 
 
+def test_sliding_windows_use_the_room_that_is_given():
+    """Any number of windows, with room left from other runs, as windows of themselves."""
+    rng, net = np.random.default_rng(5), toxicity.Network(3)
+    net.p["win"] *= 3
+    room = net.room_for(toxicity.BLOCK)
+    for words in (toxicity.LENGTH, 47, 48, 49, 500):
+        gates = net.project(rng.standard_normal((words, toxicity.DIM)).astype(np.float32))
+        idx = np.arange(words - toxicity.LENGTH + 1)[:, None] + np.arange(toxicity.LENGTH)
+        room[:] = np.nan
+        assert np.allclose(net.slide(gates, room), net.run(gates, idx), atol=1e-5)
+
+
 def test_long_runs_of_letters_are_read_to_their_end():
     for run in ("\u0e01" * 200 + "vile", "a_" * 100 + "vile"):
         words = toxicity.words_of(run)
